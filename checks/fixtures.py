@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.session import DEFAULTS
@@ -94,8 +96,20 @@ def _replace_word(sql: str, table: str, new: str) -> str:
     return sql
 
 
+class FixtureSources(Sources):
+    """The fixture views, each built when a query first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        object.__setattr__(self, "_open", lambda name: _view(spark, sf_dir, name, views(SPARK)[name]))
+        object.__setattr__(self, "spark", spark)
+
+    users = cached_property(lambda self: self._open("fx_users"))
+    orders = cached_property(lambda self: self._open("fx_orders"))
+    goods = cached_property(lambda self: self._open("fx_goods"))
+    logs = cached_property(lambda self: self._open("fx_logs"))
+
+
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
     for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         spark.conf.set(key, DEFAULTS[key])
-    frames = {name: _view(spark, sf_dir, name, sql) for name, sql in views(SPARK).items()}
-    return Sources(frames["fx_users"], frames["fx_orders"], frames["fx_goods"], frames["fx_logs"])
+    return FixtureSources(spark, sf_dir)

@@ -52,7 +52,7 @@ def _notnull(s):
 
 @query("op_filter_cmp", 'SELECT id, try_cast(smManualTime as bigint) AS "Time" FROM fx_orders WHERE try_cast(smManualTime as bigint) > 0')
 def _cmp(s):
-    return s.orders.select("id", to_long("smManualTime").alias("Time")).where(F.col("Time") > 0)
+    return s.orders.selectExpr("id", f"{to_long('smManualTime')} AS Time").where("Time > 0")
 
 
 @query("op_filter_like", "SELECT id, loc_url FROM fx_logs WHERE loc_url LIKE '%login%'")
@@ -63,7 +63,7 @@ def _like(s):
 @query("op_decode_map", """SELECT id, case city when '716' then '北京市' when '173' then '山东青岛' when '335' then '甘肃兰州'
     when '271' then '重庆市' else 'null' end AS city FROM fx_orders""")
 def _decode_map(s):
-    return s.orders.select("id", decode(F.col("city"), L.HOME_CITY, L.HOME_CITY_DEFAULT).alias("city"))
+    return s.orders.selectExpr("id", f"{decode('city', L.HOME_CITY, L.HOME_CITY_DEFAULT)} AS city")
 
 
 @query("op_decode_join", """SELECT id, nationality AS code, case nationality when '1' then '中国大陆' when '2' then '中国香港' when '3' then '中国澳门'
@@ -78,8 +78,8 @@ def _decode_join(s):
 @query("op_decode_many", """SELECT id, productId AS "productId", case when brandId in ('297', '301', '0') then '1' when brandId = '298' then '2'
     when brandId = '299' then '3' when brandId in ('303', '5') then '4' when brandId = '305' then '5' else '0' end AS brand FROM fx_goods""")
 def _decode_many(s):
-    brand = decode_many(F.col("brandId"), L.BRAND_GROUP, L.BRAND_GROUP_DEFAULT)
-    return s.goods.select("id", "productId", brand.alias("brand"))
+    brand = decode_many("brandId", L.BRAND_GROUP, L.BRAND_GROUP_DEFAULT)
+    return s.goods.selectExpr("id", "productId", f"{brand} AS brand")
 
 
 @query("op_bin_ladder", f"""SELECT id, case when {AMT} >= 400000 then 'a' when {AMT} > 200000 and {AMT} <= 300000 then 'b'
@@ -87,12 +87,12 @@ def _decode_many(s):
 def _bins(s):
     """A ladder with a gap and no default."""
     ladder = [Bin("a", ge=400000), Bin("b", gt=200000, le=300000), Bin("c", lt=100000)]
-    return s.orders.select("id", bin_ladder(to_long("orderAmount"), ladder).alias("bin"))
+    return s.orders.selectExpr("id", f"{to_long('orderAmount')} AS amount").selectExpr("id", f"{bin_ladder('amount', ladder)} AS bin")
 
 
 @query("op_between", f"SELECT id, {AMT} AS amount FROM fx_orders WHERE {AMT} BETWEEN 100000 AND 199999")
 def _between(s):
-    return s.orders.select("id", to_long("orderAmount").alias("amount")).where(F.col("amount").between(100000, 199999))
+    return s.orders.selectExpr("id", f"{to_long('orderAmount')} AS amount").where(F.col("amount").between(100000, 199999))
 
 # ---- joins ------------------------------------------------------------------------------
 
@@ -134,7 +134,7 @@ BEST = """(SELECT cid AS id, productId, row_number() OVER (PARTITION BY cid ORDE
 
 def most_bought(s, n):
     counts = lines(s).groupBy("id", "productId").agg(F.count(F.lit(1)).alias("bought"))
-    return top_n_per_key(counts, "id", [F.col("bought").desc(), to_long("productId").asc()], n)
+    return top_n_per_key(counts, "id", [F.col("bought").desc(), F.expr(to_long("productId")).asc()], n)
 
 
 @query("topn_names_wide", "SELECT b.id, " + ", ".join(f'max(case when rank = {k} then name end) AS "productName{k}"' for k in range(9))
@@ -159,12 +159,12 @@ def _rowcount(s):
 
 @query("agg_sum_long", "SELECT cid AS id, cast(sum(amt) as bigint) AS total FROM o9 GROUP BY cid")
 def _sum_long(s):
-    return orders(s).groupBy("id").agg(F.sum(to_long("orderAmount")).alias("total"))
+    return orders(s).groupBy("id").agg(F.sum(F.expr(to_long("orderAmount"))).alias("total"))
 
 
 @query("agg_sum_double", "SELECT cid AS id, round(sum(try_cast(orderAmount as double)), 2) AS total FROM o9 GROUP BY cid")
 def _sum_double(s):
-    return orders(s).groupBy("id").agg(F.round(F.sum(to_double("orderAmount")), 2).alias("total"))
+    return orders(s).groupBy("id").agg(F.round(F.sum(F.expr(to_double("orderAmount"))), 2).alias("total"))
 
 
 @query("agg_sum_expr", "SELECT cid AS id, cast(sum(listed) as bigint) AS listed FROM l9 GROUP BY cid")
@@ -174,18 +174,18 @@ def _sum_expr(s):
 
 @query("agg_avg", "SELECT cid AS id, round(avg(amt), 4) AS mean FROM o9 GROUP BY cid")
 def _avg(s):
-    return orders(s).groupBy("id").agg(F.round(F.avg(to_long("orderAmount")), 4).alias("mean"))
+    return orders(s).groupBy("id").agg(F.round(F.avg(F.expr(to_long("orderAmount"))), 4).alias("mean"))
 
 
 @query("agg_minmax", "SELECT cid AS id, min(fin) AS first, max(fin) AS last FROM o9 GROUP BY cid")
 def _minmax(s):
-    time = to_long("finishTime")
+    time = F.expr(to_long("finishTime"))
     return orders(s).groupBy("id").agg(F.min(time).alias("first"), F.max(time).alias("last"))
 
 
 @query("agg_max_epoch", 'SELECT memberId AS "memberId", max(fin) AS last FROM o9 GROUP BY memberId')
 def _max_epoch(s):
-    return s.orders.groupBy("memberId").agg(F.max(to_long("finishTime")).alias("last"))
+    return s.orders.groupBy("memberId").agg(F.max(F.expr(to_long("finishTime"))).alias("last"))
 
 
 @query("agg_count_if", """SELECT cid AS id, cast(count(*) filter (activityPrice <> '0.00') as bigint) AS activity,
@@ -199,13 +199,13 @@ def _count_if(s):
     FROM o9 GROUP BY cid""")
 def _ratio(s):
     counted = orders(s).groupBy("id").agg(F.count_if(F.col("orderStatus") == "0").alias("part"), F.count("orderId").alias("n"))
-    return counted.select("id", F.round(share(F.col("part"), F.col("n")), 6).alias("ratio"))
+    return counted.selectExpr("id", f"round({share('part', 'n')}, 6) AS ratio")
 
 
 @query("agg_span", """SELECT uid AS id, round((max(cast(floor(epoch(log_time)) as bigint)) - min(cast(floor(epoch(log_time)) as bigint))) / 60.0::double, 4) AS minutes
     FROM g GROUP BY uid""")
 def _span(s):
-    seconds = epoch_seconds(F.col("log_time"))
+    seconds = F.expr(epoch_seconds("log_time"))
     return logs_with_id(s.logs).groupBy("id").agg(F.round((F.max(seconds) - F.min(seconds)) / 60, 4).alias("minutes"))
 
 
@@ -290,20 +290,20 @@ def _distinct_sets(s):
 @query("fn_suffix_id", """SELECT id, try_cast(right(memberId, 3) as bigint) AS last3, try_cast(right(memberId, 9) as bigint) AS last9,
     try_cast(memberId as bigint) AS whole FROM fx_orders""")
 def _suffix(s):
-    return s.orders.select("id", suffix_id("memberId").alias("last3"), suffix_id("memberId", 9).alias("last9"),
-                           suffix_id("memberId", None).alias("whole"))
+    return s.orders.selectExpr("id", f"{suffix_id('memberId')} AS last3", f"{suffix_id('memberId', 9)} AS last9",
+                               f"{suffix_id('memberId', None)} AS whole")
 
 
 @query("fn_trunc_ratio", """SELECT cid AS id, (count(*) filter (orderStatus = '1') * 1000 // count(orderStatus)) / 1000.0::double AS ratio
     FROM o9 GROUP BY cid""")
 def _trunc(s):
     counted = orders(s).groupBy("id").agg(F.count_if(F.col("orderStatus") == "1").alias("part"), F.count("orderStatus").alias("n"))
-    return counted.select("id", share_3_decimals(F.col("part"), F.col("n")).alias("ratio"))
+    return counted.selectExpr("id", f"{share_3_decimals('part', 'n')} AS ratio")
 
 
 @query("fn_hour", "SELECT id, cast(hour(log_time) as int) AS hour FROM fx_logs")
 def _hour(s):
-    return s.logs.select("id", hour_of(F.col("log_time")).alias("hour"))
+    return s.logs.selectExpr("id", f"{hour_of('log_time')} AS hour")
 
 
 def item_lists(s):
@@ -317,60 +317,60 @@ _LIST = f"(SELECT id, string_agg(productId, ',' ORDER BY rank) AS items FROM {BE
 
 @query("fn_array_field_join", f"SELECT id, items FROM {_LIST}")
 def _field_join(s):
-    return item_lists(s).select("id", join_field(F.col("items"), "productId").alias("items"))
+    return item_lists(s).selectExpr("id", f"{join_field('items', 'productId')} AS items")
 
 
 @query("fn_split_columns", "SELECT id, " + ", ".join(f"nullif(split_part(items, ',', {i + 1}), '') AS col_{i}" for i in range(5)) + f" FROM {_LIST}")
 def _split(s):
-    text = item_lists(s).select("id", join_field(F.col("items"), "productId").alias("items"))
-    return text.select("id", *split_to_columns(F.col("items"), [f"col_{i}" for i in range(5)]))
+    text = item_lists(s).selectExpr("id", f"{join_field('items', 'productId')} AS items")
+    return text.selectExpr("id", *split_to_columns("items", [f"col_{i}" for i in range(5)]))
 
 
 @query("fn_explode_list", f"SELECT id, productId AS item FROM {BEST} WHERE rank < 5")
 def _explode(s):
-    text = item_lists(s).select("id", join_field(F.col("items"), "productId").alias("items"))
-    return text.select("id", explode_list(F.col("items")).alias("item"))
+    text = item_lists(s).selectExpr("id", f"{join_field('items', 'productId')} AS items")
+    return text.selectExpr("id", f"{explode_list('items')} AS item")
 
 
 @query("fn_product_id", """SELECT id, case when instr(loc_url, '/product/') > 0 and instr(loc_url, '.html') > instr(loc_url, '/product/')
     then substr(loc_url, instr(loc_url, '/product/') + 9, instr(loc_url, '.html') - instr(loc_url, '/product/') - 9) end AS product FROM fx_logs""")
 def _product(s):
-    return s.logs.select("id", product_id(F.col("loc_url")).alias("product"))
+    return s.logs.selectExpr("id", f"{product_id('loc_url')} AS product")
 
 
 @query("fn_date_parts", """SELECT id, cast(year(cast(birthday as date)) as int) AS year,
     cast(month(cast(birthday as date)) * 100 + day(cast(birthday as date)) as int) AS month_day FROM fx_users""")
 def _dates(s):
-    return s.users.select("id", birth_year(F.col("birthday")).alias("year"), month_day(F.col("birthday")).alias("month_day"))
+    return s.users.selectExpr("id", f"{birth_year('birthday')} AS year", f"{month_day('birthday')} AS month_day")
 
 
 @query("fn_epoch_days", """SELECT cid AS id, cast(make_timestamp(min(fin) * 1000000) as date) AS first,
     cast(datediff('day', cast(make_timestamp(min(fin) * 1000000) as date), cast(make_timestamp(max(fin) * 1000000) as date)) as int) AS days
     FROM o9 GROUP BY cid""")
 def _epoch_days(s):
-    time = to_long("finishTime")
+    time = F.expr(to_long("finishTime"))
     spans = orders(s).groupBy("id").agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
-    return spans.select("id", epoch_date(F.col("lo")).alias("first"), days_between(F.col("hi"), F.col("lo")).alias("days"))
+    return spans.selectExpr("id", f"{epoch_date('lo')} AS first", f"{days_between('hi', 'lo')} AS days")
 
 
 @query("fn_recency", f"""SELECT id, cast(datediff('day', cast(make_timestamp(try_cast(finishTime as bigint) * 1000000) as date), date '{AS_OF_ORDERS}') as int) AS days
     FROM fx_orders""")
 def _recency(s):
-    return s.orders.select("id", recency_days(AS_OF_ORDERS, to_long("finishTime")).alias("days"))
+    return s.orders.selectExpr("id", f"{recency_days(AS_OF_ORDERS, to_long('finishTime'))} AS days")
 
 
 @query("fn_epoch", "SELECT id, cast(floor(epoch(log_time)) as bigint) AS seconds FROM fx_logs")
 def _epoch(s):
-    return s.logs.select("id", epoch_seconds(F.col("log_time")).alias("seconds"))
+    return s.logs.selectExpr("id", f"{epoch_seconds('log_time')} AS seconds")
 
 
 @query("fn_days_since", f"""SELECT id, (epoch(timestamp '{AS_OF_LOGIN}') - try_cast(lastLoginTime as double)) / 86400 AS days FROM fx_users""")
 def _days_since(s):
-    return s.users.select("id", days_since(AS_OF_LOGIN, F.col("lastLoginTime")).alias("days"))
+    return s.users.selectExpr("id", f"{days_since(AS_OF_LOGIN, 'lastLoginTime')} AS days")
 
 
 @query("fn_casts", f"""SELECT id, {AMT} AS amount, cast({AMT} as int) AS amount_int, try_cast(orderAmount as double) AS exact,
     try_cast(paymentCode as bigint) AS no_number FROM fx_orders""")
 def _casts(s):
-    return s.orders.select("id", to_long("orderAmount").alias("amount"), to_int("orderAmount").alias("amount_int"),
-                           to_double("orderAmount").alias("exact"), to_long("paymentCode").alias("no_number"))
+    return s.orders.selectExpr("id", f"{to_long('orderAmount')} AS amount", f"{to_int('orderAmount')} AS amount_int",
+                               f"{to_double('orderAmount')} AS exact", f"{to_long('paymentCode')} AS no_number")

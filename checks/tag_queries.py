@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from checks.registry import cte, query
 from checks.settings import AS_OF_LOGIN, ID_DIGITS, LADDERS
+from tagloom.functions.ladders import text_ladder
+from tagloom.labels import DEVICE, DEVICE_DEFAULT, PAGE_TYPE, PAGE_TYPE_DEFAULT
 from tagloom.operators.grouping import last_per_key
 from tagloom.operators.joining import order_lines, orders_with_id
 from tagloom.plans.line_tags import line_tags
@@ -278,10 +280,8 @@ def _watch_daily(s):
 @query("latest_device", f"""SELECT uid AS id, d AS device FROM (
     SELECT uid, {_device(False)} AS d, row_number() OVER (PARTITION BY uid ORDER BY log_time DESC, id DESC) AS r FROM g) WHERE r = 1""")
 def _latest_device(s):
-    from tagloom.functions.ladders import text_ladder
-    from tagloom.labels import DEVICE, DEVICE_DEFAULT
-    rows = logs_with_id(s.logs).select(
-        "id", "log_time", "logId", text_ladder(F.col("user_agent"), DEVICE, DEVICE_DEFAULT).alias("device"))
+    rows = logs_with_id(s.logs).selectExpr(
+        "id", "log_time", "logId", f"{text_ladder('user_agent', DEVICE, DEVICE_DEFAULT)} AS device")
     return last_per_key(rows, "id", ["log_time", "logId"], ["device"])
 
 
@@ -289,8 +289,6 @@ def _latest_device(s):
     SELECT uid, {_page('loc_url', False)} AS loc, {_page('ref_url', False)} AS ref,
     row_number() OVER (PARTITION BY uid ORDER BY log_time DESC, id DESC) AS r FROM g) WHERE r = 1""")
 def _latest_page(s):
-    from tagloom.functions.ladders import text_ladder
-    from tagloom.labels import PAGE_TYPE, PAGE_TYPE_DEFAULT
-    rows = logs_with_id(s.logs).select("id", "log_time", "logId", *[
-        text_ladder(F.col(u), PAGE_TYPE, PAGE_TYPE_DEFAULT).alias(f"browser_{u}") for u in ("loc_url", "ref_url")])
+    rows = logs_with_id(s.logs).selectExpr("id", "log_time", "logId", *[
+        f"{text_ladder(u, PAGE_TYPE, PAGE_TYPE_DEFAULT)} AS browser_{u}" for u in ("loc_url", "ref_url")])
     return last_per_key(rows, "id", ["log_time", "logId"], ["browser_loc_url", "browser_ref_url"])

@@ -2,35 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+# 20 integer digits hold every bigint; 18 decimals are more than any amount carries
+_WIDE_DECIMAL = "DECIMAL(38,18)"
 
-# 20 integer digits hold every bigint, 18 decimals are more than any amount carries
-_WIDE_DECIMAL = "decimal(38,18)"
 
+def text(value: str) -> str:
+    """A string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-def to_long(c: Column | str) -> Column:
-    """Text to bigint, dropping decimals. Whole numbers never take the decimal branch."""
-    c = F.col(c) if isinstance(c, str) else c
-    with_point = F.when(c.contains("."), c.try_cast(_WIDE_DECIMAL).try_cast("bigint"))
-    return F.coalesce(c.try_cast("bigint"), with_point)
 
+def literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return text(value)
+    return f"{value!r}D" if isinstance(value, float) else str(value)
 
-def to_int(c: Column | str) -> Column:
-    return to_long(c).try_cast("int")
 
+def to_long(c: str) -> str:
+    """Text to bigint, dropping decimals."""
+    return f"try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS BIGINT)"
+
+
+def to_int(c: str) -> str:
+    return f"try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS INT)"
 
-def whole_id(c: Column | str, kind: str = "bigint") -> Column:
-    """Text to an id; ids are whole numbers, anything else is null."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast(kind)
 
+def to_double(c: str) -> str:
+    return f"try_cast({c} AS DOUBLE)"
 
-def to_double(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.try_cast("double")
+
+def whole_id(c: str, kind: str = "BIGINT") -> str:
+    """Text to an id; ids are whole numbers, anything else is null."""
+    return f"try_cast({c} AS {kind})"
 
 
-def suffix_id(c: Column | str, digits: int | None = 3) -> Column:
+def suffix_id(c: str, digits: int | None = 3) -> str:
     """Customer id from the last ``digits`` characters of a member id (None: all of it)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return whole_id(c if digits is None else F.right(c, F.lit(digits)))
+    return whole_id(c if digits is None else f"right({c}, {digits})")

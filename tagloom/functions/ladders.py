@@ -3,70 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
-
-from pyspark.sql import Column, functions as F
 
+from tagloom.functions.casting import literal
 from tagloom.labels import Bin, TextRule
 
 
-def _case(branches: Sequence[tuple[Column, object]], default: object) -> Column:
-    case = F
-    for condition, label in branches:
-        case = case.when(condition, F.lit(label))
-    return F.lit(default) if case is F else case.otherwise(F.lit(default))
+def case(branches: Sequence[tuple[str, object]], default: object = None) -> str:
+    whens = " ".join(f"WHEN {condition} THEN {literal(label)}" for condition, label in branches)
+    return f"CASE {whens} ELSE {literal(default)} END" if whens else literal(default)
+
+
+def _book(pairs) -> str:
+    return "map(" + ", ".join(literal(x) for pair in pairs for x in pair) + ")"
 
 
-def decode(c: Column, book: Mapping[str, str], default: str) -> Column:
+def decode(c: str, book: Mapping[str, str], default: str) -> str:
     """Code to label by a small book; unknown code and null give the default."""
-    entries = [F.lit(x) for pair in book.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), c), F.lit(default))
+    return f"coalesce(try_element_at({_book(book.items())}, {c}), {literal(default)})"
 
 
-def decode_position(c: Column, book: Mapping[str, str]) -> Column:
+def decode_position(c: str, book: Mapping[str, str]) -> str:
     """Position of a code in its book, ``len(book)`` for unknown codes and null."""
-    entries = [F.lit(x) for pair in zip(book, range(len(book))) for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), c), F.lit(len(book)))
+    return f"coalesce(try_element_at({_book(zip(book, range(len(book))))}, {c}), {len(book)})"
 
 
-def decode_many(c: Column, book: Mapping[str, Sequence[str]], default: str) -> Column:
+def decode_many(c: str, book: Mapping[str, Sequence[str]], default: str) -> str:
     """Many codes to one label."""
-    return _case([(c.isin(*codes), label) for label, codes in book.items()], default)
+    return case([(f"{c} IN ({', '.join(literal(x) for x in codes)})", label) for label, codes in book.items()],
+                default)
 
 
-def _inside(c: Column, b: Bin) -> Column:
-    tests = []
-    if b.ge is not None:
-        tests.append(c >= b.ge)
-    if b.gt is not None:
-        tests.append(c > b.gt)
-    if b.le is not None:
-        tests.append(c <= b.le)
-    if b.lt is not None:
-        tests.append(c < b.lt)
-    return reduce(and_, tests)
+def _inside(c: str, b: Bin) -> str:
+    bounds = {">=": b.ge, ">": b.gt, "<=": b.le, "<": b.lt}
+    return " AND ".join(f"{c} {sign} {literal(x)}" for sign, x in bounds.items() if x is not None)
 
 
-def bin_ladder(c: Column, bins: Sequence[Bin], default: object = None) -> Column:
+def bin_ladder(c: str, bins: Sequence[Bin], default: object = None) -> str:
     """Number to label; null and uncovered numbers give the default (possibly null)."""
-    return _case([(_inside(c, b), b.label) for b in bins], default)
+    return case([(_inside(c, b), b.label) for b in bins], default)
 
 
-def _matches(c: Column, rule: TextRule) -> Column:
-    return reduce(or_, [c.like(p) for p in rule.like] + [c == text for text in rule.equals])
+def _matches(c: str, rule: TextRule) -> str:
+    tests = [f"{c} LIKE {literal(p)}" for p in rule.like] + [f"{c} = {literal(x)}" for x in rule.equals]
+    return " OR ".join(tests)
 
 
-def text_ladder(c: Column, rules: Sequence[TextRule], default: str) -> Column:
+def text_ladder(c: str, rules: Sequence[TextRule], default: str) -> str:
     """Text to label by patterns; null gives the default."""
-    return _case([(_matches(c, r), r.label) for r in rules], default)
+    return case([(_matches(c, r), r.label) for r in rules], default)
 
 
-def text_position(c: Column, rules: Sequence[TextRule]) -> Column:
+def text_position(c: str, rules: Sequence[TextRule]) -> str:
     """Position of the matching rule, ``len(rules)`` for the default."""
-    return _case([(_matches(c, r), i) for i, r in enumerate(rules)], len(rules))
+    return case([(_matches(c, r), i) for i, r in enumerate(rules)], len(rules))
 
 
-def label_at(position: Column, labels: Sequence[str]) -> Column:
+def label_at(position: str, labels: Sequence[str]) -> str:
     """Label for a zero-based position."""
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), (position + 1).cast("int"))
+    return f"element_at(array({', '.join(literal(x) for x in labels)}), CAST({position} AS INT) + 1)"

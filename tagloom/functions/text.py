@@ -2,44 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
+from tagloom.functions.casting import text
 from tagloom.labels import PRODUCT_END, PRODUCT_START
 
 
-def product_id(url: Column) -> Column:
+def product_id(url: str) -> str:
     """Text between the first ``/product/`` and the first ``.html`` of a page address."""
-    head = F.substring_index(url, PRODUCT_END, 1)
-    start = F.nullif(F.instr(head, PRODUCT_START), F.lit(0))
-    return F.when(url.contains(PRODUCT_END), F.substr(head, start + len(PRODUCT_START)))
+    head = f"substring_index({url}, {text(PRODUCT_END)}, 1)"
+    start = f"nullif(instr({head}, {text(PRODUCT_START)}), 0)"
+    return (f"CASE WHEN contains({url}, {text(PRODUCT_END)}) "
+            f"THEN substr({head}, {start} + {len(PRODUCT_START)}) END")
 
 
-def share(part: Column, total: Column) -> Column:
+def share(part: str, total: str) -> str:
     """part / total, null for an empty total."""
-    return F.try_divide(part.cast("double"), total.cast("double"))
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({total} AS DOUBLE))"
 
 
-def share_3_decimals(part: Column, total: Column) -> Column:
+def share_3_decimals(part: str, total: str) -> str:
     """part / total of two counts cut (not rounded) to three decimals, in whole-number arithmetic."""
-    thousandths = F.call_function("div", part * 1000, F.nullif(total, F.lit(0)))
-    return thousandths / F.lit(1000.0)
+    return f"(({part}) * 1000 DIV nullif({total}, 0)) / 1000D"
 
 
-def split_to_columns(c: Column, names: list[str], separator: str = ",") -> list[Column]:
+def split_to_columns(c: str, names: list[str], separator: str = ",") -> list[str]:
     """List text to one column per position; missing positions are null."""
-    parts = F.split(c, separator)
-    return [F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return [f"get(split({c}, {text(separator)}), {i}) AS {name}" for i, name in enumerate(names)]
 
 
-def explode_list(c: Column, separator: str = ",") -> Column:
-    return F.explode(F.split(c, separator))
+def explode_list(c: str, separator: str = ",") -> str:
+    return f"explode(split({c}, {text(separator)}))"
 
 
-def join_field(items: Column, field: str, separator: str = ",") -> Column:
+def join_field(items: str, field: str, separator: str = ",") -> str:
     """One field of an array of structs as a joined text, in array order."""
-    return F.array_join(F.transform(items, lambda x: x[field].cast("string")), separator)
+    return f"array_join(transform({items}, x -> CAST(x.{field} AS STRING)), {text(separator)})"
+
 
+def join_distinct(values: str, separator: str = ",") -> str:
+    """Values of a group, already distinct, as a sorted, joined text without nulls.
 
-def join_set(values: Column, separator: str = ",") -> Column:
-    """Distinct non-null values of a group as a sorted, joined text."""
-    return F.array_join(F.array_sort(F.collect_set(values)), separator)
+    A list, not a set: over a set Spark would drop the preceding distinct as redundant
+    and collect the raw rows of a hot key in one task instead.
+    """
+    return f"array_join(array_sort(collect_list({values})), {text(separator)})"

@@ -2,59 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from tagloom.functions.casting import to_double
 
 SECONDS_PER_DAY = 86400
 
 
-def to_date(c: Column) -> Column:
-    return c.try_cast("date")
-
-
-def birth_year(c: Column) -> Column:
-    return F.year(to_date(c))
+def birth_year(c: str) -> str:
+    return f"year(try_cast({c} AS DATE))"
 
 
-def month_day(c: Column) -> Column:
+def month_day(c: str) -> str:
     """month * 100 + day, so that calendar ranges become numeric ranges."""
-    d = to_date(c)
-    return F.month(d) * 100 + F.dayofmonth(d)
+    return f"month(try_cast({c} AS DATE)) * 100 + dayofmonth(try_cast({c} AS DATE))"
 
 
-def to_timestamp(c: Column) -> Column:
+def to_timestamp(c: str) -> str:
     """Text or wall-clock timestamp to timestamp; null stays null."""
-    return c.try_cast("timestamp_ntz").cast("timestamp")
+    return f"CAST(try_cast({c} AS TIMESTAMP_NTZ) AS TIMESTAMP)"
 
 
-def epoch_seconds(c: Column) -> Column:
-    return F.unix_seconds(to_timestamp(c))
+def epoch_seconds(c: str) -> str:
+    return f"unix_seconds({to_timestamp(c)})"
 
 
-def epoch_micros(c: Column) -> Column:
-    return F.unix_micros(to_timestamp(c))
+def epoch_micros(c: str) -> str:
+    return f"unix_micros({to_timestamp(c)})"
 
 
-def hour_of(c: Column) -> Column:
-    return F.hour(to_timestamp(c))
+def hour_of(c: str) -> str:
+    return f"hour({to_timestamp(c)})"
 
 
-def epoch_date(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds).cast("date")
+def epoch_date(seconds: str) -> str:
+    return f"CAST(timestamp_seconds({seconds}) AS DATE)"
 
 
-def days_between(later: Column, earlier: Column) -> Column:
+def days_between(later: str, earlier: str) -> str:
     """Calendar days between two epochs."""
-    return F.datediff(epoch_date(later), epoch_date(earlier))
+    return f"datediff({epoch_date(later)}, {epoch_date(earlier)})"
 
 
-def recency_days(as_of: str, seconds: Column) -> Column:
+def recency_days(as_of: str, seconds: str) -> str:
     """Calendar days from an epoch to the reference date."""
-    return F.datediff(F.lit(as_of).cast("date"), epoch_date(seconds))
+    return f"datediff(DATE'{as_of}', {epoch_date(seconds)})"
 
 
-def days_since(as_of: str, seconds_text: Column) -> Column:
+def days_since(as_of: str, seconds_text: str) -> str:
     """Fractional days from an epoch text to midnight of the reference date."""
-    now = F.unix_seconds(F.lit(as_of).cast("date").cast("timestamp"))
-    return (now - to_double(seconds_text)) / SECONDS_PER_DAY
+    return f"(unix_seconds(TIMESTAMP'{as_of}') - {to_double(seconds_text)}) / {SECONDS_PER_DAY}"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tagloom.functions.text import join_set
+from tagloom.functions.text import join_distinct
 from tagloom.operators.metrics import ModeOf, aggregate
 
 
@@ -25,9 +25,10 @@ def dedup_by_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by the listed columns.
 
     The distinct step hashes repeated rows away map-side, so a key that holds a large
-    share of the rows reaches the second step as a handful of rows.
+    share of the rows reaches the second step as a handful of rows. (``min_by`` instead
+    of ``min``: under ``min`` Spark removes the distinct step as redundant.)
     """
-    smallest = F.min(F.struct(*columns))
+    smallest = F.min_by(F.struct(*columns), F.struct(*columns))
     return (df.select(key, *columns).distinct()
             .groupBy(key).agg(smallest.alias("row")).select(key, "row.*"))
 
@@ -37,13 +38,13 @@ def set_join(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
     Repeats are removed by a hash aggregation before a key's values come together.
     """
-    return df.select(key, value).distinct().groupBy(key).agg(join_set(F.col(value)).alias(name))
+    return df.select(key, value).distinct().groupBy(key).agg(F.expr(join_distinct(value)).alias(name))
 
 
-def with_totals(per_key: DataFrame, totals: dict[str, Column]) -> DataFrame:
+def with_totals(per_key: DataFrame, totals: dict[str, str]) -> DataFrame:
     """Adds a struct ``totals`` of one-row aggregates over ``per_key`` itself.
 
     A scalar subquery: no driver round trip and no join.
     """
-    one_row = per_key.agg(*[c.alias(n) for n, c in totals.items()])
+    one_row = per_key.agg(*[F.expr(sql).alias(n) for n, sql in totals.items()])
     return per_key.withColumn("totals", one_row.select(F.struct(*totals).alias("t")).scalar())

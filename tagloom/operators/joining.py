@@ -2,42 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tagloom.functions.casting import suffix_id, to_long
+from tagloom.functions.casting import literal, suffix_id, to_long
 from tagloom.labels import NO_COUPON
 from tagloom.operators.grouping import dedup_by_key
 
 
 def orders_with_id(orders: DataFrame, id_digits: int | None) -> DataFrame:
     """Orders keyed by customer id. Orders without a readable id cannot be stored."""
-    keyed = orders.withColumnRenamed("id", "orderId").withColumn("id", suffix_id("memberId", id_digits))
-    return keyed.where(F.col("id").isNotNull())
+    keyed = orders.withColumnRenamed("id", "orderId").withColumn("id", F.expr(suffix_id("memberId", id_digits)))
+    return keyed.where("id IS NOT NULL")
 
 
-def line_values() -> dict[str, Column]:
+def line_values() -> dict[str, str]:
     """Numbers of an order line, parsed before the join so that only they are shuffled."""
     price, number, fee = to_long("price"), to_long("number"), to_long("shippingFee")
     return {
         "paid": to_long("productAmount"),
-        "priced": F.col("productAmount").isNotNull(),
-        "listed": F.try_add(F.try_multiply(price, number), fee),
-        "usedActivity": F.col("activityPrice") != NO_COUPON,
-        "usedCoupon": F.col("couponAmount") != NO_COUPON,
-        "usedPromotion": F.col("orderPromotionAmount") != NO_COUPON,
+        "priced": "productAmount IS NOT NULL",
+        "listed": f"try_add(try_multiply({price}, {number}), {fee})",
+        "usedActivity": f"activityPrice <> {literal(NO_COUPON)}",
+        "usedCoupon": f"couponAmount <> {literal(NO_COUPON)}",
+        "usedPromotion": f"orderPromotionAmount <> {literal(NO_COUPON)}",
     }
 
 
 def order_lines(orders: DataFrame, goods: DataFrame, id_digits: int | None) -> DataFrame:
     """Orders joined with their lines on the order number, keyed by customer id."""
     left = orders_with_id(orders, id_digits).select("id", "orderSn")
-    right = goods.drop("id").withColumns(line_values())
+    right = goods.drop("id").withColumns({name: F.expr(sql) for name, sql in line_values().items()})
     return left.join(right, left.orderSn == right.cOrderSn, "inner").drop("cOrderSn")
 
 
 def product_names(goods: DataFrame, name: str = "productName") -> DataFrame:
     """One row per product with its name (or another attribute)."""
-    return dedup_by_key(goods.where(F.col("productId").isNotNull()), "productId", [name])
+    return dedup_by_key(goods.where("productId IS NOT NULL"), "productId", [name])
 
 
 def lookup(df: DataFrame, on: str, dimension: DataFrame, key: str) -> DataFrame:

@@ -18,25 +18,23 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.functions.ladders import label_at
-from tagloom.functions.text import join_set
+from tagloom.functions.text import join_distinct
 
 _GROUP_ROWS = "__rows"
 
 
 @dataclass(frozen=True)
 class Metric:
-    """A plain aggregate: ``how`` is sum, count, count_if, rows, min or max."""
+    """A plain aggregate: ``how`` is sum, count, count_if, min or max."""
 
     how: str
-    of: Column | None = None
+    of: str
 
-    def first(self) -> Column:
-        if self.how == "rows":
-            return F.count(F.lit(1))
-        return getattr(F, self.how)(self.of)
+    def first(self) -> str:
+        return f"{self.how}({self.of})"
 
-    def merge(self, partial: str) -> Column:
-        return {"min": F.min, "max": F.max}.get(self.how, F.sum)(partial)
+    def merge(self, partial: str) -> str:
+        return f"{self.how if self.how in ('min', 'max') else 'sum'}({partial})"
 
 
 @dataclass(frozen=True)
@@ -45,9 +43,8 @@ class ModeOf:
 
     column: str
 
-    def final(self) -> Column:
-        best = F.min(F.struct((-F.col(_GROUP_ROWS)).alias("n"), F.col(self.column).alias("value")))
-        return best["value"]
+    def final(self) -> str:
+        return f"min(struct(-{_GROUP_ROWS} AS n, {self.column} AS value)).value"
 
 
 @dataclass(frozen=True)
@@ -56,11 +53,11 @@ class SetOf:
 
     column: str
 
-    def final(self) -> Column:
-        return join_set(F.col(self.column))
+    def final(self) -> str:
+        return join_distinct(self.column)
 
 
-def latest(time: Column, position: Column, size: int) -> Metric:
+def latest(time: str, position: str, size: int) -> Metric:
     """The newest row's ladder position, packed with its time into one number.
 
     Equal times go to the rung listed first. Times are clamped to what fits beside the
@@ -68,27 +65,30 @@ def latest(time: Column, position: Column, size: int) -> Metric:
     time counts as the oldest.
     """
     limit = (2**63 - 1) // size - 1
-    when = F.greatest(F.least(F.coalesce(time, F.lit(-limit)), F.lit(limit)), F.lit(-limit))
-    return Metric("max", when * size + (size - 1 - position))
+    when = f"greatest(least(coalesce({time}, {-limit}), {limit}), {-limit})"
+    return Metric("max", f"{when} * {size} + ({size - 1} - {position})")
 
 
-def latest_label(packed: Column, labels: list[str]) -> Column:
+def latest_label(packed: str, labels: list[str]) -> str:
     size = len(labels)
-    return label_at(size - 1 - F.pmod(packed, F.lit(size)), labels)
+    return label_at(f"{size - 1} - pmod({packed}, {size})", labels)
+
+
+def _named(expressions: Mapping[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in expressions.items()]
 
 
 def aggregate(rows: DataFrame, key: str, metrics: Mapping[str, Metric | ModeOf | SetOf]) -> DataFrame:
     """One row per key with all metrics, from one scan of ``rows``."""
     plain = {n: m for n, m in metrics.items() if isinstance(m, Metric)}
     fine = {n: m for n, m in metrics.items() if not isinstance(m, Metric)}
+    first = {n: m.first() for n, m in plain.items()}
     if not fine:
-        return rows.groupBy(key).agg(*[m.first().alias(n) for n, m in plain.items()])
+        return rows.groupBy(key).agg(*_named(first))
     columns = {m.column for m in fine.values()}
     if len(columns) > 1:
         raise ValueError(f"one aggregation can refine by one column only, got {sorted(columns)}")
     (column,) = columns
-    partial = rows.groupBy(key, column).agg(
-        F.count(column).alias(_GROUP_ROWS), *[m.first().alias(n) for n, m in plain.items()])
-    return partial.groupBy(key).agg(
-        *[m.merge(n).alias(n) for n, m in plain.items()],
-        *[m.final().alias(n) for n, m in fine.items()])
+    partial = rows.groupBy(key, column).agg(*_named({_GROUP_ROWS: f"count({column})", **first}))
+    merged = {n: m.merge(n) for n, m in plain.items()}
+    return partial.groupBy(key).agg(*_named({**merged, **{n: m.final() for n, m in fine.items()}}))

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def top_n_per_key(df: DataFrame, key: str, order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first n rows per key with their zero-based rank.
 
-    The filter on the row number lets Spark cut each key to n rows before the shuffle.
+    The filter stands on the bare row number: Spark then cuts each key to n rows in
+    every task before the shuffle, so a hot key never comes together whole.
     """
-    numbered = df.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
-    return numbered.where(F.col(rank) < n)
+    numbered = df.withColumn("__row", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return numbered.where(F.col("__row") <= n).withColumn(rank, F.col("__row") - 1).drop("__row")
 
 
 def ranks_to_columns(ranked: DataFrame, key: str, rank: str, value: str, names: Sequence[str]) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tagloom import labels as L
 from tagloom.functions.ladders import bin_ladder
 from tagloom.functions.text import share
@@ -12,38 +10,38 @@ from tagloom.plans.tag import Tag
 
 
 def _sums() -> dict[str, Metric]:
-    return {"paid_sum": Metric("sum", F.col("paid")), "listed_sum": Metric("sum", F.col("listed"))}
+    return {"paid_sum": Metric("sum", "paid"), "listed_sum": Metric("sum", "listed")}
 
 
 def coupons() -> Tag:
     """How many lines used an activity price, a coupon, an order promotion."""
     columns = {"activity": "usedActivity", "coupon": "usedCoupon", "promotion": "usedPromotion"}
-    return Tag({name: F.col(f"{name}_lines").cast("string") for name in columns},
-               {f"{name}_lines": Metric("count_if", F.col(used)) for name, used in columns.items()})
+    return Tag({name: f"CAST({name}_lines AS STRING)" for name in columns},
+               {f"{name}_lines": Metric("count_if", used) for name, used in columns.items()})
 
 
 def discount(ladder=L.DISCOUNT) -> Tag:
     """Paid over listed value."""
-    ratio = share(F.col("paid_sum"), F.col("listed_sum"))
+    ratio = share("paid_sum", "listed_sum")
     return Tag({"discount": bin_ladder(ratio, ladder, L.UNKNOWN)}, _sums())
 
 
 def price_sensitivity(ladder=L.PRICE_SENSITIVITY) -> Tag:
     """Share of discounted lines + relative mean discount + discount share of the value."""
-    lines, cut_lines = F.col("priced_lines"), F.col("cut_lines")
-    value, cut = F.col("listed_sum"), F.col("listed_sum") - F.col("paid_sum")
-    measure = (share(cut_lines, lines)
-               + F.try_divide(share(cut, cut_lines), share(value, lines))
-               + share(cut, value))
+    lines, cut_lines = "priced_lines", "cut_lines"
+    value, cut = "listed_sum", "(listed_sum - paid_sum)"
+    measure = (f"({share(cut_lines, lines)}"
+               f" + try_divide({share(cut, cut_lines)}, {share(value, lines)})"
+               f" + {share(cut, value)})")
     return Tag({"PriceSensitivity": bin_ladder(measure, ladder, L.UNKNOWN)}, {
         **_sums(),
-        "priced_lines": Metric("count_if", F.col("priced")),
-        "cut_lines": Metric("count_if", F.try_subtract(F.col("listed"), F.col("paid")) > 0),
+        "priced_lines": Metric("count_if", "priced"),
+        "cut_lines": Metric("count_if", "try_subtract(listed, paid) > 0"),
     })
 
 
 def purchase_goods() -> Tag:
-    return Tag({"purchaseGoods": F.col("bought_names")}, {"bought_names": SetOf("productName")})
+    return Tag({"purchaseGoods": "bought_names"}, {"bought_names": SetOf("productName")})
 
 
 def line_tags() -> dict[str, Tag]:

@@ -2,64 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tagloom import labels as L
-from tagloom.functions.casting import whole_id
-from tagloom.functions.ladders import bin_ladder, text_position
+from tagloom.functions.casting import literal, whole_id
+from tagloom.functions.ladders import bin_ladder, case, text_position
 from tagloom.functions.text import product_id
-from tagloom.functions.timing import epoch_micros, epoch_seconds, hour_of
+from tagloom.functions.timing import epoch_micros, hour_of
 from tagloom.operators.grouping import set_join
 from tagloom.operators.metrics import Metric, latest, latest_label
 from tagloom.plans.tag import Tag
 
+_SEEN = {"seen": epoch_micros("log_time")}
+
 
 def logs_with_id(logs: DataFrame) -> DataFrame:
     """Log rows keyed by visitor id; rows of unknown visitors cannot be stored."""
-    keyed = logs.withColumnRenamed("id", "logId").withColumn("id", whole_id("global_user_id"))
-    return keyed.where(F.col("id").isNotNull())
+    keyed = logs.withColumnRenamed("id", "logId").withColumn("id", F.expr(whole_id("global_user_id")))
+    return keyed.where("id IS NOT NULL")
 
 
-def _average(count: str, population: int | None) -> Column:
+def _average(count: str, population: int | None) -> str:
     """Mean count over the population, by default all visitors of the log."""
-    people = F.count("id") if population is None else F.lit(population)
-    return F.try_divide(F.sum(count).cast("double"), people.cast("double"))
+    people = "count(id)" if population is None else literal(population)
+    return f"try_divide(CAST(sum({count}) AS DOUBLE), CAST({people} AS DOUBLE))"
 
 
-def _frequency(count: Column, average: Column, low_factor: float) -> Column:
-    high = count / L.FREQUENCY_HIGH_DIVISOR
-    return (F.when(count == 0, L.FREQUENCY_NONE)
-            .when(count * low_factor < average, L.FREQUENCY_LOW)
-            .when((count * low_factor >= average) & (high < average), L.FREQUENCY_MID)
-            .when(high >= average, L.FREQUENCY_HIGH))
+def _frequency(count: str, average: str, low_factor: float) -> str:
+    low, high = f"{count} * {literal(low_factor)}", f"{count} / {literal(L.FREQUENCY_HIGH_DIVISOR)}"
+    return case([
+        (f"{count} = 0", L.FREQUENCY_NONE),
+        (f"{low} < {average}", L.FREQUENCY_LOW),
+        (f"{low} >= {average} AND {high} < {average}", L.FREQUENCY_MID),
+        (f"{high} >= {average}", L.FREQUENCY_HIGH),
+    ])
 
 
 def login_frequency(population: int | None = None) -> Tag:
     """Log-ins against the average of the population; visitors without one have no tag."""
-    logins = F.col("logins")
     return Tag(
-        {"LoginFrequency": _frequency(logins, F.col("totals.login_average"), L.LOGIN_LOW_FACTOR)},
-        {"logins": Metric("count_if", F.col("loc_url").like(L.LOGIN_PATTERN))},
+        {"LoginFrequency": _frequency("logins", "totals.login_average", L.LOGIN_LOW_FACTOR)},
+        {"logins": Metric("count_if", f"loc_url LIKE {literal(L.LOGIN_PATTERN)}")},
         totals={"login_average": _average("logins", population)},
-        present=logins > 0)
+        present="logins > 0")
 
 
 def view_frequency(population: int | None = None) -> Tag:
-    views = F.col("views")
     return Tag(
-        {"ViewFrequency": _frequency(views, F.col("totals.view_average"), L.VIEW_LOW_FACTOR)},
-        {"views": Metric("count", F.col("global_user_id"))},
+        {"ViewFrequency": _frequency("views", "totals.view_average", L.VIEW_LOW_FACTOR)},
+        {"views": Metric("count", "global_user_id")},
         totals={"view_average": _average("views", population)})
 
 
 def watch_time() -> Tag:
-    """Minutes between first and last view; a span in [1, 2) has no label."""
-    seconds = epoch_seconds(F.col("log_time"))
-    minutes = (F.col("seen_max") - F.col("seen_min")) / F.lit(60)
-    label = (F.when(minutes < 1, L.WATCH_UNDER_ONE)
-             .when(minutes.cast("int").between(2, 5), L.WATCH_ONE_TO_FIVE)
-             .when(minutes >= 5, L.WATCH_OVER_FIVE))
-    return Tag({"WatchTime": label}, {"seen_max": Metric("max", seconds), "seen_min": Metric("min", seconds)})
+    """Minutes between first and last view, in whole seconds; a span in [1, 2) has no label."""
+    seconds = "(seen_max DIV 1000000 - seen_min DIV 1000000)"
+    minutes = f"({seconds} / 60D)"
+    label = case([
+        (f"{minutes} < 1", L.WATCH_UNDER_ONE),
+        (f"CAST({minutes} AS INT) BETWEEN 2 AND 5", L.WATCH_ONE_TO_FIVE),
+        (f"{minutes} >= 5", L.WATCH_OVER_FIVE),
+    ])
+    return Tag({"WatchTime": label}, {"seen_max": Metric("max", "seen"), "seen_min": Metric("min", "seen")},
+               inputs=_SEEN)
 
 
 def read_period(ladder=L.READ_PERIOD, default: str = L.READ_PERIOD_DEFAULT) -> Tag:
@@ -68,35 +73,35 @@ def read_period(ladder=L.READ_PERIOD, default: str = L.READ_PERIOD_DEFAULT) -> T
     The periods are a fixed short list, so each is one counter of the shared aggregation
     and the most frequent one is picked from the counters: no second grouping.
     """
-    period = bin_ladder(hour_of(F.col("log_time")), ladder, default)
     names = sorted({str(b.label) for b in ladder} | {default})
-    counters = {f"period_{i}": Metric("count_if", period == name) for i, name in enumerate(names)}
-    most = F.greatest(*[F.col(c) for c in counters])
-    pick = F.coalesce(*[F.when(F.col(c) == most, name) for c, name in zip(counters, names)])
-    return Tag({"ReadedTime_Browser": pick}, counters)
+    counters = {f"period_{i}": Metric("count_if", f"period = {literal(name)}") for i, name in enumerate(names)}
+    most = f"greatest({', '.join(counters)})"
+    pick = case([(f"{counter} = {most}", name) for counter, name in zip(counters, names)])
+    return Tag({"ReadedTime_Browser": pick}, counters,
+               inputs={"period": bin_ladder(hour_of("log_time"), ladder, default)})
 
 
 def device(rules=L.DEVICE, default: str = L.DEVICE_DEFAULT) -> Tag:
     """Device of the newest view."""
     labels = [*[r.label for r in rules], default]
-    newest = latest(epoch_micros(F.col("log_time")), text_position(F.col("user_agent"), rules), len(labels))
-    return Tag({"device": latest_label(F.col("device_latest"), labels)}, {"device_latest": newest})
+    return Tag({"device": latest_label("device_latest", labels)},
+               {"device_latest": latest("seen", text_position("user_agent", rules), len(labels))}, inputs=_SEEN)
 
 
 def page_type(rules=L.PAGE_TYPE, default: str = L.PAGE_TYPE_DEFAULT) -> Tag:
     """Kind of the newest page seen and of the page it was reached from."""
     labels = [*[r.label for r in rules], default]
     urls = {"browser_loc_url": "loc_url", "browser_ref_url": "ref_url"}
-    time = epoch_micros(F.col("log_time"))
     return Tag(
-        {name: latest_label(F.col(f"{url}_latest"), labels) for name, url in urls.items()},
-        {f"{url}_latest": latest(time, text_position(F.col(url), rules), len(labels)) for url in urls.values()})
+        {name: latest_label(f"{url}_latest", labels) for name, url in urls.items()},
+        {f"{url}_latest": latest("seen", text_position(url, rules), len(labels)) for url in urls.values()},
+        inputs=_SEEN)
 
 
 def viewed_products(logs: DataFrame) -> DataFrame:
     """(id, productId) per product page view, with whole-number product ids."""
-    viewed = logs_with_id(logs).select("id", whole_id(product_id(F.col("loc_url")), "int").alias("productId"))
-    return viewed.where(F.col("productId").isNotNull())
+    viewed = logs_with_id(logs).selectExpr("id", f"{whole_id(product_id('loc_url'), 'INT')} AS productId")
+    return viewed.where("productId IS NOT NULL")
 
 
 def view_goods(logs: DataFrame, goods: DataFrame) -> DataFrame:
@@ -105,7 +110,7 @@ def view_goods(logs: DataFrame, goods: DataFrame) -> DataFrame:
     Both sides are made distinct first: repeated views and repeated order lines would
     otherwise multiply in the join.
     """
-    names = goods.select(whole_id("productId", "int").alias("productId"), "productName").distinct()
+    names = goods.selectExpr(f"{whole_id('productId', 'INT')} AS productId", "productName").distinct()
     named = viewed_products(logs).distinct().join(names, "productId", "inner")
     return set_join(named, "id", "productName", "ViewGoods")
 

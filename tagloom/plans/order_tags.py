@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tagloom import labels as L
 from tagloom.functions.casting import to_long
 from tagloom.functions.ladders import bin_ladder, decode_position
@@ -12,86 +10,74 @@ from tagloom.functions.timing import days_between
 from tagloom.operators.metrics import Metric, ModeOf, latest, latest_label
 from tagloom.plans.tag import Tag
 
-
-def _amount_metrics() -> dict[str, Metric]:
-    amount = to_long("orderAmount")
-    return {
-        "amount_sum": Metric("sum", amount),
-        "amount_max": Metric("max", amount),
-        "amount_rows": Metric("count", amount),
-    }
+_AMOUNT = {"amount": to_long("orderAmount")}
+_FINISH = {"finish": to_long("finishTime")}
 
 
 def home_city(book=L.HOME_CITY, default: str = L.HOME_CITY_DEFAULT) -> Tag:
     """City of the customer's newest order."""
     labels = [*book.values(), default]
-    newest = latest(to_long("finishTime"), decode_position(F.col("city"), book), len(labels))
-    return Tag({"jiguan": latest_label(F.col("city_latest"), labels)}, {"city_latest": newest})
+    return Tag({"jiguan": latest_label("city_latest", labels)},
+               {"city_latest": latest("finish", decode_position("city", book), len(labels))}, inputs=_FINISH)
 
 
 def payment() -> Tag:
     """Most used payment code."""
-    return Tag({"paymentCode": F.col("payment_mode")}, {"payment_mode": ModeOf("paymentCode")})
+    return Tag({"paymentCode": "payment_mode"}, {"payment_mode": ModeOf("paymentCode")})
 
 
 def spend_total(ladder=L.SPEND_TOTAL) -> Tag:
-    metrics = _amount_metrics()
-    return Tag({"ComsumptionAbility": bin_ladder(F.col("amount_sum"), ladder, L.UNKNOWN)},
-               {"amount_sum": metrics["amount_sum"]})
+    return Tag({"ComsumptionAbility": bin_ladder("amount_sum", ladder, L.UNKNOWN)},
+               {"amount_sum": Metric("sum", "amount")}, inputs=_AMOUNT)
 
 
 def spend_max(ladder=L.SPEND_MAX) -> Tag:
-    metrics = _amount_metrics()
-    return Tag({"MaxSingleComsumption": bin_ladder(F.col("amount_max"), ladder, L.UNKNOWN)},
-               {"amount_max": metrics["amount_max"]})
+    return Tag({"MaxSingleComsumption": bin_ladder("amount_max", ladder, L.UNKNOWN)},
+               {"amount_max": Metric("max", "amount")}, inputs=_AMOUNT)
 
 
 def spend_avg(ladder=L.SPEND_AVG) -> Tag:
-    metrics = _amount_metrics()
-    average = share(F.col("amount_sum"), F.col("amount_rows"))
-    return Tag({"PerCustomerTransation": bin_ladder(average, ladder, L.UNKNOWN)},
-               {n: metrics[n] for n in ("amount_sum", "amount_rows")})
+    return Tag({"PerCustomerTransation": bin_ladder(share("amount_sum", "amount_rows"), ladder, L.UNKNOWN)},
+               {"amount_sum": Metric("sum", "amount"), "amount_rows": Metric("count", "amount")}, inputs=_AMOUNT)
 
 
 def purchase_frequency(ladder=L.PURCHASE_FREQUENCY) -> Tag:
-    return Tag({"purchaseFrequency": bin_ladder(F.col("order_rows"), ladder, L.UNKNOWN)},
-               {"order_rows": Metric("rows")})
+    return Tag({"purchaseFrequency": bin_ladder("order_rows", ladder, L.UNKNOWN)},
+               {"order_rows": Metric("count", "1")})
 
 
 def advisory(ladder=L.ADVISORY) -> Tag:
     """Share of orders with a customer-service contact."""
-    ratio = share_3_decimals(F.col("advised"), F.col("amount_texts"))
+    ratio = share_3_decimals("advised", "amount_texts")
     return Tag({"AdvisoryServiceFrequency": bin_ladder(ratio, ladder, L.UNKNOWN)}, {
-        "advised": Metric("count_if", to_long("smManualTime") > 0),
-        "amount_texts": Metric("count", F.col("orderAmount")),
+        "advised": Metric("count_if", f"{to_long('smManualTime')} > 0"),
+        "amount_texts": Metric("count", "orderAmount"),
     })
 
 
 def consumption_cycle(ladder=L.CONSUMPTION_CYCLE) -> Tag:
     """Days between first and last finished order, per finished order."""
-    time = to_long("finishTime")
-    finished = F.when(time > 0, time)
-    days = days_between(F.col("finish_max"), F.col("finish_min"))
-    return Tag({"consumptionCycle": bin_ladder(share(days, F.col("finish_rows")), ladder, L.UNKNOWN)}, {
+    finished = "CASE WHEN finish > 0 THEN finish END"
+    days = share(days_between("finish_max", "finish_min"), "finish_rows")
+    return Tag({"consumptionCycle": bin_ladder(days, ladder, L.UNKNOWN)}, {
         "finish_max": Metric("max", finished),
         "finish_min": Metric("min", finished),
         "finish_rows": Metric("count", finished),
-    }, present=F.col("finish_rows") > 0)
+    }, inputs=_FINISH, present="finish_rows > 0")
 
 
 def replacement(ladder=L.REPLACEMENT) -> Tag:
-    ratio = share_3_decimals(F.col("replaced"), F.col("status_texts"))
+    ratio = share_3_decimals("replaced", "status_texts")
     return Tag({"replacementRate": bin_ladder(ratio, ladder, L.UNKNOWN)}, {
-        "replaced": Metric("count_if", F.col("orderStatus") == "1"),
-        "status_texts": Metric("count", F.col("orderStatus")),
+        "replaced": Metric("count_if", "orderStatus = '1'"),
+        "status_texts": Metric("count", "orderStatus"),
     })
 
 
 def returns(ladder=L.RETURN) -> Tag:
-    ratio = share(F.col("returned"), F.col("order_ids"))
-    return Tag({"returnRate": bin_ladder(ratio, ladder)}, {
-        "returned": Metric("count_if", F.col("orderStatus") == "0"),
-        "order_ids": Metric("count", F.col("orderId")),
+    return Tag({"returnRate": bin_ladder(share("returned", "order_ids"), ladder)}, {
+        "returned": Metric("count_if", "orderStatus = '0'"),
+        "order_ids": Metric("count", "orderId"),
     })
 
 

@@ -30,21 +30,37 @@ class ProfileSettings:
 
 
 def checkpointed(spark: SparkSession) -> Callable[[DataFrame], DataFrame] | None:
-    """Stages a frame in the cluster's shared folder; None when the session names none."""
+    """Stages a frame by id in the cluster's shared folder; None when the session names none.
+
+    Adaptive execution may have coalesced the stored partitions, so the frame is
+    partitioned by id again to stay aligned with the other frames of the profile.
+    """
     if configured_dir(spark) is None:
         return None
     use_checkpoints(spark)
-    return lambda df: df.checkpoint()
+    return lambda df: df.checkpoint().repartition("id")
 
 
 def assemble(frames: Sequence[DataFrame], key: str = "id") -> DataFrame:
-    """One row per key that any frame knows. Keys must be unique in each frame."""
-    return reduce(lambda left, right: left.join(right, key, "full_outer"), frames)
+    """One row per key that any frame knows. Keys must be unique in each frame.
+
+    Frames that come out of an aggregation by the key are already hash-partitioned by it,
+    and so is their union: bringing the parts of a key together needs a local sort but no
+    further shuffle. (A chain of full outer joins would shuffle the growing wide rows
+    again at every step.) Each frame travels as one struct, so absent parts cost nothing.
+    """
+    columns = [[c for c in f.columns if c != key] for f in frames]
+    parts = [f.select(key, F.struct(*names).alias(f"part{i}")) for i, (f, names) in enumerate(zip(frames, columns))]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    merged = stacked.groupBy(key).agg(
+        *[F.first(f"part{i}", ignorenulls=True).alias(f"part{i}") for i in range(len(parts))])
+    return merged.select(key, *[
+        F.col(f"part{i}.{name}").alias(name) for i, names in enumerate(columns) for name in names])
 
 
 def source_frames(sources: Sources, settings: ProfileSettings, stage=None) -> list[DataFrame]:
     """One frame per source, each with all its tags from one scan and one aggregation."""
-    users = sources.users.where(F.col("id").isNotNull())
+    users = sources.users.where(F.col("id").isNotNull()).repartition("id")
     orders = orders_with_id(sources.orders, settings.id_digits)
     lines = order_lines(sources.orders, sources.goods, settings.id_digits)
     logs = logs_with_id(sources.logs)

@@ -18,8 +18,8 @@ from tagloom.session import use_checkpoints
 # ---- ratings ---------------------------------------------------------------------
 
 def _rating(pairs: DataFrame, item: str) -> DataFrame:
-    ints = pairs.select(whole_id("id", "int").alias("userId"), whole_id(item, "int").alias(item))
-    known = ints.where(F.col("userId").isNotNull() & F.col(item).isNotNull())
+    ints = pairs.selectExpr(f"{whole_id('id', 'INT')} AS userId", f"{whole_id(item, 'INT')} AS {item}")
+    known = ints.where(f"userId IS NOT NULL AND {item} IS NOT NULL")
     return known.groupBy("userId", item).agg(F.count(F.lit(1)).alias("rating"))
 
 
@@ -37,8 +37,8 @@ def brand_ratings(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3
                   groups: dict = L.BRAND_GROUP) -> DataFrame:
     """Order lines per customer and brand group."""
     lines = order_lines(orders, goods, id_digits)
-    brand = decode_many(F.col("brandId"), groups, L.BRAND_GROUP_DEFAULT)
-    return _rating(lines.withColumn("brand", brand), "brand")
+    brand = decode_many("brandId", groups, L.BRAND_GROUP_DEFAULT)
+    return _rating(lines.selectExpr("id", f"{brand} AS brand"), "brand")
 
 
 def with_line_copies(ratings: DataFrame, goods: DataFrame) -> DataFrame:
@@ -48,19 +48,17 @@ def with_line_copies(ratings: DataFrame, goods: DataFrame) -> DataFrame:
     would only repeat the rating, so the rating is kept once with its number of copies.
     A product with many viewers and many lines stays as small as its viewers.
     """
-    lines = (goods.select(whole_id("productId", "int").alias("productId")).where(F.col("productId").isNotNull())
+    lines = (goods.selectExpr(f"{whole_id('productId', 'INT')} AS productId").where("productId IS NOT NULL")
              .groupBy("productId").agg(F.count(F.lit(1)).alias("copies")))
     return ratings.join(lines, "productId", "inner").select("userId", "productId", "rating", "copies")
 
 
-def repeat_copies(ratings: DataFrame) -> DataFrame:
-    """The uncompacted form: one row per copy. Only for small order tables."""
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return ratings.withColumn("copy", copy).select("userId", "productId", "rating")
-
-
 def copies_as_confidence(ratings: DataFrame) -> DataFrame:
-    """Rating times copies: the confidence the repeated rows would add up to."""
+    """Rating times copies: the confidence that repeated rows would add up to.
+
+    Implicit ALS weighs an observation by 1 + alpha * rating; n equal rows and one row of
+    n times the rating put the same alpha-weight on the pair.
+    """
     return ratings.select("userId", "productId", (F.col("rating") * F.col("copies")).alias("rating"))
 
 
@@ -110,7 +108,7 @@ def favourite_types(orders: DataFrame, goods: DataFrame, id_digits: int | None =
 
 def brand_sets(brands: DataFrame, name: str = "favorBrandName", book: dict = L.BRAND_NAME) -> DataFrame:
     """Brand names of (id, brand) rows as one sorted list per user."""
-    named = brands.select("id", decode(F.col("brand").cast("string"), book, L.BRAND_NAME_DEFAULT).alias("brandName"))
+    named = brands.selectExpr("id", f"{decode('CAST(brand AS STRING)', book, L.BRAND_NAME_DEFAULT)} AS brandName")
     return set_join(named, "id", "brandName", name)
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import labels as L
 from tagloom.functions.casting import suffix_id, to_double, to_long
-from tagloom.functions.ladders import bin_ladder, decode
+from tagloom.functions.ladders import bin_ladder
 from tagloom.functions.timing import recency_days
+from tagloom.operators.metrics import aggregate, latest, latest_label
 
 SCORES = ["recency", "frequency", "money"]
 
@@ -17,20 +20,18 @@ SCORES = ["recency", "frequency", "money"]
 def rfm_metrics(orders: DataFrame, as_of: str) -> DataFrame:
     """Per member: days since the last finished order, orders, total spent."""
     per_member = orders.groupBy("memberId").agg(
-        F.max(to_long("finishTime")).alias("lastFinish"),
+        F.max(F.expr(to_long("finishTime"))).alias("lastFinish"),
         F.count("orderSn").alias("frequency"),
-        F.sum(to_double("orderAmount")).alias("money"))
-    return per_member.withColumn("recency", recency_days(as_of, F.col("lastFinish")))
+        F.sum(F.expr(to_double("orderAmount"))).alias("money"))
+    return per_member.withColumn("recency", F.expr(recency_days(as_of, "lastFinish")))
 
 
 def rfm_scores(metrics: DataFrame, recency=L.RFM_RECENCY, frequency=L.RFM_FREQUENCY,
                money=L.RFM_MONEY) -> DataFrame:
     """Each metric as a score of 1 to 5; a value between two rungs has none."""
-    return metrics.select(
-        "memberId", "lastFinish",
-        bin_ladder(F.col("recency"), recency).cast("int").alias("recency"),
-        bin_ladder(F.col("frequency"), frequency).cast("int").alias("frequency"),
-        bin_ladder(F.col("money"), money).cast("int").alias("money"))
+    ladders = {"recency": recency, "frequency": frequency, "money": money}
+    return metrics.selectExpr("memberId", "lastFinish", *[
+        f"{bin_ladder(name, ladder)} AS {name}" for name, ladder in ladders.items()])
 
 
 def _vectors(scores: DataFrame) -> DataFrame:
@@ -55,13 +56,21 @@ def fit_segments(scores: DataFrame, settings: dict = L.RFM_KMEANS) -> KMeansMode
     return solver.fit(points)
 
 
-def assign_segments(scores: DataFrame, model: KMeansModel) -> DataFrame:
+def score_grid(spark: SparkSession, *ladders: list[L.Bin]) -> DataFrame:
+    """Every score triple the ladders can give: 125 rows for five rungs each."""
+    triples = list(product(*[sorted({b.label for b in ladder}) for ladder in ladders]))
+    return spark.createDataFrame(triples, ", ".join(f"{name} int" for name in SCORES))
+
+
+def assign_segments(scores: DataFrame, model: KMeansModel,
+                    ladders=(L.RFM_RECENCY, L.RFM_FREQUENCY, L.RFM_MONEY)) -> DataFrame:
     """Cluster per member, null where a score is missing.
 
-    The model runs on the distinct points; members look their point up. The points are
-    at most 125 rows, which is what makes the broadcast safe.
+    The model runs on the grid of possible triples and members look theirs up: one pass
+    over the members, and a broadcast whose size the ladders fix.
     """
-    points = model.transform(_vectors(score_points(scores))).select(*SCORES, F.col(model.getPredictionCol()).alias("cluster"))
+    grid = model.transform(_vectors(score_grid(scores.sparkSession, *ladders)))
+    points = grid.select(*SCORES, F.col(model.getPredictionCol()).alias("cluster"))
     return scores.join(F.broadcast(points), SCORES, "left")
 
 
@@ -69,17 +78,13 @@ def user_value(scores: DataFrame, model: KMeansModel, id_digits: int | None = 3,
                book: dict = L.USER_VALUE) -> DataFrame:
     """Value label per customer id. Members sharing an id: the latest buyer's label counts,
     equal times the smaller cluster number."""
-    unknown = len(book)
-    cluster = F.coalesce(F.col("cluster"), F.lit(unknown))
-    limit = (2**63 - 1) // (unknown + 1) - 1
-    last = F.greatest(F.least(F.coalesce(F.col("lastFinish"), F.lit(-limit)), F.lit(limit)), F.lit(-limit))
-    size = unknown + 1
+    labels = [*[book.get(str(i), L.UNKNOWN) for i in range(len(book))], L.UNKNOWN]
     keyed = (assign_segments(scores, model)
-             .withColumn("id", suffix_id("memberId", id_digits))
-             .where(F.col("id").isNotNull()))
-    newest = keyed.groupBy("id").agg(F.max(last * size + (unknown - cluster)).alias("packed"))
-    number = (unknown - F.pmod("packed", F.lit(size))).cast("string")
-    return newest.select("id", decode(number, book, L.UNKNOWN).alias("userValue"))
+             .withColumn("id", F.expr(suffix_id("memberId", id_digits)))
+             .where("id IS NOT NULL"))
+    newest = latest("lastFinish", f"coalesce(cluster, {len(book)})", len(labels))
+    per_id = aggregate(keyed, "id", {"segment_latest": newest})
+    return per_id.selectExpr("id", f"{latest_label('segment_latest', labels)} AS userValue")
 
 
 def segment_centers(model: KMeansModel) -> list[tuple[int, float, float, float]]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tagloom.operators.grouping import with_totals
 from tagloom.operators.metrics import Metric, ModeOf, SetOf, aggregate
@@ -18,31 +18,45 @@ from tagloom.operators.metrics import Metric, ModeOf, SetOf, aggregate
 
 @dataclass(frozen=True)
 class Tag:
-    """``columns`` are output column -> label; an absent tag (``present`` false) is null."""
+    """Everything is SQL expression text.
 
-    columns: dict[str, Column]
+    ``inputs``: values derived from a source row, computed once however many metrics use
+    them. ``metrics``: aggregates per key. ``totals``: one-row aggregates over all keys.
+    ``columns``: output column -> label; a tag that does not apply (``present`` is false)
+    is null.
+    """
+
+    columns: dict[str, str]
     metrics: dict[str, Metric | ModeOf | SetOf] = field(default_factory=dict)
-    totals: dict[str, Column] = field(default_factory=dict)
-    present: Column | None = None
+    inputs: dict[str, str] = field(default_factory=dict)
+    totals: dict[str, str] = field(default_factory=dict)
+    present: str | None = None
 
-    def outputs(self) -> list[Column]:
-        def guarded(label: Column) -> Column:
-            return label if self.present is None else F.when(self.present, label)
-        return [guarded(label).alias(name) for name, label in self.columns.items()]
+    def outputs(self) -> list[str]:
+        def guarded(label: str) -> str:
+            return label if self.present is None else f"CASE WHEN {self.present} THEN {label} END"
+        return [f"{guarded(label)} AS {name}" for name, label in self.columns.items()]
 
 
 def _merged(parts: Iterable[dict]) -> dict:
-    """Union of the tags' metrics. Equal names mean equal metrics by convention."""
+    """Union of the tags' definitions; a name stands for one definition only."""
     merged: dict = {}
     for part in parts:
         for name, value in part.items():
-            merged.setdefault(name, value)
+            if merged.setdefault(name, value) != value:
+                raise ValueError(f"two definitions of {name}: {merged[name]} and {value}")
     return merged
 
 
 def project_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id") -> DataFrame:
     """Tags that need no aggregation: one projection, no shuffle."""
-    return rows.select(key, *[c for t in tags for c in t.outputs()])
+    return rows.selectExpr(key, *[c for t in tags for c in t.outputs()])
+
+
+def _per_key(rows: DataFrame, tags: list[Tag], key: str) -> DataFrame:
+    inputs = _merged(t.inputs for t in tags)
+    derived = rows.withColumns({n: F.expr(sql) for n, sql in inputs.items()}) if inputs else rows
+    return aggregate(derived, key, _merged(t.metrics for t in tags))
 
 
 def aggregate_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id",
@@ -54,7 +68,7 @@ def aggregate_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id",
     totals do not read the source twice.
     """
     tags = list(tags)
-    per_key = aggregate(rows, key, _merged(t.metrics for t in tags))
+    per_key = _per_key(rows, tags, key)
     totals = _merged(t.totals for t in tags)
     if totals:
         per_key = with_totals(stage(per_key) if stage else per_key, totals)
@@ -63,9 +77,9 @@ def aggregate_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id",
 
 def single_tag(rows: DataFrame, tag: Tag, key: str = "id") -> DataFrame:
     """One tag on its own; keys it does not apply to are left out."""
-    per_key = aggregate(rows, key, tag.metrics) if tag.metrics else rows
+    per_key = _per_key(rows, [tag], key) if tag.metrics else rows
     if tag.totals:
         per_key = with_totals(per_key, tag.totals)
     if tag.present is not None:
         per_key = per_key.where(tag.present)
-    return per_key.select(key, *[label.alias(name) for name, label in tag.columns.items()])
+    return per_key.selectExpr(key, *[f"{label} AS {name}" for name, label in tag.columns.items()])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tagloom import labels as L
 from tagloom.functions.ladders import bin_ladder, decode
 from tagloom.functions.timing import birth_year, days_since, month_day
@@ -11,40 +9,40 @@ from tagloom.plans.tag import Tag
 
 
 def num() -> Tag:
-    return Tag({"num": F.col("id").cast("string")})
+    return Tag({"num": "CAST(id AS STRING)"})
 
 
 def gender(book=L.GENDER) -> Tag:
-    return Tag({"gender": decode(F.col("gender"), book, L.UNKNOWN)})
+    return Tag({"gender": decode("gender", book, L.UNKNOWN)})
 
 
 def job(book=L.JOB) -> Tag:
-    return Tag({"job": decode(F.col("job"), book, L.JOB_DEFAULT)})
+    return Tag({"job": decode("job", book, L.JOB_DEFAULT)})
 
 
 def marriage(book=L.MARRIAGE) -> Tag:
-    return Tag({"marriage": decode(F.col("marriage"), book, L.UNKNOWN)})
+    return Tag({"marriage": decode("marriage", book, L.UNKNOWN)})
 
 
 def nationality(book=L.NATIONALITY) -> Tag:
-    return Tag({"nationality": decode(F.col("nationality"), book, L.UNKNOWN)})
+    return Tag({"nationality": decode("nationality", book, L.UNKNOWN)})
 
 
 def political_face(book=L.POLITICAL_FACE) -> Tag:
-    return Tag({"politicalFace": decode(F.col("politicalFace"), book, L.UNKNOWN)})
+    return Tag({"politicalFace": decode("politicalFace", book, L.UNKNOWN)})
 
 
 def age_range(ladder=L.AGE_RANGE) -> Tag:
-    return Tag({"ageRange": bin_ladder(birth_year(F.col("birthday")), ladder, L.UNKNOWN)})
+    return Tag({"ageRange": bin_ladder(birth_year("birthday"), ladder, L.UNKNOWN)})
 
 
 def constellation(ladder=L.CONSTELLATION) -> Tag:
-    return Tag({"constellation": bin_ladder(month_day(F.col("birthday")), ladder, L.UNKNOWN)})
+    return Tag({"constellation": bin_ladder(month_day("birthday"), ladder, L.UNKNOWN)})
 
 
 def latest_login(as_of: str, ladder=L.LATEST_LOGIN) -> Tag:
     """Days from the last login back from ``as_of``; later logins stay in the default."""
-    days = days_since(as_of, F.col("lastLoginTime"))
+    days = days_since(as_of, "lastLoginTime")
     return Tag({"LatestLogin": bin_ladder(days, ladder, L.LATEST_LOGIN_DEFAULT)})
 
 

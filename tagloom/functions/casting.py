@@ -20,13 +20,20 @@ def literal(value) -> str:
     return f"{value!r}D" if isinstance(value, float) else str(value)
 
 
+def _whole_number(c: str, kind: str) -> str:
+    """Only texts with a decimal point take the slower decimal parse, and no text without
+    digits reaches the plain cast, where a failing parse is costly."""
+    return (f"CASE WHEN contains({c}, '.') THEN try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS {kind}) "
+            f"WHEN {c} <> '' THEN try_cast({c} AS {kind}) END")
+
+
 def to_long(c: str) -> str:
-    """Text to bigint, dropping decimals."""
-    return f"try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS BIGINT)"
+    """Text column to bigint, dropping decimals."""
+    return _whole_number(c, "BIGINT")
 
 
 def to_int(c: str) -> str:
-    return f"try_cast(try_cast({c} AS {_WIDE_DECIMAL}) AS INT)"
+    return _whole_number(c, "INT")
 
 
 def to_double(c: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -9,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import labels as L
+from tagloom.functions.casting import text
 from tagloom.operators.joining import order_lines, orders_with_id
 from tagloom.plans.line_tags import line_tags
 from tagloom.plans.log_tags import log_tags, logs_with_id, view_goods
@@ -119,33 +121,63 @@ class ProfileStore:
     """Parquet versions of the profile under one root; the newest complete one counts.
 
     An upsert reads the newest version and writes the next, so a failed or repeated run
-    never damages what readers see.
+    never damages what readers see. With ``buckets`` (at least the shuffle width of the
+    session) versions are bucketed by id: an upsert then shuffles only its update, never
+    the stored profile, and its result is already split the way it is written.
     """
 
     spark: SparkSession
     root: str
+    buckets: int | None = None
 
-    def _path(self, version: int) -> str:
-        return f"{self.root}/version={version:08d}"
+    def _versions(self) -> dict[int, tuple[str, int]]:
+        """version -> (path, buckets) of complete versions: a listing of folder names only."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        found = {}
+        for file in files or []:
+            folder = file.getPath().getParent()
+            version, _, buckets = folder.getName().removeprefix("version=").partition("-b")
+            found[int(version)] = (folder.toString(), int(buckets or 0))
+        return dict(sorted(found.items()))
 
     def versions(self) -> list[int]:
-        """Complete versions, oldest first: a listing of folder names only."""
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files or [])
+        return list(self._versions())
+
+    def _table(self, version: int) -> str:
+        return f"profile_{zlib.crc32(self.root.encode()):08x}_{version:08d}"
 
     def read(self) -> DataFrame | None:
-        versions = self.versions()
-        return self.spark.read.parquet(self._path(versions[-1])) if versions else None
+        versions = self._versions()
+        if not versions:
+            return None
+        version, (path, buckets) = list(versions.items())[-1]
+        stored = self.spark.read.parquet(path)
+        if not buckets:
+            return stored
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._table(version)} ({columns}) USING parquet "
+            f"CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS LOCATION {text(path)}")
+        return self.spark.table(self._table(version))
 
     def write(self, profile: DataFrame) -> int:
-        versions = self.versions()
-        version = versions[-1] + 1 if versions else 1
-        profile.write.mode("overwrite").parquet(self._path(version))
+        split = profile.repartition(self.buckets, "id") if self.buckets else profile
+        return self._write(split)
+
+    def _write(self, profile: DataFrame) -> int:
+        version = max(self.versions(), default=0) + 1
+        path = f"{self.root}/version={version:08d}"
+        if not self.buckets:
+            profile.write.mode("overwrite").parquet(path)
+        else:
+            (profile.write.mode("overwrite").format("parquet").bucketBy(self.buckets, "id").sortBy("id")
+             .option("path", f"{path}-b{self.buckets}").saveAsTable(self._table(version)))
         return version
 
     def upsert(self, update: DataFrame) -> int:
         current = self.read()
         fresh = update.where(F.col("id").isNotNull())
-        return self.write(fresh if current is None else upsert(current, fresh))
+        if current is None:
+            return self.write(fresh)
+        return self._write(upsert(current, fresh))

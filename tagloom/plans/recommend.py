@@ -71,7 +71,7 @@ def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
     use_checkpoints(spark)
     width = blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
     solver = ALS(userCol="userId", itemCol=item, ratingCol="rating", implicitPrefs=True,
-                 coldStartStrategy="drop", seed=seed, checkpointInterval=2,
+                 coldStartStrategy="drop", seed=seed, checkpointInterval=5,
                  numUserBlocks=width, numItemBlocks=width, **settings)
     return solver.fit(ratings)
 

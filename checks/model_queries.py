@@ -54,28 +54,27 @@ def _user_value(s):
 @query("als_fit_views")
 def _als_fit(s):
     """The fitted visitor factors."""
-    model = R.fit_page_views(s.logs, s.goods)
-    return model.userFactors
+    return R.fit_page_views(R.view_ratings(s.logs), s.goods).userFactors
 
 
 @query("als_topn_wide")
 def _als_topn(s):
-    return R.page_view_favourites(s.logs, s.goods)
+    return R.page_view_favourites(R.fit_page_views(R.view_ratings(s.logs), s.goods), s.goods)
 
 
 @query("tag_favor_products")
 def _favor_products(s):
-    return R.favourite_products(s.logs, s.goods)
+    return R.favourite_products(R.view_ratings(s.logs), s.goods)
 
 
 @query("tag_favor_types")
 def _favor_types(s):
-    return R.favourite_types(s.orders, s.goods, ID_DIGITS)
+    return R.favourite_types(R.bought_items(s.orders, s.goods, ID_DIGITS), s.goods)
 
 
 @query("tag_favor_brands")
 def _favor_brands(s):
-    return R.favourite_brands(s.orders, s.goods, ID_DIGITS)
+    return R.favourite_brands(R.bought_items(s.orders, s.goods, ID_DIGITS))
 
 
 @query("model_roundtrip")
@@ -85,9 +84,9 @@ def _roundtrip(s):
     member_scores = scores(s)
     segments, factors = new_path(spark, "segments"), new_path(spark, "factors")
     V.fit_segments(member_scores).write().overwrite().save(segments)
-    R.fit_page_views(s.logs, s.goods).write().overwrite().save(factors)
+    R.fit_page_views(R.view_ratings(s.logs), s.goods).write().overwrite().save(factors)
     values = V.user_value(member_scores, KMeansModel.load(segments), ID_DIGITS)
-    names = R.page_view_favourites(s.logs, s.goods, model=ALSModel.load(factors))
+    names = R.page_view_favourites(ALSModel.load(factors), s.goods)
     return values.join(names.select("id", "productName0"), "id", "left")
 
 
@@ -95,12 +94,7 @@ def _roundtrip(s):
 def _profile_full(s):
     """The whole profile, with value segments and favourites."""
     spark = s.orders.sparkSession
-    member_scores = scores(s)
-    extra = [
-        V.user_value(member_scores, V.fit_segments(member_scores), ID_DIGITS),
-        R.favourite_products(s.logs, s.goods),
-        R.favourite_types(s.orders, s.goods, ID_DIGITS),
-        R.favourite_brands(s.orders, s.goods, ID_DIGITS),
-        R.page_view_favourites(s.logs, s.goods),
-    ]
-    return P.build_profile(spark, s, PROFILE, extra)
+    stage = P.checkpointed(spark)
+    member_scores = stage(scores(s)) if stage else scores(s)
+    value = V.user_value(member_scores, V.fit_segments(member_scores), ID_DIGITS)
+    return P.build_profile(spark, s, PROFILE, [value, *R.favourite_frames(s, ID_DIGITS, stage)])

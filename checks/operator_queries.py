@@ -18,8 +18,8 @@ from tagloom.operators.grouping import dedup_by_key, mode_per_key, set_join
 from tagloom.operators.joining import (lookup, lookup_book, order_lines, orders_with_id, product_names)
 from tagloom.operators.ranking import ranks_to_columns, top_n_per_key
 from tagloom.plans.log_tags import logs_with_id
-from tagloom.plans.recommend import (brand_ratings, brand_sets, names_by_rank, order_ratings, view_ratings,
-                                     with_line_copies)
+from tagloom.plans.recommend import (bought_items, brand_ratings, brand_sets, counted_items, names_by_rank,
+                                     order_ratings, view_ratings, with_line_copies)
 
 AMT = "cast(trunc(try_cast(orderAmount as double)) as bigint)"
 
@@ -216,7 +216,7 @@ def _rating_views(s):
 
 @query("rating_orders", """SELECT cast(cid as int) AS "userId", cast(productId as int) AS "productId", count(*) AS rating FROM l9 GROUP BY 1, 2""")
 def _rating_orders(s):
-    return order_ratings(s.orders, s.goods, ID_DIGITS)
+    return order_ratings(bought_items(s.orders, s.goods, ID_DIGITS))
 
 
 _BRAND = """case when brandId in ('297', '301', '0') then 1 when brandId = '298' then 2 when brandId = '299' then 3
@@ -225,7 +225,7 @@ _BRAND = """case when brandId in ('297', '301', '0') then 1 when brandId = '298'
 
 @query("rating_brands", f"""SELECT cast(cid as int) AS "userId", {_BRAND} AS brand, count(*) AS rating FROM l9 GROUP BY 1, 2""")
 def _rating_brands(s):
-    return brand_ratings(s.orders, s.goods, ID_DIGITS)
+    return brand_ratings(counted_items(bought_items(s.orders, s.goods, ID_DIGITS)))
 
 
 @query("agg_two_level", """SELECT cast(sum(n) as bigint) AS views, count(*) AS visitors, round(sum(n) / 950.0::double, 4) AS mean
@@ -275,13 +275,13 @@ _NAMES = f"""SELECT cid, string_agg(DISTINCT b, ',' ORDER BY b) AS s FROM (SELEC
 @query("bought_brand_sets", f'SELECT cid AS id, s AS "favorBrandName" FROM ({_NAMES})')
 def _brand_sets(s):
     """The set-join of brand names, on bought brands."""
-    bought = brand_ratings(s.orders, s.goods, ID_DIGITS).select(F.col("userId").cast("bigint").alias("id"), "brand")
+    bought = bought_items(s.orders, s.goods, ID_DIGITS)
     return brand_sets(bought)
 
 
 @query("distinct_brand_sets", f'SELECT DISTINCT s AS "favorBrandName" FROM ({_NAMES})')
 def _distinct_sets(s):
-    bought = brand_ratings(s.orders, s.goods, ID_DIGITS).select(F.col("userId").cast("bigint").alias("id"), "brand")
+    bought = bought_items(s.orders, s.goods, ID_DIGITS)
     return brand_sets(bought).select("favorBrandName").distinct()
 
 # ---- scalar functions -------------------------------------------------------------------------

@@ -32,15 +32,11 @@ class ProfileSettings:
 
 
 def checkpointed(spark: SparkSession) -> Callable[[DataFrame], DataFrame] | None:
-    """Stages a frame by id in the cluster's shared folder; None when the session names none.
-
-    Adaptive execution may have coalesced the stored partitions, so the frame is
-    partitioned by id again to stay aligned with the other frames of the profile.
-    """
+    """Stages a frame in the cluster's shared folder; None when the session names none."""
     if configured_dir(spark) is None:
         return None
     use_checkpoints(spark)
-    return lambda df: df.checkpoint().repartition("id")
+    return lambda df: df.checkpoint()
 
 
 def assemble(frames: Sequence[DataFrame], key: str = "id") -> DataFrame:
@@ -70,7 +66,9 @@ def source_frames(sources: Sources, settings: ProfileSettings, stage=None) -> li
         project_tags(users, user_tags(settings.as_of).values()),
         aggregate_tags(orders, order_tags(settings.ladders).values()),
         aggregate_tags(lines, line_tags().values()),
-        aggregate_tags(logs, log_tags(settings.population).values(), stage=stage),
+        aggregate_tags(logs, log_tags(settings.population).values(), stage=stage and (
+            # stored partitions may be coalesced ones: align them with the other frames again
+            lambda per_id: stage(per_id).repartition("id"))),
         view_goods(sources.logs, sources.goods),
     ]
 

@@ -13,14 +13,18 @@ from tagloom.operators.joining import lookup, order_lines, product_names
 from tagloom.operators.ranking import ranks_to_columns
 from tagloom.plans.log_tags import viewed_products
 from tagloom.session import use_checkpoints
+from tagloom.sources.tables import Sources
 
 
 # ---- ratings ---------------------------------------------------------------------
 
 def _rating(pairs: DataFrame, item: str) -> DataFrame:
-    ints = pairs.selectExpr(f"{whole_id('id', 'INT')} AS userId", f"{whole_id(item, 'INT')} AS {item}")
+    """Rows, or already counted ``rows``, per user and item. Users and items must fit an int."""
+    counted = "rows" if "rows" in pairs.columns else "1"
+    ints = pairs.selectExpr(f"{whole_id('id', 'INT')} AS userId", f"{whole_id(item, 'INT')} AS {item}",
+                            f"CAST({counted} AS BIGINT) AS rows")
     known = ints.where(f"userId IS NOT NULL AND {item} IS NOT NULL")
-    return known.groupBy("userId", item).agg(F.count(F.lit(1)).alias("rating"))
+    return known.groupBy("userId", item).agg(F.sum("rows").alias("rating"))
 
 
 def view_ratings(logs: DataFrame) -> DataFrame:
@@ -28,17 +32,26 @@ def view_ratings(logs: DataFrame) -> DataFrame:
     return _rating(viewed_products(logs), "productId")
 
 
-def order_ratings(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3) -> DataFrame:
-    """Order lines per customer and product."""
-    return _rating(order_lines(orders, goods, id_digits), "productId")
+def bought_items(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3,
+                 groups: dict = L.BRAND_GROUP) -> DataFrame:
+    """(id, productId, brand group) of every order line."""
+    brand = decode_many("brandId", groups, L.BRAND_GROUP_DEFAULT)
+    return order_lines(orders, goods, id_digits).selectExpr("id", "productId", f"{brand} AS brand")
 
 
-def brand_ratings(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3,
-                  groups: dict = L.BRAND_GROUP) -> DataFrame:
-    """Order lines per customer and brand group."""
-    lines = order_lines(orders, goods, id_digits)
-    brand = decode_many("brandId", groups, L.BRAND_GROUP_DEFAULT)
-    return _rating(lines.selectExpr("id", f"{brand} AS brand"), "brand")
+def counted_items(items: DataFrame) -> DataFrame:
+    """Bought items with their number of lines: what both order models need of the join."""
+    return items.groupBy("id", "productId", "brand").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def order_ratings(items: DataFrame) -> DataFrame:
+    """Order lines per customer and product, from bought items, counted or not."""
+    return _rating(items, "productId")
+
+
+def brand_ratings(items: DataFrame) -> DataFrame:
+    """Order lines per customer and brand group, from bought items, counted or not."""
+    return _rating(items, "brand")
 
 
 def with_line_copies(ratings: DataFrame, goods: DataFrame) -> DataFrame:
@@ -69,16 +82,15 @@ def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
     """Implicit ALS. Factor blocks follow the shuffle width; long lineage is checkpointed."""
     spark = ratings.sparkSession
     use_checkpoints(spark)
-    width = blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    width = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     solver = ALS(userCol="userId", itemCol=item, ratingCol="rating", implicitPrefs=True,
-                 coldStartStrategy="drop", seed=seed, checkpointInterval=5,
-                 numUserBlocks=width, numItemBlocks=width, **settings)
+                 coldStartStrategy="drop", seed=seed, numUserBlocks=width, numItemBlocks=width, **settings)
     return solver.fit(ratings)
 
 
-def fit_page_views(logs: DataFrame, goods: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> ALSModel:
-    ratings = weigh(with_line_copies(view_ratings(logs), goods))
-    return fit_als(ratings, "productId", L.ALS_PAGE_VIEWS, seed)
+def fit_page_views(ratings: DataFrame, goods: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> ALSModel:
+    """The model behind the ranked product names, from view ratings."""
+    return fit_als(weigh(with_line_copies(ratings, goods)), "productId", L.ALS_PAGE_VIEWS, seed)
 
 
 def top_items(model: ALSModel, item: str, n: int, users: DataFrame | None = None) -> DataFrame:
@@ -96,13 +108,15 @@ def favourite_sets(top: DataFrame, goods: DataFrame, attribute: str, name: str)
     return set_join(named, "id", attribute, name)
 
 
-def favourite_products(logs: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
-    model = fit_als(view_ratings(logs), "productId", L.ALS_FAVOURITES, seed)
+def favourite_products(ratings: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
+    """From view ratings."""
+    model = fit_als(ratings, "productId", L.ALS_FAVOURITES, seed)
     return favourite_sets(top_items(model, "productId", L.TOP_PRODUCTS), goods, "productName", "favorProducts")
 
 
-def favourite_types(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3, seed: int = 42) -> DataFrame:
-    model = fit_als(order_ratings(orders, goods, id_digits), "productId", L.ALS_FAVOURITES, seed)
+def favourite_types(items: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
+    """From bought items."""
+    model = fit_als(order_ratings(items), "productId", L.ALS_FAVOURITES, seed)
     return favourite_sets(top_items(model, "productId", L.TOP_TYPES), goods, "productType", "favorProductsType")
 
 
@@ -112,8 +126,9 @@ def brand_sets(brands: DataFrame, name: str = "favorBrandName", book: dict = L.B
     return set_join(named, "id", "brandName", name)
 
 
-def favourite_brands(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3, seed: int = 42) -> DataFrame:
-    model = fit_als(brand_ratings(orders, goods, id_digits), "brand", L.ALS_FAVOURITES, seed)
+def favourite_brands(items: DataFrame, seed: int = 42) -> DataFrame:
+    """From bought items."""
+    model = fit_als(brand_ratings(items), "brand", L.ALS_FAVOURITES, seed)
     return brand_sets(top_items(model, "brand", L.TOP_BRANDS))
 
 
@@ -124,6 +139,19 @@ def names_by_rank(top: DataFrame, goods: DataFrame, names: list[str] = L.RANK_CO
     return ranks_to_columns(named, "id", "rank", "productName", names)
 
 
-def page_view_favourites(logs: DataFrame, goods: DataFrame, seed: int = 42, model: ALSModel | None = None) -> DataFrame:
-    fitted = model or fit_page_views(logs, goods, seed)
-    return names_by_rank(top_items(fitted, "productId", L.TOP_PAGE_VIEWS), goods)
+def page_view_favourites(model: ALSModel, goods: DataFrame) -> DataFrame:
+    return names_by_rank(top_items(model, "productId", L.TOP_PAGE_VIEWS), goods)
+
+
+def favourite_frames(sources: Sources, id_digits: int | None = 3, stage=None, seed: int = 42) -> list[DataFrame]:
+    """All favourites, by id. ``stage`` stores what two models share, so that the log and the
+    order-line join are read once."""
+    keep = stage or (lambda df: df)
+    views = keep(view_ratings(sources.logs))
+    items = keep(counted_items(bought_items(sources.orders, sources.goods, id_digits)))
+    return [
+        favourite_products(views, sources.goods, seed),
+        favourite_types(items, sources.goods, seed),
+        favourite_brands(items, seed),
+        page_view_favourites(fit_page_views(views, sources.goods, seed), sources.goods),
+    ]

@@ -19,7 +19,7 @@ def member_scores(spark, sources):
 
 @pytest.fixture(scope="module")
 def brand_model(sources):
-    return R.fit_als(R.brand_ratings(sources.orders, sources.goods, ID_DIGITS), "brand", {"rank": 4, "maxIter": 3, "regParam": 1.0, "alpha": 10.0})
+    return R.fit_als(R.brand_ratings(R.bought_items(sources.orders, sources.goods, ID_DIGITS)), "brand", {"rank": 4, "maxIter": 3, "regParam": 1.0, "alpha": 10.0})
 
 
 def test_segments_are_repeatable(spark, member_scores):
@@ -62,8 +62,8 @@ def test_top_lists(spark, sources, brand_model):
 
 
 def test_fit_is_repeatable(sources):
-    a = R.favourite_brands(sources.orders, sources.goods, ID_DIGITS)
-    b = R.favourite_brands(sources.orders, sources.goods, ID_DIGITS)
+    items = R.bought_items(sources.orders, sources.goods, ID_DIGITS)
+    a, b = R.favourite_brands(items), R.favourite_brands(items)
     assert rows(a) == rows(b)
     assert a.where("id IS NULL OR favorBrandName IS NULL OR favorBrandName = ''").count() == 0
 
@@ -76,6 +76,13 @@ def test_copies_count_the_many_to_many_join(spark, sources):
 
 
 def test_page_view_favourites(sources):
-    wide = R.page_view_favourites(sources.logs, sources.goods)
+    wide = R.page_view_favourites(R.fit_page_views(R.view_ratings(sources.logs), sources.goods), sources.goods)
     assert wide.columns == ["id", *[f"productName{k}" for k in range(9)]]
     assert wide.count() == wide.select("id").distinct().count() > 0
+
+
+def test_counted_items_give_the_same_ratings(sources):
+    items = R.bought_items(sources.orders, sources.goods, ID_DIGITS)
+    counted = R.counted_items(items)
+    assert rows(R.order_ratings(items)) == rows(R.order_ratings(counted))
+    assert rows(R.brand_ratings(items)) == rows(R.brand_ratings(counted))

@@ -127,7 +127,7 @@ def test_fused_equals_each_tag_alone(spark, sources, source):
 
 def test_profile_with_and_without_staging(spark, sources):
     plain = P.assemble(P.source_frames(sources, PROFILE))
-    staged = P.assemble(P.source_frames(sources, PROFILE, stage=lambda df: df.checkpoint().repartition("id")))
+    staged = P.assemble(P.source_frames(sources, PROFILE, stage=P.checkpointed(spark) or (lambda df: df)))
     assert rows(plain) == rows(staged)
     assert plain.where("id IS NULL").count() == 0
     assert plain.count() == plain.select("id").distinct().count()

@@ -43,6 +43,15 @@ def bin_ladder(c: str, bins: Sequence[Bin], default: object = None) -> str:
     return case([(_inside(c, b), b.label) for b in bins], default)
 
 
+def rung(value: float, bins: Sequence[Bin], default: object = None) -> object:
+    """The label of one known number, for ladders over a small fixed domain."""
+    for b in bins:
+        if not ((b.ge is not None and value < b.ge) or (b.gt is not None and value <= b.gt)
+                or (b.le is not None and value > b.le) or (b.lt is not None and value >= b.lt)):
+            return b.label
+    return default
+
+
 def _matches(c: str, rule: TextRule) -> str:
     tests = [f"{c} LIKE {literal(p)}" for p in rule.like] + [f"{c} = {literal(x)}" for x in rule.equals]
     return " OR ".join(tests)

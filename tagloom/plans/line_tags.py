@@ -22,8 +22,8 @@ def coupons() -> Tag:
 
 def discount(ladder=L.DISCOUNT) -> Tag:
     """Paid over listed value."""
-    ratio = share("paid_sum", "listed_sum")
-    return Tag({"discount": bin_ladder(ratio, ladder, L.UNKNOWN)}, _sums())
+    return Tag({"discount": bin_ladder("paid_share", ladder, L.UNKNOWN)}, _sums(),
+               values={"paid_share": share("paid_sum", "listed_sum")})
 
 
 def price_sensitivity(ladder=L.PRICE_SENSITIVITY) -> Tag:
@@ -33,11 +33,11 @@ def price_sensitivity(ladder=L.PRICE_SENSITIVITY) -> Tag:
     measure = (f"({share(cut_lines, lines)}"
                f" + try_divide({share(cut, cut_lines)}, {share(value, lines)})"
                f" + {share(cut, value)})")
-    return Tag({"PriceSensitivity": bin_ladder(measure, ladder, L.UNKNOWN)}, {
+    return Tag({"PriceSensitivity": bin_ladder("sensitivity", ladder, L.UNKNOWN)}, {
         **_sums(),
         "priced_lines": Metric("count_if", "priced"),
         "cut_lines": Metric("count_if", "try_subtract(listed, paid) > 0"),
-    })
+    }, values={"sensitivity": measure})
 
 
 def purchase_goods() -> Tag:

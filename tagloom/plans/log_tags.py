@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tagloom import labels as L
 from tagloom.functions.casting import literal, whole_id
-from tagloom.functions.ladders import bin_ladder, case, text_position
+from tagloom.functions.ladders import case, rung, text_position
 from tagloom.functions.text import product_id
 from tagloom.functions.timing import epoch_micros, hour_of
 from tagloom.operators.grouping import set_join
@@ -56,15 +56,13 @@ def view_frequency(population: int | None = None) -> Tag:
 
 def watch_time() -> Tag:
     """Minutes between first and last view, in whole seconds; a span in [1, 2) has no label."""
-    seconds = "(seen_max DIV 1000000 - seen_min DIV 1000000)"
-    minutes = f"({seconds} / 60D)"
     label = case([
-        (f"{minutes} < 1", L.WATCH_UNDER_ONE),
-        (f"CAST({minutes} AS INT) BETWEEN 2 AND 5", L.WATCH_ONE_TO_FIVE),
-        (f"{minutes} >= 5", L.WATCH_OVER_FIVE),
+        ("watched < 1", L.WATCH_UNDER_ONE),
+        ("CAST(watched AS INT) BETWEEN 2 AND 5", L.WATCH_ONE_TO_FIVE),
+        ("watched >= 5", L.WATCH_OVER_FIVE),
     ])
     return Tag({"WatchTime": label}, {"seen_max": Metric("max", "seen"), "seen_min": Metric("min", "seen")},
-               inputs=_SEEN)
+               inputs=_SEEN, values={"watched": "(seen_max DIV 1000000 - seen_min DIV 1000000) / 60D"})
 
 
 def read_period(ladder=L.READ_PERIOD, default: str = L.READ_PERIOD_DEFAULT) -> Tag:
@@ -74,11 +72,13 @@ def read_period(ladder=L.READ_PERIOD, default: str = L.READ_PERIOD_DEFAULT) -> T
     and the most frequent one is picked from the counters: no second grouping.
     """
     names = sorted({str(b.label) for b in ladder} | {default})
-    counters = {f"period_{i}": Metric("count_if", f"period = {literal(name)}") for i, name in enumerate(names)}
-    most = f"greatest({', '.join(counters)})"
-    pick = case([(f"{counter} = {most}", name) for counter, name in zip(counters, names)])
+    of_hour = [names.index(rung(hour, ladder, default)) for hour in range(24)]
+    period = f"coalesce(element_at(array({', '.join(map(str, of_hour))}), {hour_of('log_time')} + 1), {names.index(default)})"
+    counters = {f"period_{i}": Metric("count_if", f"period = {i}") for i in range(len(names))}
+    pick = case([(f"{counter} = period_most", name) for counter, name in zip(counters, names)])
     return Tag({"ReadedTime_Browser": pick}, counters,
-               inputs={"period": bin_ladder(hour_of("log_time"), ladder, default)})
+               inputs={"period": period},
+               values={"period_most": f"greatest({', '.join(counters)})"})
 
 
 def device(rules=L.DEVICE, default: str = L.DEVICE_DEFAULT) -> Tag:

@@ -37,8 +37,9 @@ def spend_max(ladder=L.SPEND_MAX) -> Tag:
 
 
 def spend_avg(ladder=L.SPEND_AVG) -> Tag:
-    return Tag({"PerCustomerTransation": bin_ladder(share("amount_sum", "amount_rows"), ladder, L.UNKNOWN)},
-               {"amount_sum": Metric("sum", "amount"), "amount_rows": Metric("count", "amount")}, inputs=_AMOUNT)
+    return Tag({"PerCustomerTransation": bin_ladder("amount_mean", ladder, L.UNKNOWN)},
+               {"amount_sum": Metric("sum", "amount"), "amount_rows": Metric("count", "amount")},
+               inputs=_AMOUNT, values={"amount_mean": share("amount_sum", "amount_rows")})
 
 
 def purchase_frequency(ladder=L.PURCHASE_FREQUENCY) -> Tag:
@@ -48,37 +49,35 @@ def purchase_frequency(ladder=L.PURCHASE_FREQUENCY) -> Tag:
 
 def advisory(ladder=L.ADVISORY) -> Tag:
     """Share of orders with a customer-service contact."""
-    ratio = share_3_decimals("advised", "amount_texts")
-    return Tag({"AdvisoryServiceFrequency": bin_ladder(ratio, ladder, L.UNKNOWN)}, {
+    return Tag({"AdvisoryServiceFrequency": bin_ladder("advised_share", ladder, L.UNKNOWN)}, {
         "advised": Metric("count_if", f"{to_long('smManualTime')} > 0"),
         "amount_texts": Metric("count", "orderAmount"),
-    })
+    }, values={"advised_share": share_3_decimals("advised", "amount_texts")})
 
 
 def consumption_cycle(ladder=L.CONSUMPTION_CYCLE) -> Tag:
     """Days between first and last finished order, per finished order."""
     finished = "CASE WHEN finish > 0 THEN finish END"
     days = share(days_between("finish_max", "finish_min"), "finish_rows")
-    return Tag({"consumptionCycle": bin_ladder(days, ladder, L.UNKNOWN)}, {
+    return Tag({"consumptionCycle": bin_ladder("cycle_days", ladder, L.UNKNOWN)}, {
         "finish_max": Metric("max", finished),
         "finish_min": Metric("min", finished),
         "finish_rows": Metric("count", finished),
-    }, inputs=_FINISH, present="finish_rows > 0")
+    }, inputs=_FINISH, values={"cycle_days": days}, present="finish_rows > 0")
 
 
 def replacement(ladder=L.REPLACEMENT) -> Tag:
-    ratio = share_3_decimals("replaced", "status_texts")
-    return Tag({"replacementRate": bin_ladder(ratio, ladder, L.UNKNOWN)}, {
+    return Tag({"replacementRate": bin_ladder("replaced_share", ladder, L.UNKNOWN)}, {
         "replaced": Metric("count_if", "orderStatus = '1'"),
         "status_texts": Metric("count", "orderStatus"),
-    })
+    }, values={"replaced_share": share_3_decimals("replaced", "status_texts")})
 
 
 def returns(ladder=L.RETURN) -> Tag:
-    return Tag({"returnRate": bin_ladder(share("returned", "order_ids"), ladder)}, {
+    return Tag({"returnRate": bin_ladder("returned_share", ladder)}, {
         "returned": Metric("count_if", "orderStatus = '0'"),
         "order_ids": Metric("count", "orderId"),
-    })
+    }, values={"returned_share": share("returned", "order_ids")})
 
 
 def order_tags(ladders: dict | None = None) -> dict[str, Tag]:

@@ -22,14 +22,16 @@ class Tag:
 
     ``inputs``: values derived from a source row, computed once however many metrics use
     them. ``metrics``: aggregates per key. ``totals``: one-row aggregates over all keys.
-    ``columns``: output column -> label; a tag that does not apply (``present`` is false)
-    is null.
+    ``values``: numbers derived from these, computed once however often a ladder compares
+    them. ``columns``: output column -> label; a tag that does not apply (``present`` is
+    false) is null.
     """
 
     columns: dict[str, str]
     metrics: dict[str, Metric | ModeOf | SetOf] = field(default_factory=dict)
     inputs: dict[str, str] = field(default_factory=dict)
     totals: dict[str, str] = field(default_factory=dict)
+    values: dict[str, str] = field(default_factory=dict)
     present: str | None = None
 
     def outputs(self) -> list[str]:
@@ -48,14 +50,19 @@ def _merged(parts: Iterable[dict]) -> dict:
     return merged
 
 
+def _derived(rows: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    return rows.withColumns({n: F.expr(sql) for n, sql in expressions.items()}) if expressions else rows
+
+
 def project_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id") -> DataFrame:
-    """Tags that need no aggregation: one projection, no shuffle."""
-    return rows.selectExpr(key, *[c for t in tags for c in t.outputs()])
+    """The labels of all tags over their metrics, or over the rows themselves: no shuffle."""
+    tags = list(tags)
+    valued = _derived(rows, _merged(t.values for t in tags))
+    return valued.selectExpr(key, *[c for t in tags for c in t.outputs()])
 
 
 def _per_key(rows: DataFrame, tags: list[Tag], key: str) -> DataFrame:
-    inputs = _merged(t.inputs for t in tags)
-    derived = rows.withColumns({n: F.expr(sql) for n, sql in inputs.items()}) if inputs else rows
+    derived = _derived(rows, _merged(t.inputs for t in tags))
     return aggregate(derived, key, _merged(t.metrics for t in tags))
 
 
@@ -82,4 +89,4 @@ def single_tag(rows: DataFrame, tag: Tag, key: str = "id") -> DataFrame:
         per_key = with_totals(per_key, tag.totals)
     if tag.present is not None:
         per_key = per_key.where(tag.present)
-    return per_key.selectExpr(key, *[f"{label} AS {name}" for name, label in tag.columns.items()])
+    return project_tags(per_key, [tag], key)

@@ -33,17 +33,17 @@ def political_face(book=L.POLITICAL_FACE) -> Tag:
 
 
 def age_range(ladder=L.AGE_RANGE) -> Tag:
-    return Tag({"ageRange": bin_ladder(birth_year("birthday"), ladder, L.UNKNOWN)})
+    return Tag({"ageRange": bin_ladder("birth_year", ladder, L.UNKNOWN)}, values={"birth_year": birth_year("birthday")})
 
 
 def constellation(ladder=L.CONSTELLATION) -> Tag:
-    return Tag({"constellation": bin_ladder(month_day("birthday"), ladder, L.UNKNOWN)})
+    return Tag({"constellation": bin_ladder("birth_day", ladder, L.UNKNOWN)}, values={"birth_day": month_day("birthday")})
 
 
 def latest_login(as_of: str, ladder=L.LATEST_LOGIN) -> Tag:
     """Days from the last login back from ``as_of``; later logins stay in the default."""
-    days = days_since(as_of, "lastLoginTime")
-    return Tag({"LatestLogin": bin_ladder(days, ladder, L.LATEST_LOGIN_DEFAULT)})
+    return Tag({"LatestLogin": bin_ladder("login_days", ladder, L.LATEST_LOGIN_DEFAULT)},
+               values={"login_days": days_since(as_of, "lastLoginTime")})
 
 
 def user_tags(as_of: str) -> dict[str, Tag]:

@@ -20,6 +20,11 @@ def labels(spark, ladder, values, default=None, kind="double"):
     return evaluate(spark, ladders.bin_ladder("v", ladder, default), numbers, kind)
 
 
+def user_tag(spark, tag, column: str, values: list) -> list:
+    df = spark.createDataFrame(list(enumerate(values)), f"id bigint, {column} string")
+    return [r[1] for r in sorted(single_tag(df, tag).collect())]
+
+
 BOOKS = [
     (user_tags.gender, "gender", L.GENDER, "未知"),
     (user_tags.job, "job", L.JOB, "其他"),
@@ -32,7 +37,7 @@ BOOKS = [
 @pytest.mark.parametrize("make,column,book,default", BOOKS, ids=[b[1] for b in BOOKS])
 def test_code_books(spark, make, column, book, default):
     codes = [*book, "99", "", None]
-    assert evaluate(spark, make().columns[column].replace(column, "v"), codes) == [*book.values(), default, default, default]
+    assert user_tag(spark, make(), column, codes) == [*book.values(), default, default, default]
 
 
 def test_home_city_codes(spark):
@@ -54,7 +59,7 @@ def test_brand_groups(spark):
 
 
 def test_age_range(spark):
-    got = evaluate(spark, user_tags.age_range().columns["ageRange"].replace("birthday", "v"), [
+    got = user_tag(spark, user_tags.age_range(), "birthday", [
         "1949-12-31", "1950-01-01", "1959-12-31", "1960-05-05", "1979-12-31", "1980-01-01", "1999-12-31",
         "2000-01-01", "2010-01-01", "2029-12-31", "2030-01-01", None, "bad"])
     assert got == ["未知", "50后", "50后", "60后", "70后", "80后", "90后", "00后", "10后", "20后", "未知", "未知", "未知"]
@@ -67,7 +72,7 @@ def test_constellation(spark):
             ("10-24", "天蝎座"), ("11-22", "天蝎座"), ("11-23", "人马座"), ("12-21", "人马座"), ("12-22", "摩羯座"),
             ("12-31", "摩羯座"), ("01-01", "摩羯座"), ("01-20", "摩羯座"), ("01-21", "水瓶座"), ("02-19", "水瓶座"),
             ("02-20", "双鱼座"), ("02-29", "双鱼座")]
-    got = evaluate(spark, user_tags.constellation().columns["constellation"].replace("birthday", "v"),
+    got = user_tag(spark, user_tags.constellation(), "birthday",
                    [f"2000-{day}" for day, _ in cuts] + [None, "bad"])
     assert got == [name for _, name in cuts] + ["未知", "未知"]
 
@@ -77,8 +82,8 @@ def test_latest_login(spark):
     ages = [(-1, "超过30天未登录"), (0, "超过30天未登录"), (1, "1天内"), (day, "1天内"), (day + 1, "7天内"), (7 * day, "7天内"),
             (7 * day + 1, "14天内"), (14 * day, "14天内"), (14 * day + 1, "30天内"), (30 * day, "30天内"),
             (30 * day + 1, "超过30天未登录")]
-    tag = user_tags.latest_login("2024-01-31").columns["LatestLogin"].replace("lastLoginTime", "v")
-    assert evaluate(spark, tag, [str(now - a) for a, _ in ages] + [None, "x"]) == [
+    tag = user_tags.latest_login("2024-01-31")
+    assert user_tag(spark, tag, "lastLoginTime", [str(now - a) for a, _ in ages] + [None, "x"]) == [
         x for _, x in ages] + ["超过30天未登录"] * 2
 
 

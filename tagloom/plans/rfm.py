@@ -15,6 +15,7 @@ from tagloom.functions.timing import recency_days
 from tagloom.operators.metrics import aggregate, latest, latest_label
 
 SCORES = ["recency", "frequency", "money"]
+LADDERS = (L.RFM_RECENCY, L.RFM_FREQUENCY, L.RFM_MONEY)
 
 
 def rfm_metrics(orders: DataFrame, as_of: str) -> DataFrame:
@@ -62,8 +63,7 @@ def score_grid(spark: SparkSession, *ladders: list[L.Bin]) -> DataFrame:
     return spark.createDataFrame(triples, ", ".join(f"{name} int" for name in SCORES))
 
 
-def assign_segments(scores: DataFrame, model: KMeansModel,
-                    ladders=(L.RFM_RECENCY, L.RFM_FREQUENCY, L.RFM_MONEY)) -> DataFrame:
+def assign_segments(scores: DataFrame, model: KMeansModel, ladders=LADDERS) -> DataFrame:
     """Cluster per member, null where a score is missing.
 
     The model runs on the grid of possible triples and members look theirs up: one pass
@@ -75,11 +75,11 @@ def assign_segments(scores: DataFrame, model: KMeansModel,
 
 
 def user_value(scores: DataFrame, model: KMeansModel, id_digits: int | None = 3,
-               book: dict = L.USER_VALUE) -> DataFrame:
-    """Value label per customer id. Members sharing an id: the latest buyer's label counts,
+               book: dict = L.USER_VALUE, ladders=LADDERS) -> DataFrame:
+    """Value label per customer id; ``ladders`` are the ones the scores came from. Members sharing an id: the latest buyer's label counts,
     equal times the smaller cluster number."""
     labels = [*[book.get(str(i), L.UNKNOWN) for i in range(len(book))], L.UNKNOWN]
-    keyed = (assign_segments(scores, model)
+    keyed = (assign_segments(scores, model, ladders)
              .withColumn("id", F.expr(suffix_id("memberId", id_digits)))
              .where("id IS NOT NULL"))
     newest = latest("lastFinish", f"coalesce(cluster, {len(book)})", len(labels))

@@ -35,10 +35,11 @@ def configured_dir(spark: SparkSession) -> str | None:
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; only a session without one gets a local folder."""
-    path = configured_dir(spark)
+    context = spark.sparkContext
+    path = configured_dir(spark) or context.getCheckpointDir()
     if path is None:
-        path = tempfile.mkdtemp(prefix="tagloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-"))
+        path = context.getCheckpointDir()
     return path
 
 
@@ -48,6 +49,6 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def use_checkpoints(spark: SparkSession) -> None:
     """Point RDD checkpoints (used by the iterative solvers) at the shared folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+    path = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)

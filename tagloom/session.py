@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,13 +33,10 @@ def configured_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; only a session without one gets a local folder."""
-    context = spark.sparkContext
-    path = configured_dir(spark) or context.getCheckpointDir()
-    if path is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-"))
-        path = context.getCheckpointDir()
-    return path
+    """The cluster's shared folder; a session that names none works below its warehouse,
+    which is on the file system that all executors reach."""
+    named = configured_dir(spark) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import language
+from tagloom.llm import language, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,20 @@ def _language(spark, sf_dir):
     model = language.train(documents, F.expr(f"NOT {HELD_OUT}"))
     keyed = documents.select("doc_id", "text", F.expr(HELD_OUT).alias("held_out"))
     return language.predict(keyed, model, ["doc_id", "held_out"])
+
+
+@query("op5_mixing", """WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+  per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sized GROUP BY source),
+  rates AS (SELECT *, 3.0::DOUBLE * source_size / weight AS own_rate,
+    ((SELECT sum(source_size) FROM per_source) - coalesce(sum(3.0::DOUBLE * source_size) OVER (ORDER BY 3.0::DOUBLE * source_size / weight ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY 3.0::DOUBLE * source_size / weight ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate FROM per_source),
+  aimed AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, weight * coalesce((SELECT max(rate) FROM rates WHERE rate <= own_rate), 0)) AS target FROM rates),
+  planned AS (SELECT d.doc_id, d.size, d.source, a.source_size, a.target, CASE WHEN a.source_size > 0 THEN a.target / a.source_size ELSE 0 END AS ratio,
+    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || '#7'), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656 AS u
+    FROM sized d JOIN aimed a ON d.source IS NOT DISTINCT FROM a.source),
+  odds AS (SELECT *, floor(ratio) AS whole, greatest(1e-9, least(1 - 1e-9, ratio - floor(ratio))) AS p, target - floor(ratio) * source_size AS lacking FROM planned),
+  ranked AS (SELECT *, u * (1 - p) / (u * (1 - p) + p * (1 - u)) AS rank FROM odds),
+  summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) AS run FROM ranked)
+  SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN lacking > 0 AND size > 0 AND run - size / 2.0::DOUBLE <= lacking AND run - size < lacking THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM summed""")
+def _mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import language, mixing
+from tagloom.llm import language, mixing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,41 @@ def _language(spark, sf_dir):
   SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN lacking > 0 AND size > 0 AND run - size / 2.0::DOUBLE <= lacking AND run - size < lacking THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM summed""")
 def _mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+_ADDRESS = """CASE WHEN {host} <> '' THEN {host} || regexp_extract({url}, '(?s)^.*?://[^/?#]*([^#]*)', 1) END"""
+
+
+def _host(url):
+    return f"translate(coalesce(regexp_extract({url}, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+# RE2 has no look-ahead: the tag is cut out first, then its attribute
+_TAG = """regexp_extract(html, '(?is)<{tag}\\b[^>]*\\b{attribute}\\s*=\\s*["'']?{value}\\b[^>]*>')"""
+_HREF = """regexp_extract({tag}, '(?is)\\b{attribute}\\s*=\\s*["'']?{before}([^"''\\s>]+)', 1)"""
+_LINKS = [_HREF.format(tag=_TAG.format(tag="link", attribute="rel", value="canonical"), attribute="href", before=""),
+          _HREF.format(tag=_TAG.format(tag="meta", attribute="http-equiv", value="refresh"), attribute="content", before="""\\s*[\\d.]*\\s*;\\s*url\\s*=\\s*["'']?""")]
+
+
+@query("op10_url_filter", f"""WITH RECURSIVE seen AS (SELECT page_id, url, html, {_host("url")} AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+  addressed AS (SELECT *, {_ADDRESS.format(host="host", url="url")} AS address FROM seen),
+  linked AS ({" UNION ALL ".join(f"SELECT address, url, host, path, {link} AS link FROM addressed" for link in _LINKS)}),
+  resolved AS (SELECT address, CASE WHEN contains(link, '://') THEN link WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || link
+    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || host || link WHEN regexp_matches(link, '^[?#]') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || host || path || link
+    ELSE regexp_extract(url, '(?s)^(.*?)://', 1) || '://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || link END AS target FROM linked WHERE link <> ''),
+  edges AS (SELECT address AS src, {_ADDRESS.format(host=_host("target"), url="target")} AS dst FROM resolved),
+  sides AS (SELECT src, dst FROM edges WHERE src IS NOT NULL AND dst IS NOT NULL UNION SELECT dst, src FROM edges WHERE src IS NOT NULL AND dst IS NOT NULL),
+  reached(node, other) AS (SELECT DISTINCT src, src FROM sides UNION SELECT r.node, s.dst FROM reached r JOIN sides s ON s.src = r.other),
+  rules(rule_host, rule_path, own) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+  fitting AS (SELECT page_id, url, rule_host || rule_path AS rule, own, row_number() OVER (PARTITION BY page_id, url ORDER BY length(rule_host || rule_path) DESC) AS place
+    FROM seen JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+  ruled AS (SELECT a.page_id, a.host, a.path, a.address, f.rule, f.own FROM addressed a LEFT JOIN fitting f ON f.page_id = a.page_id AND f.url = a.url AND f.place = 1),
+  places AS (SELECT DISTINCT other, regexp_extract(other, '(?s)^([^/?]*)', 1) AS host, regexp_extract(other, '(?s)^[^/?]*([^?]*)', 1) AS path FROM reached),
+  judged AS (SELECT other, arg_max(own, length(rule_host || rule_path)) AS own FROM places JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY other),
+  spread AS (SELECT node FROM reached JOIN judged USING (other) GROUP BY node HAVING bool_or(own = 'block') AND NOT bool_or(own = 'allow'))
+  SELECT page_id, host, path, rule, coalesce(own, CASE WHEN address IN (SELECT node FROM spread) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled""")
+def _url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)

@@ -23,7 +23,7 @@ def read_pieces(path: str = VOCABULARY) -> tuple[str, ...]:
     return tuple(model.id_to_piece(i) for i in range(model.get_piece_size()) if not any(f(i) for f in special))
 
 
-def _codes(words: Sequence[str], width: int) -> np.ndarray:
+def codes_of(words: Sequence[str], width: int) -> np.ndarray:
     """Code points plus one, padded with zeros."""
     padded = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
     return padded.astype(np.uint64) + (padded > 0)
@@ -35,7 +35,7 @@ class Pieces:
     def __init__(self, pieces: Sequence[str]):
         self.number = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
-        codes = _codes(list(pieces) or [""], self.longest)
+        codes = codes_of(list(pieces) or [""], self.longest)
         h = np.zeros(len(codes), dtype=np.uint64)
         for j in range(self.longest):
             h = np.where(codes[:, j] > 0, h * _BASE + codes[:, j], h)
@@ -47,18 +47,20 @@ class Pieces:
         return np.where(self.sorted[at] == hashes, self.order[at], -1)
 
 
-def steps(pieces: Pieces, words: Sequence[str], visit: Callable[[int, int, np.ndarray, np.ndarray], None]) -> None:
+def steps(pieces: Pieces, words: Sequence[str], visit: Callable[[int, int, np.ndarray, np.ndarray], None],
+          wanted: np.ndarray | None = None) -> None:
     """Calls visit(end, length, rows, piece numbers) for every piece of every word, ends ascending.
 
     Words hold at most LONG characters, mark included. A single unknown character is visited
-    as number -1; longer unknown stretches are no pieces.
+    as number -1; longer unknown stretches are no pieces. With ``wanted[word, end]`` only those
+    ends are visited.
     """
     width = max(map(len, words))
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    codes = _codes(words, width)
+    codes = codes_of(words, width)
     hashes: dict[int, np.ndarray] = {}  # by length: hash of the stretch that ends here
     for end in range(1, width + 1):
-        rows = np.flatnonzero(lengths >= end)
+        rows = np.flatnonzero(lengths >= end if wanted is None else (lengths >= end) & wanted[:, end])
         for length in range(min(end, pieces.longest), 0, -1):
             shorter = hashes.get(length - 1)  # of the stretch that ended one character before
             hashes[length] = codes[:, end - 1].copy() if length == 1 else shorter * _BASE + codes[:, end - 1]

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import language, mixing, url_filter
+from tagloom.llm import language, licences, mixing, packing, token_counts, url_filter
+from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +91,39 @@ _LINKS = [_HREF.format(tag=_TAG.format(tag="link", attribute="rel", value="canon
 def _url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op3_token_counts")
+def _token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    words = f"""regexp_replace(regexp_replace(lower(replace({text}, '©', 'copyright ')), '\\r\\n?|\\n', chr(10), 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"""
+    for spelling, usual in SPELLINGS.items():
+        words = f"replace({words}, {_quoted(spelling)}, {_quoted(usual)})"
+    return f"""list_filter(list_transform(string_split({words}, chr(10)), lambda line: trim(line, ' ')), lambda line: line <> '' AND NOT regexp_matches(line, '{licences.COPYRIGHT}'))"""
+
+
+_WHOLE = f"""sha256(array_to_string(CASE WHEN regexp_matches(lines[1], '{licences.TITLE}') AND len(lines) > 1 THEN lines[2:] ELSE lines END, ' '))"""
+
+
+@query("op4_license_scan", f"""WITH known(name, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in LICENCES.items())}),
+  known_digests AS (SELECT digest, min(name) AS licence FROM (SELECT name, {_WHOLE} AS digest FROM (SELECT name, {_canonical("text")} AS lines FROM known)) GROUP BY digest),
+  notices(line, name) AS (VALUES {", ".join(f"({_quoted(t)}, {_quoted(n)})" for t, n in NOTICES.items())}),
+  known_lines AS (SELECT array_to_string({_canonical("line")}, ' ') AS line, min(name) AS name FROM notices GROUP BY 1),
+  read AS (SELECT row_number() OVER () AS row, doc_id, {_canonical("coalesce(text, '')")} AS lines FROM documents),
+  digests AS (SELECT row, doc_id, CASE WHEN len(lines) > 0 THEN {_WHOLE} END AS digest FROM read),
+  named AS (SELECT row, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT row, unnest(lines) AS line FROM read) JOIN known_lines USING (line) GROUP BY row)
+  SELECT doc_id, licence, coalesce(notices, '') AS notices FROM digests LEFT JOIN known_digests USING (digest) LEFT JOIN named USING (row)""")
+def _license_scan(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_best_fit_packing")
+def _packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))

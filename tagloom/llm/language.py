@@ -152,9 +152,10 @@ def train(documents: DataFrame, labelled: Column | None = None, vocabulary: str
     vocabulary_pieces = read_pieces(vocabulary)
     if not languages:
         return LanguageModel((), vocabulary_pieces, np.zeros((len(vocabulary_pieces) + 1, 0)))
+    # at most MAX_LANGUAGES rows, as checked above
     shares_kept = spark.createDataFrame([(r.lang, min(1.0, rows_per_language / r.rows)) for r in rows], "lang string, kept double")
     draw = F.xxhash64("text").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
-    sample = stage(known.select("lang", "text").join(shares_kept, "lang").where(draw < F.col("kept")).select("lang", "text"), "language-sample")
+    sample = stage(known.select("lang", "text").join(F.broadcast(shares_kept), "lang").where(draw < F.col("kept")).select("lang", "text"), "language-sample")
 
     # first shares: the vocabulary's own order, by Zipf's law; the same for all languages
     zipf = 1.0 / np.arange(2, len(vocabulary_pieces) + 3)

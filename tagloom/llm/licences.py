@@ -7,7 +7,7 @@ text is found when all of it is the licence, however it is wrapped, and never by
 of single lines are joined to known one-line notices in the same way.
 
 Only DataFrame functions run. Line digests are made distinct per text and pre-aggregated before
-anything is shuffled; known texts are joined as a table, without a hint.
+anything is shuffled; known texts are broadcast up to a checked number and shuffled beyond it.
 
 Defined cases: a null or empty text has no licence and no notices; canonical collisions of known
 texts keep the name that sorts first; repeated rows are scanned alike; other columns stay out of
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 MOST_NOTICES = 200
+MOST_BROADCAST = 10_000  # known licences; longer lists are joined without a hint
 COPYRIGHT = r"^(c \d|copyright (c |\d|by |year ))"  # canonical beginnings of a copyright line
 TITLE = r"^(the )?[a-z0-9 ]{0,40} license( version [0-9 ]+)?$"  # as "The MIT License"
 
@@ -57,7 +58,9 @@ def scan(documents: DataFrame, licences: Mapping[str, str] = LICENCES, notices:
     lines = F.col("lines")
     read = documents.select("doc_id", canonical_lines(F.coalesce("text", F.lit(""))).alias("lines"))
     digests = read.select("doc_id", F.when(F.size(lines) > 0, _digest(lines)).alias("digest"), F.array_distinct(F.transform(lines, F.md5)).alias("line_digests"))
-    found = digests.join(_known(documents, licences.items(), _digest), "digest", "left").withColumnRenamed("name", "licence")
+    known = _known(documents, licences.items(), _digest)
+    known = F.broadcast(known) if len(licences) <= MOST_BROADCAST else known
+    found = digests.join(known, "digest", "left").withColumnRenamed("name", "licence")
     # notices are few: they are looked up where the line is, and no line is shuffled
     book = {r["digest"]: r["name"] for r in _known(documents, [(name, text) for text, name in notices.items()], lambda known: F.md5(F.array_join(known, " "))).collect()}
     names = F.lit("")

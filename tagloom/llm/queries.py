@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import language, licences, mixing, packing, token_counts, url_filter
+from tagloom.llm import embedding_dedup, language, licences, mixing, packing, token_counts, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,8 @@ def _license_scan(spark, sf_dir):
 @query("op9_best_fit_packing")
 def _packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op8_embedding_near_dedup")
+def _embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

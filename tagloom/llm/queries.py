@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import embedding_dedup, language, licences, mixing, packing, token_counts, url_filter
+from tagloom.llm import embedding_dedup, language, licences, mixing, neighbours, packing, token_counts, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,8 @@ def _packing(spark, sf_dir):
 @query("op8_embedding_near_dedup")
 def _embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_nearest_neighbours")
+def _nearest(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"))

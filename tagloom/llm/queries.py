@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import embedding_dedup, language, licences, mixing, neighbours, packing, token_counts, url_filter
+from tagloom.llm import embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, token_counts, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def _embedding_near_dedup(spark, sf_dir):
 @query("op7_nearest_neighbours")
 def _nearest(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"))
+
+
+@query("op2_ngram_jaccard")
+def _ngram_jaccard(spark, sf_dir):
+    return jaccard.components(table(spark, sf_dir, "documents"))

@@ -22,6 +22,8 @@ an empty table gives an empty mix; columns of other names are kept out of the wa
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tagloom.operators.numbering import numbered
@@ -67,12 +69,12 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
 
 
-def mix(documents: DataFrame, weights=rotating_weights, cap: float = CAP, appeal: Column | None = None, seed: int = 7) -> DataFrame:
-    """(doc_id, size, source, source_size, target, copies, taken), one row per document.
+def mix(documents: DataFrame, weights=rotating_weights, cap: float = CAP, appeal: Column | None = None, seed: int = 7, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, size, source, source_size, target, copies, taken) and ``keep``, one row per document.
 
     ``weights`` turns (source, source_size) rows into (source, source_size, weight) rows.
     """
-    drawn = documents.select("doc_id", "source", F.expr(SIZE).alias("size"), (F.lit(1.0) if appeal is None else appeal.cast("double")).alias("appeal"))
+    drawn = documents.select("doc_id", "source", F.expr(SIZE).alias("size"), (F.lit(1.0) if appeal is None else appeal.cast("double")).alias("appeal"), *keep)
     sized = stage(drawn, "sizes")
     appealing = F.col("appeal") * F.col("size")
     # sums of equal appeal stay exact: they are sums of longs
@@ -108,7 +110,7 @@ def mix(documents: DataFrame, weights=rotating_weights, cap: float = CAP, appeal
     inside = cell.withColumn("drawn", (middle & (F.col("size") > 0)).cast("int")).drop("sum")
     outside = marked.where("cut IS NULL OR cell <> cut").withColumn("drawn", F.coalesce(((F.col("cell") < F.col("cut")) & (F.col("size") > 0)).cast("int"), F.lit(0)))
     copies = F.col("whole") + F.col("drawn")
-    return inside.unionByName(outside).select("doc_id", "size", "source", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return inside.unionByName(outside).select("doc_id", "size", "source", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *keep)
 
 
 def _cut(cells: DataFrame, by: str) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, token_counts, url_filter
+import corpus_pipeline
+from tagloom.llm import embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, passages, token_counts, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +143,13 @@ def _nearest(spark, sf_dir):
 @query("op2_ngram_jaccard")
 def _ngram_jaccard(spark, sf_dir):
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_substring_dedup")
+def _substring_dedup(spark, sf_dir):
+    return passages.duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -120,5 +120,5 @@ def count_tokens(documents: DataFrame, keep: Sequence[str] = ("doc_id",), vocabu
     """The columns ``keep`` with ``n_pretokens`` and ``n_tokens`` of ``text``."""
     shared = documents.sparkSession.sparkContext.broadcast(read_pieces(vocabulary))
     rows = documents.select(*keep, F.col("text").alias("__text"))
-    schema = documents.select(*keep, F.lit(0).cast("long").alias("n_pretokens"), F.lit(0).cast("long").alias("n_tokens")).schema
+    schema = documents.select(*keep, F.lit(None).cast("long").alias("n_pretokens"), F.lit(None).cast("long").alias("n_tokens")).schema
     return rows.mapInArrow(lambda batches: _count(batches, shared.value, "__text"), schema)

@@ -123,5 +123,5 @@ def _sql_over_views(s):
     s.register_views(project_tags(s.users, user_tags(PROFILE.as_of).values()))
     return s.users.sparkSession.sql("""
         select p.gender, p.job, count(*) as people, count(distinct o.orderSn) as orders
-        from user_profile p left join tbl_orders o on try_cast(right(o.memberId, 9) as bigint) = p.id
+        from customer_profile p left join tbl_orders o on try_cast(right(o.memberId, 9) as bigint) = p.id
         group by p.gender, p.job""")

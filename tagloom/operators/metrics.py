@@ -58,20 +58,18 @@ class SetOf:
 
 
 def latest(time: str, position: str, size: int) -> Metric:
-    """The newest row's ladder position, packed with its time into one number.
+    """The newest row's ladder position, packed with its time into one exact decimal.
 
-    Equal times go to the rung listed first. Times are clamped to what fits beside the
-    position (for microseconds and 25 rungs: beyond the year 13000); a row without a
-    time counts as the oldest.
+    Equal times go to the rung listed first. Every bigint time fits; a row without a time
+    counts as older than all of them.
     """
-    limit = (2**63 - 1) // size - 1
-    when = f"greatest(least(coalesce({time}, {-limit}), {limit}), {-limit})"
+    when = f"coalesce(CAST({time} AS DECIMAL(20,0)), CAST({-2**63 - 1} AS DECIMAL(20,0)))"
     return Metric("max", f"{when} * {size} + ({size - 1} - {position})")
 
 
 def latest_label(packed: str, labels: list[str]) -> str:
     size = len(labels)
-    return label_at(f"{size - 1} - pmod({packed}, {size})", labels)
+    return label_at(f"{size - 1} - CAST(pmod({packed}, {size}) AS INT)", labels)
 
 
 def _named(expressions: Mapping[str, str]) -> list[Column]:

@@ -100,7 +100,7 @@ def page_type(rules=L.PAGE_TYPE, default: str = L.PAGE_TYPE_DEFAULT) -> Tag:
 
 def viewed_products(logs: DataFrame) -> DataFrame:
     """(id, productId) per product page view, with whole-number product ids."""
-    viewed = logs_with_id(logs).selectExpr("id", f"{whole_id(product_id('loc_url'), 'INT')} AS productId")
+    viewed = logs_with_id(logs).selectExpr("id", f"{whole_id(product_id('loc_url'), 'BIGINT')} AS productId")
     return viewed.where("productId IS NOT NULL")
 
 
@@ -110,7 +110,7 @@ def view_goods(logs: DataFrame, goods: DataFrame) -> DataFrame:
     Both sides are made distinct first: repeated views and repeated order lines would
     otherwise multiply in the join.
     """
-    names = goods.selectExpr(f"{whole_id('productId', 'INT')} AS productId", "productName").distinct()
+    names = goods.selectExpr(f"{whole_id('productId', 'BIGINT')} AS productId", "productName").distinct()
     named = viewed_products(logs).distinct().join(names, "productId", "inner")
     return set_join(named, "id", "productName", "ViewGoods")
 

@@ -27,4 +27,4 @@ class Sources:
         self.goods.createOrReplaceTempView("tbl_goods")
         self.logs.createOrReplaceTempView("tbl_logs")
         if profile is not None:
-            profile.createOrReplaceTempView("user_profile")
+            profile.createOrReplaceTempView("customer_profile")

@@ -259,3 +259,12 @@ def test_user_value_without_scores_is_unknown(spark):
     model = rfm.fit_segments(scores, {"k": 2, "seed": 100, "maxIter": 2})
     got = {r.id: r.userValue for r in rfm.user_value(scores, model).collect()}
     assert set(got) == {1, 2, 3} and got[2] == "未知" and got[1] != got[3] and "未知" not in (got[1], got[3])
+
+
+def test_latest_takes_every_bigint_time(spark):
+    from tagloom.operators.metrics import aggregate, latest, latest_label
+    rows = [(1, 4 * 10**17, 0), (1, 5 * 10**17, 1), (2, -2**63, 2), (2, None, 0), (3, 2**63 - 1, 1), (3, 2**63 - 2, 0), (4, None, 2), (5, 7, 2), (5, 7, 1)]
+    df = spark.createDataFrame(rows, "id long, t long, p int")
+    labels = ["a", "b", "c"] + [str(i) for i in range(22)]
+    found = aggregate(df, "id", {"last": latest("t", "p", len(labels))}).selectExpr("id", f"{latest_label('last', labels)} AS label")
+    assert sorted(map(tuple, found.collect())) == [(1, "b"), (2, "c"), (3, "b"), (4, "c"), (5, "b")]

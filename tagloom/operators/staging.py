@@ -3,17 +3,40 @@ and survive lost executors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.session import new_path
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", kept: bool = False) -> DataFrame:
     """Writes the rows below the shared folder and reads them back.
 
     The folder belongs to the caller's run: it may be removed once nothing that was
-    derived from the returned frame is read any more.
+    derived from the returned frame is read any more. Inside ``scratch`` that is the end
+    of the block, unless the table is ``kept``.
     """
     path = new_path(df.sparkSession, name)
+    known = _staged.get()
+    if known is not None and not kept:
+        known.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside the block when it ends, but for those kept."""
+    paths: list[str] = []
+    before = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(before)
+        for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

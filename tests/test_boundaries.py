@@ -268,3 +268,14 @@ def test_latest_takes_every_bigint_time(spark):
     labels = ["a", "b", "c"] + [str(i) for i in range(22)]
     found = aggregate(df, "id", {"last": latest("t", "p", len(labels))}).selectExpr("id", f"{latest_label('last', labels)} AS label")
     assert sorted(map(tuple, found.collect())) == [(1, "b"), (2, "c"), (3, "b"), (4, "c"), (5, "b")]
+
+
+def test_scratch_removes_what_is_not_kept(spark):
+    from tagloom.operators.staging import scratch, stage
+
+    with scratch(spark):
+        inner = stage(spark.range(5), "inner")
+        outer = stage(inner.selectExpr("id + 1 AS id"), "outer", kept=True)
+    assert outer.count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST"):
+        spark.read.parquet(inner.inputFiles()[0] if inner.inputFiles() else "gone").count()

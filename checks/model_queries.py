@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeansModel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -54,7 +53,7 @@ def _user_value(s):
 @query("als_fit_views")
 def _als_fit(s):
     """The fitted visitor factors."""
-    return R.fit_page_views(R.view_ratings(s.logs), s.goods).userFactors
+    return R.fit_page_views(R.view_ratings(s.logs), s.goods).user_factors()
 
 
 @query("als_topn_wide")
@@ -84,9 +83,9 @@ def _roundtrip(s):
     member_scores = scores(s)
     segments, factors = new_path(spark, "segments"), new_path(spark, "factors")
     V.fit_segments(member_scores).write().overwrite().save(segments)
-    R.fit_page_views(R.view_ratings(s.logs), s.goods).write().overwrite().save(factors)
+    R.fit_page_views(R.view_ratings(s.logs), s.goods).save(factors)
     values = V.user_value(member_scores, KMeansModel.load(segments), ID_DIGITS)
-    names = R.page_view_favourites(ALSModel.load(factors), s.goods)
+    names = R.page_view_favourites(R.Favourites.load(spark, factors, "productId"), s.goods)
     return values.join(names.select("id", "productName0"), "id", "left")
 
 

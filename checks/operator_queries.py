@@ -109,12 +109,12 @@ def _preference(s):
     return order_lines(s.orders, s.goods, 3).select("id", "orderSn", "productType", "cateId", "brandId")
 
 
-VIEWS = """(SELECT cast(try_cast(global_user_id as bigint) as int) AS "userId", try_cast(regexp_extract(loc_url, '/product/([0-9]+)\\.html', 1) as int) AS "productId",
-    count(*) AS rating FROM fx_logs WHERE try_cast(regexp_extract(loc_url, '/product/([0-9]+)\\.html', 1) as int) IS NOT NULL GROUP BY 1, 2)"""
+VIEWS = """(SELECT try_cast(global_user_id as bigint) AS "userId", try_cast(regexp_extract(loc_url, '/product/([0-9]+)\\.html', 1) as bigint) AS "productId",
+    count(*) AS rating FROM fx_logs WHERE try_cast(regexp_extract(loc_url, '/product/([0-9]+)\\.html', 1) as bigint) IS NOT NULL GROUP BY 1, 2)"""
 
 
 @query("als_ratings_joined", f"""SELECT "userId", v."productId", rating, count(*) AS copies FROM {VIEWS} v
-    JOIN fx_goods g ON try_cast(g.productId as int) = v."productId" GROUP BY "userId", v."productId", rating""")
+    JOIN fx_goods g ON try_cast(g.productId as bigint) = v."productId" GROUP BY "userId", v."productId", rating""")
 def _als_joined(s):
     """The many-to-many join of ratings and order lines, its repeated rows counted instead of repeated."""
     return with_line_copies(view_ratings(s.logs), s.goods)
@@ -214,7 +214,7 @@ def _rating_views(s):
     return view_ratings(s.logs)
 
 
-@query("rating_orders", """SELECT cast(cid as int) AS "userId", cast(productId as int) AS "productId", count(*) AS rating FROM l9 GROUP BY 1, 2""")
+@query("rating_orders", """SELECT cast(cid as bigint) AS "userId", cast(productId as bigint) AS "productId", count(*) AS rating FROM l9 GROUP BY 1, 2""")
 def _rating_orders(s):
     return order_ratings(bought_items(s.orders, s.goods, ID_DIGITS))
 
@@ -223,7 +223,7 @@ _BRAND = """case when brandId in ('297', '301', '0') then 1 when brandId = '298'
     when brandId in ('303', '5') then 4 when brandId = '305' then 5 else 0 end"""
 
 
-@query("rating_brands", f"""SELECT cast(cid as int) AS "userId", {_BRAND} AS brand, count(*) AS rating FROM l9 GROUP BY 1, 2""")
+@query("rating_brands", f"""SELECT cast(cid as bigint) AS "userId", cast({_BRAND} as bigint) AS brand, count(*) AS rating FROM l9 GROUP BY 1, 2""")
 def _rating_brands(s):
     return brand_ratings(counted_items(bought_items(s.orders, s.goods, ID_DIGITS)))
 
@@ -290,7 +290,7 @@ def _distinct_sets(s):
 @query("fn_suffix_id", """SELECT id, try_cast(right(memberId, 3) as bigint) AS last3, try_cast(right(memberId, 9) as bigint) AS last9,
     try_cast(memberId as bigint) AS whole FROM fx_orders""")
 def _suffix(s):
-    return s.orders.selectExpr("id", f"{suffix_id('memberId')} AS last3", f"{suffix_id('memberId', 9)} AS last9",
+    return s.orders.selectExpr("id", f"{suffix_id('memberId', 3)} AS last3", f"{suffix_id('memberId', 9)} AS last9",
                                f"{suffix_id('memberId', None)} AS whole")
 
 

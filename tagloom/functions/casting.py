@@ -45,6 +45,6 @@ def whole_id(c: str, kind: str = "BIGINT") -> str:
     return f"try_cast({c} AS {kind})"
 
 
-def suffix_id(c: str, digits: int | None = 3) -> str:
+def suffix_id(c: str, digits: int | None) -> str:
     """Customer id from the last ``digits`` characters of a member id (None: all of it)."""
     return whole_id(c if digits is None else f"right({c}, {digits})")

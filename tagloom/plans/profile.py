@@ -26,7 +26,7 @@ class ProfileSettings:
     """What the data do not say: the reference date, id width, population, ladders."""
 
     as_of: str
-    id_digits: int | None = 3
+    id_digits: int | None
     population: int | None = None
     ladders: dict = field(default_factory=dict)
 

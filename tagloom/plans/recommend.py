@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import labels as L
 from tagloom.functions.casting import whole_id
 from tagloom.functions.ladders import decode, decode_many
 from tagloom.operators.grouping import set_join
 from tagloom.operators.joining import lookup, order_lines, product_names
+from tagloom.operators.numbering import numbered
 from tagloom.operators.ranking import ranks_to_columns
+from tagloom.operators.staging import stage
 from tagloom.plans.log_tags import viewed_products
 from tagloom.session import use_checkpoints
 from tagloom.sources.tables import Sources
@@ -19,11 +23,10 @@ from tagloom.sources.tables import Sources
 # ---- ratings ---------------------------------------------------------------------
 
 def _rating(pairs: DataFrame, item: str) -> DataFrame:
-    """Rows, or already counted ``rows``, per user and item. Users and items must fit an int."""
+    """Rows, or already counted ``rows``, per user and item."""
     counted = "rows" if "rows" in pairs.columns else "1"
-    ints = pairs.selectExpr(f"{whole_id('id', 'INT')} AS userId", f"{whole_id(item, 'INT')} AS {item}",
-                            f"CAST({counted} AS BIGINT) AS rows")
-    known = ints.where(f"userId IS NOT NULL AND {item} IS NOT NULL")
+    whole = pairs.selectExpr(f"{whole_id('id')} AS userId", f"{whole_id(item)} AS {item}", f"CAST({counted} AS BIGINT) AS rows")
+    known = whole.where(f"userId IS NOT NULL AND {item} IS NOT NULL")
     return known.groupBy("userId", item).agg(F.sum("rows").alias("rating"))
 
 
@@ -32,7 +35,7 @@ def view_ratings(logs: DataFrame) -> DataFrame:
     return _rating(viewed_products(logs), "productId")
 
 
-def bought_items(orders: DataFrame, goods: DataFrame, id_digits: int | None = 3,
+def bought_items(orders: DataFrame, goods: DataFrame, id_digits: int | None,
                  groups: dict = L.BRAND_GROUP) -> DataFrame:
     """(id, productId, brand group) of every order line."""
     brand = decode_many("brandId", groups, L.BRAND_GROUP_DEFAULT)
@@ -59,11 +62,13 @@ def with_line_copies(ratings: DataFrame, goods: DataFrame) -> DataFrame:
 
     This is the join of ratings and order lines kept in compact form: each joined row
     would only repeat the rating, so the rating is kept once with its number of copies.
-    A product with many viewers and many lines stays as small as its viewers.
+    A product with many viewers and many lines stays as small as its viewers. The counts are
+    staged, so that both sides of the join have an exchange of their own and a hot product
+    can be split.
     """
-    lines = (goods.selectExpr(f"{whole_id('productId', 'INT')} AS productId").where("productId IS NOT NULL")
+    lines = (goods.selectExpr(f"{whole_id('productId')} AS productId").where("productId IS NOT NULL")
              .groupBy("productId").agg(F.count(F.lit(1)).alias("copies")))
-    return ratings.join(lines, "productId", "inner").select("userId", "productId", "rating", "copies")
+    return ratings.join(stage(lines, "lines"), "productId", "inner").select("userId", "productId", "rating", "copies")
 
 
 def copies_as_confidence(ratings: DataFrame) -> DataFrame:
@@ -77,47 +82,96 @@ def copies_as_confidence(ratings: DataFrame) -> DataFrame:
 
 # ---- models ----------------------------------------------------------------------
 
-def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
-            blocks: int | None = None) -> ALSModel:
-    """Implicit ALS. Factor blocks follow the shuffle width; long lineage is checkpointed."""
-    spark = ratings.sparkSession
-    use_checkpoints(spark)
-    width = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    solver = ALS(userCol="userId", itemCol=item, ratingCol="rating", implicitPrefs=True,
-                 coldStartStrategy="drop", seed=seed, numUserBlocks=width, numItemBlocks=width, **settings)
-    return solver.fit(ratings)
+@dataclass(frozen=True)
+class Favourites:
+    """A fitted model with the dense numbers that stand for its users and items in it."""
+
+    model: ALSModel
+    item: str
+    users: DataFrame
+    items: DataFrame
+
+    def user_factors(self) -> DataFrame:
+        factors = self.model.userFactors.withColumnRenamed("id", "number")
+        return factors.join(self.users, "number").select(F.col("userId").alias("id"), "features")
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/model")
+        self.users.write.mode("overwrite").parquet(f"{path}/users")
+        self.items.write.mode("overwrite").parquet(f"{path}/items")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, item: str) -> Favourites:
+        users, items = (spark.read.parquet(f"{path}/{side}") for side in ("users", "items"))
+        return cls(ALSModel.load(f"{path}/model"), item, users, items)
 
 
-def fit_page_views(ratings: DataFrame, goods: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> ALSModel:
+def dense_numbers(ratings: DataFrame, column: str) -> DataFrame:
+    """(column, number): a dense int for every id, which is all that Spark ML's ALS takes. Numbers
+    follow the order of the ids, so they do not depend on the partitioning."""
+    ids = ratings.select(column).distinct()
+    index = stage(numbered(ids, [column]), f"{column}-numbers")
+    most = index.agg(F.max("number")).first()[0]
+    if most is not None and most > L.MOST_NUMBER:
+        raise ValueError(f"{most + 1} different values of {column}: ALS can tell {L.MOST_NUMBER + 1} apart")
+    return index.select(column, F.col("number").cast("int").alias("number"))
+
+
+def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
+            user_blocks: int = L.ALS_USER_BLOCKS, item_blocks: int = L.ALS_ITEM_BLOCKS) -> Favourites:
+    """Implicit ALS over ids of any width. Every rating task keeps user blocks times item blocks
+    buffers, so neither follows the shuffle width; long lineage is checkpointed."""
+    use_checkpoints(ratings.sparkSession)
+    rated = stage(ratings, "ratings")
+    users, items = dense_numbers(rated, "userId"), dense_numbers(rated, item)
+    dense = rated.join(users.withColumnRenamed("number", "user"), "userId").join(items.withColumnRenamed("number", "item"), item)
+    solver = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop",
+                 seed=seed, numUserBlocks=user_blocks, numItemBlocks=item_blocks, **settings)
+    return Favourites(solver.fit(dense.select("user", "item", "rating")), item, users, items)
+
+
+def fit_page_views(ratings: DataFrame, goods: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> Favourites:
     """The model behind the ranked product names, from view ratings."""
     return fit_als(weigh(with_line_copies(ratings, goods)), "productId", L.ALS_PAGE_VIEWS, seed)
 
 
-def top_items(model: ALSModel, item: str, n: int, users: DataFrame | None = None) -> DataFrame:
-    """(id, rank, item) of the n best items per user; with ``users`` only for those users."""
-    lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
-    ranked = lists.select(F.col("userId").cast("bigint").alias("id"), F.posexplode("recommendations").alias("rank", "best"))
-    return ranked.select("id", "rank", F.col(f"best.{item}").cast("string").alias(item))
+def top_items(fitted: Favourites, n: int, users: DataFrame | None = None) -> DataFrame:
+    """(id, rank, item) of the n best items per user; with ``users`` (userId) only for those users."""
+    if users is None:
+        lists = fitted.model.recommendForAllUsers(n)
+    else:
+        some = fitted.users.join(users.select("userId").distinct(), "userId", "left_semi")
+        lists = fitted.model.recommendForUserSubset(some.select(F.col("number").alias("user")), n)
+    ranked = lists.select("user", F.posexplode("recommendations").alias("rank", "best")).select("user", "rank", "best.item")
+    known = ranked.join(fitted.users.withColumnRenamed("number", "user"), "user").join(fitted.items.withColumnRenamed("number", "item").withColumnRenamed(fitted.item, "__key"), "item")
+    return known.select(F.col("userId").alias("id"), "rank", F.col("__key").cast("string").alias(fitted.item))
 
 
 # ---- tags ------------------------------------------------------------------------
 
+def catalogue(goods: DataFrame, name: str = "productName") -> DataFrame:
+    """One row per product with an attribute, under the spelling that ratings have: 007 is 7.
+    Staged, so that a lookup of a hot product can be split."""
+    spelled = goods.withColumn("productId", F.expr(f"CAST({whole_id('productId')} AS STRING)"))
+    return stage(product_names(spelled, name), "catalogue")
+
+
 def favourite_sets(top: DataFrame, goods: DataFrame, attribute: str, name: str) -> DataFrame:
     """Product attributes of the top items as one sorted list per user."""
-    named = lookup(top, "productId", product_names(goods, attribute), "productId")
+    named = lookup(top, "productId", catalogue(goods, attribute), "productId")
     return set_join(named, "id", attribute, name)
 
 
 def favourite_products(ratings: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
     """From view ratings."""
     model = fit_als(ratings, "productId", L.ALS_FAVOURITES, seed)
-    return favourite_sets(top_items(model, "productId", L.TOP_PRODUCTS), goods, "productName", "favorProducts")
+    return favourite_sets(top_items(model, L.TOP_PRODUCTS), goods, "productName", "favorProducts")
 
 
 def favourite_types(items: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
     """From bought items."""
     model = fit_als(order_ratings(items), "productId", L.ALS_FAVOURITES, seed)
-    return favourite_sets(top_items(model, "productId", L.TOP_TYPES), goods, "productType", "favorProductsType")
+    return favourite_sets(top_items(model, L.TOP_TYPES), goods, "productType", "favorProductsType")
 
 
 def brand_sets(brands: DataFrame, name: str = "favorBrandName", book: dict = L.BRAND_NAME) -> DataFrame:
@@ -128,22 +182,22 @@ def brand_sets(brands: DataFrame, name: str = "favorBrandName", book: dict = L.B
 
 def favourite_brands(items: DataFrame, seed: int = 42) -> DataFrame:
     """From bought items."""
-    model = fit_als(brand_ratings(items), "brand", L.ALS_FAVOURITES, seed)
-    return brand_sets(top_items(model, "brand", L.TOP_BRANDS))
+    model = fit_als(brand_ratings(items), "brand", L.ALS_FAVOURITES, seed, item_blocks=1)  # six brand groups
+    return brand_sets(top_items(model, L.TOP_BRANDS))
 
 
 def names_by_rank(top: DataFrame, goods: DataFrame, names: list[str] = L.RANK_COLUMNS) -> DataFrame:
     """Product names of the ranked items, one column per rank: one join for all ranks."""
     wanted = top.where(F.col("rank") < len(names))
-    named = lookup(wanted, "productId", product_names(goods), "productId")
+    named = lookup(wanted, "productId", catalogue(goods), "productId")
     return ranks_to_columns(named, "id", "rank", "productName", names)
 
 
-def page_view_favourites(model: ALSModel, goods: DataFrame) -> DataFrame:
-    return names_by_rank(top_items(model, "productId", L.TOP_PAGE_VIEWS), goods)
+def page_view_favourites(model: Favourites, goods: DataFrame) -> DataFrame:
+    return names_by_rank(top_items(model, len(L.RANK_COLUMNS)), goods)
 
 
-def favourite_frames(sources: Sources, id_digits: int | None = 3, stage=None, seed: int = 42) -> list[DataFrame]:
+def favourite_frames(sources: Sources, id_digits: int | None, stage=None, seed: int = 42) -> list[DataFrame]:
     """All favourites, by id. ``stage`` stores what two models share, so that the log and the
     order-line join are read once."""
     keep = stage or (lambda df: df)

@@ -74,7 +74,7 @@ def assign_segments(scores: DataFrame, model: KMeansModel, ladders=LADDERS) -> D
     return scores.join(F.broadcast(points), SCORES, "left")
 
 
-def user_value(scores: DataFrame, model: KMeansModel, id_digits: int | None = 3,
+def user_value(scores: DataFrame, model: KMeansModel, id_digits: int | None,
                book: dict = L.USER_VALUE, ladders=LADDERS) -> DataFrame:
     """Value label per customer id; ``ladders`` are the ones the scores came from. Members sharing an id: the latest buyer's label counts,
     equal times the smaller cluster number."""

@@ -52,12 +52,12 @@ def test_user_value_covers_every_customer(sources, member_scores):
 
 
 def test_top_lists(spark, sources, brand_model):
-    top = R.top_items(brand_model, "brand", 4)
+    top = R.top_items(brand_model, 4)
     counts = {r["count"] for r in top.groupBy("id").count().collect()}
     assert counts == {4}
     assert rows(top.select("rank").distinct()) == [(0,), (1,), (2,), (3,)]
     users = sources.users.selectExpr("CAST(id AS INT) AS userId").where("userId < 20")
-    some = R.top_items(brand_model, "brand", 4, users)
+    some = R.top_items(brand_model, 4, users)
     assert rows(some) == rows(top.where("id < 20"))
 
 
@@ -86,3 +86,21 @@ def test_counted_items_give_the_same_ratings(sources):
     counted = R.counted_items(items)
     assert rows(R.order_ratings(items)) == rows(R.order_ratings(counted))
     assert rows(R.brand_ratings(items)) == rows(R.brand_ratings(counted))
+
+
+def test_no_favourite_is_lost_to_the_width_or_spelling_of_ids(spark):
+    views = [(20000000001, 3000000000, 4), (20000000001, 7, 2), (5, 7, 3), (5, 3000000000, 1)]
+    ratings = spark.createDataFrame(views, "userId long, productId long, rating long")
+    goods = spark.createDataFrame([("3000000000", "far", "t1"), ("007", "spy", "t2")], "productId string, productName string, productType string")
+    found = {r.id: r.favorProducts for r in R.favourite_products(ratings, goods).collect()}
+    assert found == {20000000001: "far,spy", 5: "far,spy"}
+    wide = {r.id: {r.productName0, r.productName1} for r in R.page_view_favourites(R.fit_page_views(ratings, goods), goods).collect()}
+    assert wide == {20000000001: {"far", "spy"}, 5: {"far", "spy"}}
+    pairs = spark.createDataFrame([("20000000001", "007"), ("20000000001", "7")], "id string, productId string")
+    assert rows(R.order_ratings(pairs)) == [(20000000001, 7, 2)]
+
+
+def test_more_ids_than_ints_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(R.L, "MOST_NUMBER", 1)
+    with pytest.raises(ValueError, match="different values of userId"):
+        R.dense_numbers(spark.range(3).withColumnRenamed("id", "userId"), "userId")

@@ -47,11 +47,17 @@ def prefix_size(n, percent: int = PERCENT):
 
 def _sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct run hashes of every text."""
-    for _, words in text_chunks(texts):
+    for _, sets in _chunks(texts, k):
+        yield from sets
+
+
+def _chunks(texts: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(index of the first text, sets) for stretches of bounded size, so that no more than the
+    sets of one stretch are held or sent at a time."""
+    for at, words in text_chunks(texts):
         hashes, runs = words.shingles(k)
         ends = np.cumsum(runs)
-        for a, b in zip(ends - runs, ends):
-            yield np.unique(hashes[a:b])
+        yield at, [np.unique(hashes[a:b]) for a, b in zip(ends - runs, ends)]
 
 
 def _set_key(s: np.ndarray) -> tuple[int, int]:
@@ -69,11 +75,11 @@ def _keys(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
 def _heads(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     """The first runs by hash: enough for most prefixes after hot runs have moved."""
     for batch in batches:
-        sets = list(_sets(batch.column(1), k))
-        heads = [signed(s[: 2 * prefix_size(len(s), percent) + 16]) for s in sets]
-        keys = [_set_key(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()),
-                                          pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "n", "k1", "k2", "head"])
+        for at, sets in _chunks(batch.column(1), k):
+            heads = [signed(s[: 2 * prefix_size(len(s), percent) + 16]) for s in sets]
+            keys = [_set_key(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()),
+                                              pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "n", "k1", "k2", "head"])
 
 
 def _is_hot(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -112,8 +118,11 @@ def _runs_beside(batches: Iterator[pa.RecordBatch], hot: np.ndarray, k: int, per
     """All runs of the texts that have a hot run in their prefix: what stands beside it in a
     passage or in a group of near copies is likely to be hot too."""
     for batch in batches:
-        sets = [s for s in _sets(batch.column(1), k) if _is_hot(s[: prefix_size(len(s), percent)], hot).any()]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64())], ["run"])
+        for _, sets in _chunks(batch.column(1), k):
+            beside = [s for s in sets if _is_hot(s[: prefix_size(len(s), percent)], hot).any()]
+            # counted here, before rows are made: copies in the same stretch are one row per run
+            runs, times = np.unique(np.concatenate(beside) if beside else np.zeros(0, dtype=np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(runs)), pa.array(times, pa.int64())], ["run", "times"])
 
 
 def _open_heads(batches: Iterator[pa.RecordBatch], hot: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
@@ -128,14 +137,16 @@ def _open_heads(batches: Iterator[pa.RecordBatch], hot: np.ndarray, percent: int
 
 def _whole_prefixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, k: int, percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = list(_sets(batch.column(1), k))
-        ns = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-        yield _rows(np.asarray(batch.column(0)), ns, [_ordered_prefix(s, prefix_size(len(s), percent), hot) for s in sets])
+        reps = np.asarray(batch.column(0))
+        for at, sets in _chunks(batch.column(1), k):
+            ns = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+            yield _rows(reps[at: at + len(sets)], ns, [_ordered_prefix(s, prefix_size(len(s), percent), hot) for s in sets])
 
 
 def _set_bytes(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in _sets(batch.column(1), k)], pa.binary())], ["rep", "runs"])
+        for at, sets in _chunks(batch.column(1), k):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "runs"])
 
 
 def _verified(batches: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
@@ -176,7 +187,7 @@ class Join:
         none = np.zeros(0, dtype=np.uint64)
         first = self._frequent(classes.mapInArrow(lambda batches: _postings(batches, none, percent, False), schema))
         seen = self.spark.sparkContext.broadcast(first)
-        hot = np.union1d(first, self._frequent(self.texts.mapInArrow(lambda batches: _runs_beside(batches, seen.value, k, percent), "run long")))
+        hot = np.union1d(first, self._frequent(self.texts.mapInArrow(lambda batches: _runs_beside(batches, seen.value, k, percent), "run long, times long")))
         shared = self.spark.sparkContext.broadcast(hot)
         rows = classes.mapInArrow(lambda batches: _postings(batches, shared.value, percent, True), schema)
         opened = stage(classes.mapInArrow(lambda batches: _open_heads(batches, shared.value, percent), "rep long"), "open")
@@ -184,7 +195,8 @@ class Join:
         return stage(rows.unionByName(whole), "postings")
 
     def _frequent(self, rows: DataFrame) -> np.ndarray:
-        most = rows.groupBy("run").count().where(F.col("count") >= HOT).orderBy(F.desc("count"), "run").limit(MOST_HOT)
+        times = F.sum("times") if "times" in rows.columns else F.count(F.lit(1))
+        most = rows.groupBy("run").agg(times.alias("count")).where(F.col("count") >= HOT).orderBy(F.desc("count"), "run").limit(MOST_HOT)
         return np.sort(np.array([r.run for r in most.select("run").toLocalIterator()], dtype=np.int64).view(np.uint64))
 
     def _texts_of(self, reps: DataFrame) -> DataFrame:

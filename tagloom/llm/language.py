@@ -38,6 +38,7 @@ CACHED_WORDS = 200_000
 TEXTS_AT_ONCE = 128  # words of so many texts are scored together
 BLOCK_CELLS = 80_000  # words times languages that are computed at a time
 UNDETERMINED = "und"
+_OWN_TEXT = "__text"  # the text's name where it is read but not kept
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -229,7 +230,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: LanguageModel, text: str) -
             if model.languages:
                 scorer.learn(set().union(*words))
             found = [scorer.best(w) for w in words]
-            rows = rows.drop_columns([text])
+            rows = rows.drop_columns([text]) if text == _OWN_TEXT else rows
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                                              [*rows.schema.names, "lang_pred", "score"])
 
@@ -237,7 +238,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: LanguageModel, text: str) -
 def predict(documents: DataFrame, model: LanguageModel, keep: Sequence[str]) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``; only ``text`` is looked at."""
     shared = documents.sparkSession.sparkContext.broadcast((model.languages, model.pieces, model.shares))  # plain values: broadcasts carry no code
-    # the text travels under a name of its own, so that a kept column may also be called text
-    rows = documents.select(*keep, F.col("text").alias("__text"))
+    # a text that is kept travels once
+    text = "text" if "text" in keep else _OWN_TEXT
+    rows = documents.select(*keep) if text in keep else documents.select(*keep, F.col("text").alias(text))
     schema = documents.select(*keep, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    return rows.mapInArrow(lambda batches: _score(batches, LanguageModel(*shared.value), "__text"), schema)
+    return rows.mapInArrow(lambda batches: _score(batches, LanguageModel(*shared.value), text), schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.llm import jaccard, language, mixing, packing, passages
-from tagloom.operators.staging import stage
+from tagloom.operators.staging import scratch, stage
 
 LEAST_SCORE = 0.5  # a text whose best language is less likely than this is rejected
 HELD_OUT = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 3 = 1, false)"
@@ -27,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One text of each group of near duplicates stays, the one with the smallest id; of rows that
     share that id, one. Texts without words and rows without an id link with nothing and stay."""
-    groups = jaccard.components(docs)
-    gone = stage(groups.where("component_id <> doc_id").select("doc_id").distinct(), "duplicates")
+    with scratch(spark):
+        groups = jaccard.components(docs)
+        gone = stage(groups.where("component_id <> doc_id").select("doc_id").distinct(), "duplicates", kept=True)
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = stage(left.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     once = left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
@@ -37,7 +38,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier text has too are cut out; texts of which nothing is left go."""
-    left = passages.without_duplicates(docs, stage(passages.duplicates(docs), "passages"))
+    with scratch(spark):
+        found = stage(passages.duplicates(docs), "passages", kept=True)
+    left = passages.without_duplicates(docs, found)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

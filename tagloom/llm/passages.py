@@ -13,7 +13,9 @@ equal runs of words with small gaps, of at least ``WORDS`` words and 5-word simi
 ``SIMILARITY``; the later text's copy is the duplicate.
 
 Limits of the method: a passage that only resembles its duplicates is found when enough of its
-min-hashes agree (over 0.97 of cases at the least similarity); equal passages always are.
+min-hashes agree (over 0.97 of cases at the least similarity). An equal passage
+is missed where the first holders of its hashes have only a part of it: 1.2 % of the repeated
+50-word windows within groups of near copies of the hot check table.
 
 Defined cases: null and short texts have no passages; repeats inside one text are left alone;
 rows with a null id take no part; rows that share an id are one text, the longest of them;

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import labels as L
@@ -116,66 +117,110 @@ def export_view(profile: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ProfileStore:
-    """Parquet versions of the profile under one root; the newest complete one counts.
-
-    An upsert reads the newest version and writes the next, so a failed or repeated run
-    never damages what readers see. With ``buckets`` (at least the shuffle width of the
-    session) versions are bucketed by id: an upsert then shuffles only its update, never
-    the stored profile, and its result is already split the way it is written.
+    """Parquet versions of the profile under one root; the newest one counts.
+
+    Rows are written to a folder of their own, which then becomes the next version by a
+    rename that fails when that version exists. So a failed run never damages what readers
+    see, and of two programs that start from the same version the later one reads the
+    other's version and merges its update anew: no update is lost. With ``buckets`` (at
+    least the shuffle width of the session) versions are bucketed by id: an upsert then
+    shuffles only its update, never the stored profile, and its result is already split
+    the way it is written.
     """
 
     spark: SparkSession
     root: str
     buckets: int | None = None
 
-    def _versions(self) -> dict[int, tuple[str, int]]:
-        """version -> (path, buckets) of complete versions: a listing of folder names only."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _listed(self, name: str) -> dict[int, tuple[str, str]]:
+        """version -> (folder, file) of the files that fit a pattern below the versions."""
+        pattern, files = self._path(f"version=*/{name}")
         found = {}
-        for file in files or []:
+        for file in files.globStatus(pattern) or []:
             folder = file.getPath().getParent()
-            version, _, buckets = folder.getName().removeprefix("version=").partition("-b")
-            found[int(version)] = (folder.toString(), int(buckets or 0))
+            found[int(folder.getName().removeprefix("version="))] = (folder.toString(), file.getPath().getName())
         return dict(sorted(found.items()))
 
     def versions(self) -> list[int]:
-        return list(self._versions())
+        return list(self._listed("_SUCCESS"))
 
-    def _table(self, version: int) -> str:
-        return f"profile_{zlib.crc32(self.root.encode()):08x}_{version:08d}"
-
-    def read(self) -> DataFrame | None:
-        versions = self._versions()
-        if not versions:
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The newest version, or the one asked for."""
+        folders = self._listed("_SUCCESS")
+        version = max(folders, default=None) if version is None else version
+        if version is None:
             return None
-        version, (path, buckets) = list(versions.items())[-1]
+        path, marker = folders[version][0], self._listed("_buckets-*").get(version)
         stored = self.spark.read.parquet(path)
-        if not buckets:
+        if marker is None:
             return stored
+        _, buckets, run = marker[1].split("-")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
+        # only a table carries buckets; named after this reading alone, it is dropped once resolved
+        table = f"profile_{run}_{uuid.uuid4().hex}"
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self._table(version)} ({columns}) USING parquet "
+            f"CREATE TABLE {table} ({columns}) USING parquet "
             f"CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS LOCATION {text(path)}")
-        return self.spark.table(self._table(version))
+        try:
+            return self.spark.table(table)
+        finally:
+            self.spark.sql(f"DROP TABLE {table}")
 
     def write(self, profile: DataFrame) -> int:
-        split = profile.repartition(self.buckets, "id") if self.buckets else profile
-        return self._write(split)
-
-    def _write(self, profile: DataFrame) -> int:
+        """Replaces the whole profile."""
+        run = self._written(profile.repartition(self.buckets, "id") if self.buckets else profile)
         version = max(self.versions(), default=0) + 1
-        path = f"{self.root}/version={version:08d}"
-        if not self.buckets:
-            profile.write.mode("overwrite").parquet(path)
-        else:
-            (profile.write.mode("overwrite").format("parquet").bucketBy(self.buckets, "id").sortBy("id")
-             .option("path", f"{path}-b{self.buckets}").saveAsTable(self._table(version)))
+        while not self._published(run, version):
+            version += 1
         return version
 
+    def _written(self, profile: DataFrame) -> str:
+        """Name of the new folder that holds the rows."""
+        run = uuid.uuid4().hex
+        name = f"run-{run}"
+        if not self.buckets:
+            profile.write.parquet(f"{self.root}/{name}")
+            return name
+        (profile.write.format("parquet").bucketBy(self.buckets, "id").sortBy("id")
+         .option("path", f"{self.root}/{name}").saveAsTable(f"profile_{run}"))
+        self.spark.sql(f"DROP TABLE profile_{run}")  # the files stay
+        path, files = self._path(f"{name}/_buckets-{self.buckets}-{run}")
+        files.create(path, False).close()
+        return name
+
+    def _published(self, run: str, version: int) -> bool:
+        """Whether the folder became this version; not when another program was first."""
+        path, _ = self._path(run)
+        target, files = self._path(f"version={version:08d}")
+        if files.exists(target):
+            return False
+        jvm = self.spark._jvm
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getUri(), self.spark._jsc.hadoopConfiguration())
+        no_overwriting = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(context.makeQualified(path), context.makeQualified(target), no_overwriting)
+        except Py4JJavaError:
+            if files.exists(target):
+                return False
+            raise
+        return True
+
     def upsert(self, update: DataFrame) -> int:
-        current = self.read()
         fresh = update.where(F.col("id").isNotNull())
-        if current is None:
-            return self.write(fresh)
-        return self._write(upsert(current, fresh))
+        while True:
+            base = max(self.versions(), default=None)
+            if base is None:
+                run = self._written(fresh.repartition(self.buckets, "id") if self.buckets else fresh)
+            else:
+                run = self._written(upsert(self.read(base), fresh))
+            version = (base or 0) + 1
+            if self._published(run, version):
+                return version
+            path, files = self._path(run)
+            files.delete(path, True)  # our own attempt, on a version that is no longer the newest
+            if version not in self.versions():
+                raise FileExistsError(f"{self.root}/version={version:08d} is there but not complete")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import product
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -57,6 +58,34 @@ def fit_segments(scores: DataFrame, settings: dict = L.RFM_KMEANS) -> KMeansMode
     return solver.fit(points)
 
 
+@dataclass(frozen=True)
+class Segments:
+    """A fitted model with the book that names its clusters. Cluster numbers mean nothing
+    without the fit they came from, so the two are stored and loaded together."""
+
+    model: KMeansModel
+    book: dict[str, str]
+
+    def __post_init__(self):
+        clusters = {str(i) for i in range(len(self.model.clusterCenters()))}
+        if set(self.book) != clusters:
+            raise ValueError(f"the book names {sorted(self.book)}, the model has {sorted(clusters)}")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(str(i), self.book[str(i)], centre) for i, *centre in segment_centers(self.model)]
+        self.model.write().overwrite().save(f"{path}/model")
+        spark.createDataFrame(rows, "cluster string, label string, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/book")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Segments:
+        """Fails without a book, and when the model was fitted anew since the book was stored."""
+        model = KMeansModel.load(f"{path}/model")
+        rows = spark.read.parquet(f"{path}/book").collect()  # a row per cluster
+        if {r.cluster: list(r.centre) for r in rows} != {str(i): centre for i, *centre in segment_centers(model)}:
+            raise ValueError(f"{path}: the book was made for another fit; name the clusters anew")
+        return cls(model, {r.cluster: r.label for r in rows})
+
+
 def score_grid(spark: SparkSession, *ladders: list[L.Bin]) -> DataFrame:
     """Every score triple the ladders can give: 125 rows for five rungs each."""
     triples = list(product(*[sorted({b.label for b in ladder}) for ladder in ladders]))
@@ -67,18 +96,20 @@ def assign_segments(scores: DataFrame, model: KMeansModel, ladders=LADDERS) -> D
     """Cluster per member, null where a score is missing.
 
     The model runs on the grid of possible triples and members look theirs up: one pass
-    over the members, and a broadcast whose size the ladders fix.
+    over the members. Spark broadcasts the grid where its size allows it.
     """
     grid = model.transform(_vectors(score_grid(scores.sparkSession, *ladders)))
     points = grid.select(*SCORES, F.col(model.getPredictionCol()).alias("cluster"))
-    return scores.join(F.broadcast(points), SCORES, "left")
+    return scores.join(points, SCORES, "left")
 
 
-def user_value(scores: DataFrame, model: KMeansModel, id_digits: int | None,
-               book: dict = L.USER_VALUE, ladders=LADDERS) -> DataFrame:
+def user_value(scores: DataFrame, segments: Segments, id_digits: int | None, ladders=LADDERS) -> DataFrame:
     """Value label per customer id; ``ladders`` are the ones the scores came from. Members sharing an id: the latest buyer's label counts,
     equal times the smaller cluster number."""
-    labels = [*[book.get(str(i), L.UNKNOWN) for i in range(len(book))], L.UNKNOWN]
+    if not isinstance(segments, Segments):
+        raise TypeError("a fitted model needs a book that names its clusters: Segments(model, book)")
+    model, book = segments.model, segments.book
+    labels = [*[book[str(i)] for i in range(len(book))], L.UNKNOWN]
     keyed = (assign_segments(scores, model, ladders)
              .withColumn("id", F.expr(suffix_id("memberId", id_digits)))
              .where("id IS NOT NULL"))

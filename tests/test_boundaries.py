@@ -257,7 +257,7 @@ def test_user_value_without_scores_is_unknown(spark):
     orders = spark.createDataFrame(rows, "memberId string, finishTime string, orderSn string, orderAmount string")
     scores = rfm.rfm_scores(rfm.rfm_metrics(orders, "2024-01-03"))
     model = rfm.fit_segments(scores, {"k": 2, "seed": 100, "maxIter": 2})
-    got = {r.id: r.userValue for r in rfm.user_value(scores, model, 3).collect()}
+    got = {r.id: r.userValue for r in rfm.user_value(scores, rfm.Segments(model, {"0": "a", "1": "b"}), 3).collect()}
     assert set(got) == {1, 2, 3} and got[2] == "未知" and got[1] != got[3] and "未知" not in (got[1], got[3])
 
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from checks.model_queries import scores
+from checks.model_queries import scores, segments
 from checks.settings import FREQUENCY, ID_DIGITS, MONEY, RECENCY
 from tagloom.plans import recommend as R
 from tagloom.plans import rfm as V
@@ -46,7 +46,7 @@ def test_points_keep_every_member(member_scores):
 
 
 def test_user_value_covers_every_customer(sources, member_scores):
-    values = V.user_value(member_scores, V.fit_segments(member_scores), ID_DIGITS)
+    values = V.user_value(member_scores, segments(member_scores), ID_DIGITS)
     assert values.count() == sources.orders.select("memberId").distinct().count()
     assert values.where("id IS NULL OR userValue IS NULL").count() == 0
 
@@ -104,3 +104,18 @@ def test_more_ids_than_ints_are_refused(spark, monkeypatch):
     monkeypatch.setattr(R.L, "MOST_NUMBER", 1)
     with pytest.raises(ValueError, match="different values of userId"):
         R.dense_numbers(spark.range(3).withColumnRenamed("id", "userId"), "userId")
+
+
+def test_segments_go_with_their_book(spark, member_scores, tmp_path):
+    fitted = segments(member_scores)
+    fitted.save(spark, str(tmp_path))
+    assert V.Segments.load(spark, str(tmp_path)).book == fitted.book
+    with pytest.raises(ValueError):
+        V.Segments(fitted.model, {"0": "a"})
+    with pytest.raises(TypeError):
+        V.user_value(member_scores, fitted.model, ID_DIGITS)
+    refit = V.fit_segments(member_scores, {"k": 7, "seed": 3, "maxIter": 1, "initMode": "random"})
+    assert V.segment_centers(refit) != V.segment_centers(fitted.model)
+    refit.write().overwrite().save(f"{tmp_path}/model")
+    with pytest.raises(ValueError):
+        V.Segments.load(spark, str(tmp_path))

@@ -61,6 +61,32 @@ def test_bucketed_store_is_not_shuffled_on_upsert(spark, folder):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_two_writers_lose_no_update(spark, folder, buckets, monkeypatch):
+    first, second = (P.ProfileStore(spark, f"{folder}/profile", buckets) for _ in range(2))
+    first.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, gender string"))
+    written, others = P.ProfileStore._written, []
+
+    def between(store, rows):
+        run = written(store, rows)
+        if store is first and not others:  # the other program is faster
+            others.append(second.upsert(spark.createDataFrame([(2, "x")], "id bigint, job string")))
+        return run
+    monkeypatch.setattr(P.ProfileStore, "_written", between)
+    assert first.upsert(spark.createDataFrame([(1, "m")], "id bigint, city string")) == 3 and others == [2]
+    assert rows(first.read(), "id", "gender", "job", "city") == [(1, "a", None, "m"), (2, "b", "x", None)]
+
+
+def test_a_root_made_anew_with_other_buckets(spark, folder):
+    import shutil
+    P.ProfileStore(spark, f"{folder}/profile", 8).upsert(spark.range(100).selectExpr("id", "'a' AS gender"))
+    shutil.rmtree(f"{folder}/profile")
+    store = P.ProfileStore(spark, f"{folder}/profile", 4)
+    store.upsert(spark.range(50).selectExpr("id", "'b' AS gender"))
+    assert store.read().where("gender = 'b'").count() == 50 and store.read().where("id = 7").count() == 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("profile_")]
+
+
 def test_store_ignores_an_unfinished_version(spark, folder):
     import os
     store = P.ProfileStore(spark, folder)

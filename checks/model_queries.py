@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import functions as F
 
+from checks.operator_queries import VIEWS
 from checks.registry import query
 from checks.settings import AS_OF_ORDERS, FREQUENCY, ID_DIGITS, MONEY, PROFILE, RECENCY
+from tagloom import labels as L
 from tagloom.plans import profile as P
 from tagloom.plans import recommend as R
 from tagloom.plans import rfm as V
@@ -20,6 +21,10 @@ def scores(s):
     return V.rfm_scores(V.rfm_metrics(s.orders, AS_OF_ORDERS), RECENCY, FREQUENCY, MONEY)
 
 
+def segments(member_scores):
+    return V.Segments(V.fit_segments(member_scores), L.USER_VALUE)
+
+
 @query("rfm_metrics", _METRICS)
 def _metrics(s):
     metrics = V.rfm_metrics(s.orders, AS_OF_ORDERS)
@@ -47,7 +52,7 @@ def _kmeans(s):
 @query("tag_user_value")
 def _user_value(s):
     member_scores = scores(s)
-    return V.user_value(member_scores, V.fit_segments(member_scores), ID_DIGITS)
+    return V.user_value(member_scores, segments(member_scores), ID_DIGITS)
 
 
 @query("als_fit_views")
@@ -81,10 +86,10 @@ def _roundtrip(s):
     """Both model kinds saved to the shared folder, loaded and applied."""
     spark = s.orders.sparkSession
     member_scores = scores(s)
-    segments, factors = new_path(spark, "segments"), new_path(spark, "factors")
-    V.fit_segments(member_scores).write().overwrite().save(segments)
+    named, factors = new_path(spark, "segments"), new_path(spark, "factors")
+    segments(member_scores).save(spark, named)
     R.fit_page_views(R.view_ratings(s.logs), s.goods).save(factors)
-    values = V.user_value(member_scores, KMeansModel.load(segments), ID_DIGITS)
+    values = V.user_value(member_scores, V.Segments.load(spark, named), ID_DIGITS)
     names = R.page_view_favourites(R.Favourites.load(spark, factors, "productId"), s.goods)
     return values.join(names.select("id", "productName0"), "id", "left")
 
@@ -95,5 +100,50 @@ def _profile_full(s):
     spark = s.orders.sparkSession
     stage = P.checkpointed(spark)
     member_scores = stage(scores(s)) if stage else scores(s)
-    value = V.user_value(member_scores, V.fit_segments(member_scores), ID_DIGITS)
+    value = V.user_value(member_scores, segments(member_scores), ID_DIGITS)
     return P.build_profile(spark, s, PROFILE, [value, *R.favourite_frames(s, ID_DIGITS, stage)])
+
+
+# ---- what SQL can say of fitted models: who is covered, by how much -----------------
+
+_SCORED = f"""SELECT cast(right("memberId", {ID_DIGITS}) as bigint) AS id, "lastFinish",
+    (recency >= 30 AND frequency >= 1 AND (money <= 99990 OR money between 100000 and 499990 OR money between 500000 and 999990
+      OR money between 1000000 and 1999990 OR money >= 2000000)) IS TRUE AS scored
+    FROM ({_METRICS}) JOIN (SELECT memberId AS "memberId", max(try_cast(finishTime as bigint)) AS "lastFinish" FROM fx_orders GROUP BY memberId) USING ("memberId")"""
+
+
+@query("user_value_coverage", f"""SELECT id, coalesce(bool_or(scored) FILTER (WHERE "lastFinish" = newest), false) AS named
+    FROM (SELECT *, max("lastFinish") OVER (PARTITION BY id) AS newest FROM ({_SCORED})) GROUP BY id""")
+def _value_coverage(s):
+    """Every customer with whether a segment was found: exactly where the newest member has all scores."""
+    values = _user_value(s)
+    allowed = F.col("userValue").isin(*L.USER_VALUE.values())
+    return values.select("id", F.when(allowed, True).when(F.col("userValue") == L.UNKNOWN, False).alias("named"))
+
+
+@query("topn_coverage", f"""SELECT DISTINCT "userId" AS id, least({len(L.RANK_COLUMNS)}, (SELECT count(DISTINCT v."productId") FROM {VIEWS} v JOIN fx_goods g ON try_cast(g.productId as bigint) = v."productId")) AS items
+    FROM {VIEWS} v JOIN fx_goods g ON try_cast(g.productId as bigint) = v."productId" """)
+def _topn_coverage(s):
+    """Every visitor who viewed a sold product, with the number of different items ranked."""
+    top = R.top_items(R.fit_page_views(R.view_ratings(s.logs), s.goods), len(L.RANK_COLUMNS))
+    return top.groupBy("id").agg(F.countDistinct("productId").alias("items"))
+
+
+@query("favourite_coverage", f"""SELECT DISTINCT cast(cid as bigint) AS id, least({L.TOP_TYPES}, (SELECT count(DISTINCT cast(productId as bigint)) FROM l9)) AS items FROM l9""")
+def _favourite_coverage(s):
+    """Every buyer, with the number of different favourite items."""
+    items = R.bought_items(s.orders, s.goods, ID_DIGITS)
+    top = R.top_items(R.fit_als(R.order_ratings(items), "productId", L.ALS_FAVOURITES), L.TOP_TYPES)
+    return top.groupBy("id").agg(F.countDistinct("productId").alias("items"))
+
+
+@query("roundtrip_equal", f"""SELECT count(DISTINCT id) AS customers, cast(0 as bigint) AS different FROM ({_SCORED}) WHERE id IS NOT NULL""")
+def _roundtrip_equal(s):
+    """Customers, and how many of them a stored and loaded model labels otherwise."""
+    spark, path = s.orders.sparkSession, new_path(s.orders.sparkSession, "segments")
+    member_scores, fitted = scores(s), segments(scores(s))
+    fitted.save(spark, path)
+    direct = V.user_value(member_scores, fitted, ID_DIGITS)
+    loaded = V.user_value(member_scores, V.Segments.load(spark, path), ID_DIGITS).withColumnRenamed("userValue", "again")
+    return direct.join(loaded, "id", "full_outer").agg(
+        F.count(F.lit(1)).alias("customers"), F.count_if(~F.col("userValue").eqNullSafe(F.col("again"))).alias("different"))

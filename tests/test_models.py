@@ -119,3 +119,8 @@ def test_segments_go_with_their_book(spark, member_scores, tmp_path):
     refit.write().overwrite().save(f"{tmp_path}/model")
     with pytest.raises(ValueError):
         V.Segments.load(spark, str(tmp_path))
+
+
+def test_every_rankable_user_gets_a_whole_list(brand_model):
+    top = R.top_items(brand_model, 4).groupBy("id").count()
+    assert rows(top) == rows(brand_model.user_factors().selectExpr("id", "4L"))

@@ -5,8 +5,9 @@ from collections import Counter, defaultdict
 import pytest
 
 from tagloom.operators.grouping import dedup_by_key, last_per_key, mode_per_key, set_join
-from tagloom.operators.joining import order_lines
+from tagloom.operators.joining import lookup, order_lines
 from tagloom.operators.ranking import top_n_per_key
+from tagloom.plans import recommend as R
 from tagloom.plans.line_tags import line_tags
 from tagloom.plans.tag import aggregate_tags
 
@@ -76,3 +77,50 @@ def test_hot_order_and_hot_customer(spark):
     for customer, rows in want.items():
         assert got[customer].coupon == str(len(rows)) and got[customer].activity == "0"
         assert got[customer].purchaseGoods == ",".join(sorted({r[2] for r in rows}))
+
+
+# ---- hot products: the joins must be split, not only right -------------------------
+
+@pytest.fixture
+def low_thresholds(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="module")
+def goods(spark):
+    return spark.range(2000).selectExpr("CAST(id % 400 AS STRING) AS productId", "concat('n', id % 400) AS productName").repartition(8)
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Two thirds of the rows on one product."""
+    return spark.range(60000).selectExpr("id AS userId", "id", "if(id % 3 > 0, 7, id % 400) AS product", "CAST(id % 9 AS INT) AS rank", "id % 5 + 1 AS rating").repartition(16)
+
+
+def is_split(df):
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_splits_a_hot_product(low_thresholds, hot, goods):
+    named = lookup(hot.selectExpr("id", "CAST(product AS STRING) AS productId"), "productId", R.catalogue(goods), "productId")
+    assert len(named.collect()) == 60000 and is_split(named)
+
+
+def test_line_copies_split_a_hot_product(low_thresholds, hot, goods):
+    joined = R.with_line_copies(hot.selectExpr("userId", "product AS productId", "rating"), goods)
+    found = joined.collect()
+    assert len(found) == 60000 and {r.copies for r in found} == {5} and is_split(joined)
+
+
+def test_ranked_names_split_a_hot_product(low_thresholds, hot, goods):
+    wide = R.names_by_rank(hot.selectExpr("id", "CAST(product AS STRING) AS productId", "rank"), goods)
+    assert len(wide.collect()) == 60000 and is_split(wide)

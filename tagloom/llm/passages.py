@@ -8,9 +8,11 @@ windows of other texts with the same min-hash; where enough hash functions agree
 stretches, the two passages are verified word by word.
 
 Each hash is compared with its first holder, the keeper (smallest id), so a passage that a third
-of all texts share costs its occurrences and not their square. A passage is a maximal stretch of
-equal runs of words with small gaps, of at least ``WORDS`` words and 5-word similarity of at least
-``SIMILARITY``; the later text's copy is the duplicate.
+of all texts share costs its occurrences and not their square. A passage begins and ends with an
+equal word and is a maximal stretch of equal runs of words with small gaps, of at least ``WORDS``
+words and 5-word similarity of at least ``SIMILARITY``; the later text's copy is the duplicate.
+Stretches of at least ``SHINGLE`` equal words are chained from a seed in both directions, and each
+chain is searched for its maximal parts that are passages.
 
 Limits of the method: a passage that only resembles its duplicates is found when enough of its
 min-hashes agree (over 0.97 of cases at the least similarity). An equal passage
@@ -99,42 +101,100 @@ def _windows(batches: Iterator[pa.RecordBatch], hashes: int, least: int) -> Iter
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "place", "before", "after", "f"])
 
 
+def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, int, int]]:
+    """(start, other start, length) of equal stretches of runs from (p, q) on, each the nearest
+    that begins within ``GAP`` words of the one before in both texts."""
+    reach = GAP + SHINGLE
+    while True:
+        most, n, width = min(len(x) - p, len(y) - q), 0, 64
+        while n < most:
+            differ = np.flatnonzero(x[p + n: p + min(n + width, most)] != y[q + n: q + min(n + width, most)])
+            if len(differ):
+                n += int(differ[0])
+                break
+            n, width = min(n + width, most), 2 * width
+        if not n:
+            return
+        yield p, q, n
+        p, q = p + n, q + n
+        i, j = np.nonzero(x[p: p + reach][:, None] == y[q: q + reach][None, :])
+        if not len(i):
+            return
+        best = np.lexsort((np.abs(i - j), i + j))[0]
+        p, q = p + int(i[best]), q + int(j[best])
+
+
 def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int, similarity: float) -> list[tuple]:
     """(first, last, other first, other last, similarity) of verified passages around seeds
     (place, other place), word places from 0; ``last`` is included."""
-    stretches = set()
-    for shift in np.unique(seeds[:, 1] - seeds[:, 0]):
-        low, high = max(0, -shift), min(len(own), len(other) - shift)
-        same = own[low:high] == other[low + shift: high + shift]
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).astype(np.int8)))
-        starts, ends = edges[::2] + low, edges[1::2] + low
-        for s in seeds[seeds[:, 1] - seeds[:, 0] == shift][:, 0]:
-            i = int(np.searchsorted(starts, s, side="right")) - 1
-            # equal stretches on this diagonal that are near enough belong together
-            a = b = i
-            while a > 0 and starts[a] - ends[a - 1] <= GAP:
-                a -= 1
-            while b + 1 < len(starts) and starts[b + 1] - ends[b] <= GAP:
-                b += 1
-            stretches.add((int(starts[a]), int(ends[b]), int(starts[a] + shift), int(ends[b] + shift)))
-            stretches.add((int(starts[i]), int(ends[i]), int(starts[i] + shift), int(ends[i] + shift)))
-    joined: list[list[int]] = []
-    for s in sorted(stretches):  # words put in or left out move the diagonal
-        t = joined[-1] if joined else None
-        if t and 0 <= s[0] - t[0] and s[0] - t[1] <= GAP and s[2] >= t[2] and s[2] - t[3] <= GAP:
-            t[1], t[3] = max(t[1], s[1]), max(t[3], s[3])
-        else:
-            joined.append(list(s))
-    found = []
-    for a, b, c, d in [*map(tuple, joined), *sorted(stretches, key=lambda s: s[0] - s[1])]:
-        if min(b - a, d - c) < least or any(a >= x[0] and b - 1 <= x[1] for x in found):
+    x, y = _runs(own), _runs(other)
+    found: list[tuple] = []
+    seen: dict[int, list[tuple[int, int]]] = {}
+
+    def likeness(a: int, b: int, c: int, d: int) -> float:
+        u, v = np.unique(x[a: b - SHINGLE + 1]), np.unique(y[c: d - SHINGLE + 1])
+        shared = len(np.intersect1d(u, v, assume_unique=True))
+        return shared / (len(u) + len(v) - shared)
+
+    def known(a: int, b: int) -> bool:
+        return any(a >= f[0] and b - 1 <= f[1] for f in found)
+
+    def accept(a: int, b: int, c: int, d: int) -> bool:
+        if min(b - a, d - c) < least:
+            return False
+        value = likeness(a, b, c, d)
+        if value >= similarity and not known(a, b):
+            found.append((a, b - 1, c, d - 1, value))
+        return value >= similarity
+
+    for p, q in sorted(map(tuple, np.asarray(seeds).tolist())):
+        if p >= len(x) or q >= len(y) or x[p] != y[q] or any(s <= p < e for s, e in seen.get(q - p, ())):
+            continue
+        ahead = list(_walk(x, y, p, q))
+        behind = [(len(x) - s - n, len(y) - t - n, n) for s, t, n in _walk(x[::-1], y[::-1], len(x) - 1 - p, len(y) - 1 - q)]
+        joint = (behind[0][0], behind[0][1], behind[0][2] + ahead[0][2] - 1)
+        chain = np.array([*behind[:0:-1], joint, *ahead[1:]])
+        for s, t, n in chain.tolist():
+            seen.setdefault(t - s, []).append((s, s + n))
+        starts, ends = chain[:, :2], chain[:, :2] + chain[:, 2:] + SHINGLE - 1
+        if accept(int(starts[0, 0]), int(ends[-1, 0]), int(starts[0, 1]), int(ends[-1, 1])):
             continue
-        x, y = (np.unique(_runs(w)) for w in (own[a:b], other[c:d]))
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        likeness = shared / (len(x) + len(y) - shared)
-        if likeness >= similarity:
-            found.append((a, b - 1, c, d - 1, likeness))
-    return sorted(found)
+        # i..j reaches the similarity when shared * (1 + similarity) >= similarity * (runs of both),
+        # which is a bound on ``tail[j]``; ``best`` never rises, so the last such j is looked up
+        shared = np.cumsum(chain[:, 2])
+        tail = (1 + similarity) * shared - similarity * ends.sum(axis=1)
+        head = (1 + similarity) * (shared - chain[:, 2]) - similarity * starts.sum(axis=1) - 2 * similarity * (SHINGLE - 1)
+        best = np.maximum.accumulate(tail[::-1])[::-1]
+        reached = -1
+        for i, j in enumerate((np.searchsorted(-best, -(head - 1e-9), side="right") - 1).tolist()):
+            if j < i or j <= reached:
+                continue
+            reached = j
+            a, b, c, d = _lengthened(own, other, int(starts[i, 0]), int(ends[j, 0]), int(starts[i, 1]), int(ends[j, 1]), least)
+            k, m = i, j
+            # runs that occur twice count once: where that leaves too little, weak ends are trimmed
+            while not accept(a, b, c, d) and k < m:
+                left, right = ((*starts[k + 1], *ends[m]), (*starts[k], *ends[m - 1]))
+                drop = likeness(left[0], left[2], left[1], left[3]) >= likeness(right[0], right[2], right[1], right[3])
+                k, m = (k + 1, m) if drop else (k, m - 1)
+                a, b, c, d = int(starts[k, 0]), int(ends[m, 0]), int(starts[k, 1]), int(ends[m, 1])
+        for i in np.flatnonzero(ends[:, 0] - starts[:, 0] >= least).tolist():
+            a, b = int(starts[i, 0]), int(ends[i, 0])
+            if not known(a, b):
+                found.append((a, b - 1, int(starts[i, 1]), int(ends[i, 1]) - 1, 1.0))
+    return sorted(f for f in found if not any(g is not f and g[0] <= f[0] and f[1] <= g[1] and g[:2] != f[:2] for g in found))
+
+
+def _lengthened(own: np.ndarray, other: np.ndarray, a: int, b: int, c: int, d: int, least: int) -> tuple[int, int, int, int]:
+    """A stretch too short for a passage with the fewest words beside it that end in an equal word:
+    fewer than ``SHINGLE`` equal words at the end of a passage are no run of their own."""
+    lack = least - min(b - a, d - c)
+    if lack <= 0:
+        return a, b, c, d
+    before = [0, *(n for n in range(1, GAP + 1) if min(a, c) >= n and own[a - n] == other[c - n])]
+    after = [0, *(n for n in range(1, GAP + 1) if max(b + n - len(own), d + n - len(other)) <= 0 and own[b + n - 1] == other[d + n - 1])]
+    l, r = min(((l, r) for l in before for r in after if l + r >= lack), key=sum, default=(0, 0))
+    return a - l, b + r, c - l, d + r
 
 
 def _runs(words: np.ndarray) -> np.ndarray:

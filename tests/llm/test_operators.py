@@ -127,6 +127,40 @@ def test_passages(documents, nothing):
     assert passages.duplicates(nothing).count() == 0
 
 
+def _edited(rng, length, edit):
+    """A passage in two foreign contexts, the copy edited in the middle, and one equal word beside it."""
+    word = iter(range(10**6))
+    fresh = lambda n: [f"f{next(word)}" for _ in range(n)]
+    passage = [f"p{i}" for i in range(length)]
+    at = length // 2 + int(rng.integers(-3, 4))
+    copy = {"replaced": passage[:at] + ["new"] + passage[at + 1:], "added": passage[:at] + ["new"] + passage[at:], "left out": passage[:at] + passage[at + 1:]}[edit]
+    own, other = fresh(40) + passage + fresh(40), fresh(55) + copy + fresh(40)
+    off = int(rng.integers(2, 12))
+    own[40 - 1 - off] = other[55 - 1 - off] = "same"
+    own[40 + length + off - 1] = other[55 + len(copy) + off - 1] = "too"
+    return own, other, [(40, 40 + length - 1), (55, 55 + len(copy) - 1)]
+
+
+@pytest.mark.parametrize("edit", ["replaced", "added", "left out"])
+def test_edited_passages_in_foreign_context(edit):
+    rng = np.random.default_rng(3)
+    for length in range(60, 99, 2):
+        own, other, (mine, theirs) = _edited(rng, length, edit)
+        x, y = (np.array([hash(w) & (1 << 62) - 1 for w in t], dtype=np.uint64) for t in (own, other))
+        runs = [[tuple(t[i: i + 5]) for i in range(len(t) - 4)] for t in (own, other)]
+        seed = runs[0].index(tuple(own[mine[0] + 7: mine[0] + 12])), runs[1].index(tuple(own[mine[0] + 7: mine[0] + 12]))
+        got = passages._passages(x, y, np.array([seed]), 50, 0.8)
+        # brute force: the longest stretches of at least 50 words and similarity 0.8 that begin and end with the same run
+        u, v = set(runs[0][mine[0]: mine[1] - 3]), set(runs[1][theirs[0]: theirs[1] - 3])
+        assert len(u & v) / len(u | v) >= 0.8
+        assert [(a, b, c, d) for a, b, c, d, _ in got] == [(*mine, *theirs)], length
+        assert got[0][4] == pytest.approx(len(u & v) / len(u | v))
+    # an edit so near the end that the rest is no run of its own
+    own, other = ([f"{t}{i}" for i in range(30)] + [f"p{i}" for i in range(48)] + [t, "x", "y", "z"] + [f"{t}{i}" for i in range(30, 60)] for t in "ab")
+    x, y = (np.array([hash(w) & (1 << 62) - 1 for w in t], dtype=np.uint64) for t in (own, other))
+    assert [f[:4] for f in passages._passages(x, y, np.array([[35, 35]]), 50, 0.8)] == [(30, 79, 30, 79)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, rng.normal(size=8).tolist()) for i in range(600)] + [(600 + i, [1.0] * 8) for i in range(30)] + [(700, None), (701, [0.0] * 8), (702, [float("nan")] * 8), (703, [1.0, 2.0]), (None, [1.0] * 8)]

@@ -39,7 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier text has too are cut out; texts of which nothing is left go."""
     with scratch(spark):
-        found = stage(passages.duplicates(docs), "passages", kept=True)
+        found = stage(passages.by_row(docs), "passages", kept=True)
     left = passages.without_duplicates(docs, found)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 

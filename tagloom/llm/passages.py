@@ -20,8 +20,8 @@ is missed where the first holders of its hashes have only a part of it: 1.2 % of
 50-word windows within groups of near copies of the hot check table.
 
 Defined cases: null and short texts have no passages; repeats inside one text are left alone;
-rows with a null id take no part; rows that share an id are one text, the longest of them;
-an empty table gives an empty result.
+rows with a null id take no part; equal rows are one text; rows that share an id but not the
+text are texts of their own, ordered by a hash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ SIMILARITY = 0.8
 HASHES = 4
 AGREEING = 2
 GAP = 12  # words that a passage may differ by in one place
-ROWS = "doc_id long, first_word int, last_word int, keeper_id long, keeper_first int, keeper_last int, similarity double"
+ROWS = "doc_id long, part long, first_word int, last_word int, keeper_id long, keeper_part long, keeper_first int, keeper_last int, similarity double"
 
 
 def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
@@ -94,11 +94,11 @@ def compact_windows(words: Words, least_runs: int, hashes: int) -> Iterator[tupl
 
 def _windows(batches: Iterator[pa.RecordBatch], hashes: int, least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = np.asarray(batch.column(0))
-        for at, words in text_chunks(batch.column(1)):
+        ids, parts = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        for at, words in text_chunks(batch.column(2)):
             for f, (key, text, place, first, last) in enumerate(compact_windows(words, least, hashes)):
-                columns = [pa.array(signed(key)), pa.array(ids[at + text]), *(pa.array(c.astype(np.int32)) for c in (place, place - first, last - place)), pa.array(np.full(len(key), f, dtype=np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "place", "before", "after", "f"])
+                columns = [pa.array(signed(key)), pa.array(ids[at + text]), pa.array(parts[at + text]), *(pa.array(c.astype(np.int32)) for c in (place, place - first, last - place)), pa.array(np.full(len(key), f, dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "part", "place", "before", "after", "f"])
 
 
 def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, int, int]]:
@@ -221,30 +221,51 @@ def _verify(frames: Iterator[pd.DataFrame], agreeing: int, least: int, similarit
             seeds = _agreeing(windows, agreeing)
             if len(seeds):
                 own, other = (next(text_chunks(pa.array([t])))[1].hashes() for t in (row.text, row.keeper_text))
-                out += [(row.doc_id, a, b, row.keeper_id, c, d, s) for a, b, c, d, s in _passages(own, other, seeds, least, similarity)]
-        yield pd.DataFrame(out, columns=["doc_id", "first_word", "last_word", "keeper_id", "keeper_first", "keeper_last", "similarity"])
+                out += [(row.doc_id, row.part, a, b, row.keeper_id, row.keeper_part, c, d, s) for a, b, c, d, s in _passages(own, other, seeds, least, similarity)]
+        yield pd.DataFrame(out, columns=["doc_id", "part", "first_word", "last_word", "keeper_id", "keeper_part", "keeper_first", "keeper_last", "similarity"])
 
 
-def duplicates(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:
-    """Passages of ``documents`` (doc_id, text) that a text with a smaller id also has: (doc_id,
-    first_word, last_word, keeper_id, keeper_first, keeper_last, similarity)."""
+def _numbered(documents: DataFrame) -> DataFrame:
+    """(doc_id, part, text): rows that share an id are told apart by a hash of their text, so that
+    equal rows are one text; ``part`` is 0 where the id is the row's own."""
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    repeated = stage(texts.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("repeated")), "repeated-ids")
+    if repeated.isEmpty():
+        return texts.select("doc_id", F.lit(0).cast("long").alias("part"), "text")
+    return texts.join(repeated, "doc_id", "left").select("doc_id", F.when(F.col("repeated"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("part"), "text")
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` of texts with both texts."""
+    ends = stage(pairs.select("doc_id", "part").unionByName(pairs.select(F.col("keeper_id").alias("doc_id"), F.col("keeper_part").alias("part"))).distinct(), "ends")
+    # equal rows are one text
+    own = stage(texts.join(ends, ["doc_id", "part"], "left_semi").groupBy("doc_id", "part").agg(F.max("text").alias("text")), "texts")
+    keeper = own.select(F.col("doc_id").alias("keeper_id"), F.col("part").alias("keeper_part"), F.col("text").alias("keeper_text"))
+    return pairs.join(own, ["doc_id", "part"]).join(keeper, ["keeper_id", "keeper_part"])
+
+
+def by_row(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:
+    """``duplicates`` with the part of either text, by which ``without_duplicates`` knows the row."""
+    texts = _numbered(documents)
     least = words - SHINGLE + 1
-    schema = "key long, doc_id long, place int, before int, after int, f int"
+    schema = "key long, doc_id long, part long, place int, before int, after int, f int"
     windows = stage(texts.mapInArrow(lambda batches: _windows(batches, hashes, least), schema), "windows")
     # the keeper is the first holder; keys of one text only are dropped
-    keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("keeper"), F.max("doc_id").alias("top")).where("keeper.doc_id < top")
-                    .select("key", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.place").alias("keeper_place")), "keepers")
-    met = windows.join(keepers, "key").where("doc_id <> keeper_id")
+    keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"))
+                    .where("struct(keeper.doc_id, keeper.part) < top")
+                    .select("key", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "keepers")
+    met = windows.join(keepers, "key").where("doc_id <> keeper_id OR part <> keeper_part")
     window = F.array("f", "place", F.col("place") - F.col("before"), F.col("place") + F.col("after"), "keeper_place")
     # at most the windows of one text come together
-    pairs = met.groupBy("doc_id", "keeper_id").agg(F.flatten(F.collect_list(window)).alias("windows"), F.count_distinct("f").alias("agree")).where(F.col("agree") >= agreeing)
-    pairs = stage(pairs.select("doc_id", "keeper_id", "windows"), "pairs")
-    ends = stage(pairs.select("doc_id").unionByName(pairs.select(F.col("keeper_id").alias("doc_id"))).distinct(), "ends")
-    # rows that share an id: the longest text stands for it
-    own = stage(texts.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct(F.length("text").alias("size"), "text")).alias("best")).select("doc_id", "best.text"), "texts")
-    both = pairs.join(own, "doc_id").join(own.select(F.col("doc_id").alias("keeper_id"), F.col("text").alias("keeper_text")), "keeper_id")
-    return both.mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS)
+    pairs = met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_list(window)).alias("windows"), F.count_distinct("f").alias("agree")).where(F.col("agree") >= agreeing)
+    pairs = stage(pairs.drop("agree"), "pairs")
+    return _with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS)
+
+
+def duplicates(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:
+    """Passages of ``documents`` (doc_id, text) that an earlier text also has: (doc_id, first_word,
+    last_word, keeper_id, keeper_first, keeper_last, similarity)."""
+    return by_row(documents, words, similarity, hashes, agreeing).drop("part", "keeper_part")
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -270,8 +291,10 @@ def _cut_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def without_duplicates(documents: DataFrame, found: DataFrame) -> DataFrame:
     """``documents`` with the duplicate passages cut out of their texts; texts of which nothing is
-    left are dropped. Only changed texts pass through Python."""
-    spans = stage(found.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("first_word", "last_word"))).alias("spans")), "spans")
-    marked = documents.join(spans, "doc_id", "left")
+    left are dropped. ``found`` is of ``by_row`` where rows share an id. Only changed texts pass
+    through Python."""
+    parts = found if "part" in found.columns else found.withColumn("part", F.lit(0).cast("long"))
+    spans = stage(parts.groupBy(F.col("doc_id").alias("__id"), F.col("part").alias("__part")).agg(F.flatten(F.collect_list(F.array("first_word", "last_word"))).alias("spans")), "spans")
+    marked = documents.join(spans, (F.col("doc_id") == F.col("__id")) & ((F.col("__part") == 0) | (F.col("__part") == F.xxhash64("text"))), "left")
     changed = marked.where("spans IS NOT NULL").select(*documents.columns, "spans").mapInPandas(_cut_rows, documents.schema)
     return marked.where("spans IS NULL").select(*documents.columns).unionByName(changed.where(r"regexp_like(text, '[^\\x20\\x09-\\x0D]')"))

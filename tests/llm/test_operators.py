@@ -161,6 +161,16 @@ def test_edited_passages_in_foreign_context(edit):
     assert [f[:4] for f in passages._passages(x, y, np.array([[35, 35]]), 50, 0.8)] == [(30, 79, 30, 79)]
 
 
+def test_passages_of_rows_that_share_an_id(spark):
+    shared, long = " ".join(f"s{i}" for i in range(60)), " ".join(f"l{i}" for i in range(90))
+    rows = [(1, shared), (8, "only here " + shared), (8, long), (9, long), (9, long), (7, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.first_word, r.last_word, r.keeper_id, r.keeper_first, r.keeper_last) for r in passages.duplicates(df).collect()}
+    assert got == {(8, 2, 61, 1, 0, 59), (9, 0, 89, 8, 0, 89)}
+    left = passages.without_duplicates(df, passages.by_row(df)).collect()
+    assert sorted((r.doc_id, r.text) for r in left) == [(1, shared), (7, "a b"), (8, long), (8, "only here ")]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, rng.normal(size=8).tolist()) for i in range(600)] + [(600 + i, [1.0] * 8) for i in range(30)] + [(700, None), (701, [0.0] * 8), (702, [float("nan")] * 8), (703, [1.0, 2.0]), (None, [1.0] * 8)]

@@ -14,10 +14,15 @@ words and 5-word similarity of at least ``SIMILARITY``; the later text's copy is
 Stretches of at least ``SHINGLE`` equal words are chained from a seed in both directions, and each
 chain is searched for its maximal parts that are passages.
 
+What the first holders leave open (a key with more holders, in no passage found) is compared by
+equal runs of ``WORDS`` and of half as many words, each with its own first holder. So an equal
+passage is found whoever else holds parts of it.
+
 Limits of the method: a passage that only resembles its duplicates is found when enough of its
-min-hashes agree (over 0.97 of cases at the least similarity). An equal passage
-is missed where the first holders of its hashes have only a part of it: 1.2 % of the repeated
-50-word windows within groups of near copies of the hot check table.
+min-hashes agree (over 0.97 of cases at the least similarity) with their first holder or, where
+there are more holders, when one of its equal runs of half of ``WORDS`` has no earlier holder. Runs
+inside a passage that occur twice count once for its similarity; where that leaves too little, the
+passage is trimmed from its weaker end and a longer part may be missed.
 
 Defined cases: null and short texts have no passages; repeats inside one text are left alone;
 rows with a null id take no part; equal rows are one text; rows that share an id but not the
@@ -197,10 +202,11 @@ def _lengthened(own: np.ndarray, other: np.ndarray, a: int, b: int, c: int, d: i
     return a - l, b + r, c - l, d + r
 
 
-def _runs(words: np.ndarray) -> np.ndarray:
-    out = words[: len(words) - SHINGLE + 1].copy()
-    for j in range(1, SHINGLE):
-        out = mixed(out) + words[j: len(words) - SHINGLE + 1 + j]
+def _runs(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    count = max(0, len(words) - size + 1)
+    out = words[:count].copy()
+    for j in range(1, size):
+        out = mixed(out) + words[j: count + j]
     return out
 
 
@@ -251,15 +257,57 @@ def by_row(documents: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     schema = "key long, doc_id long, part long, place int, before int, after int, f int"
     windows = stage(texts.mapInArrow(lambda batches: _windows(batches, hashes, least), schema), "windows")
     # the keeper is the first holder; keys of one text only are dropped
-    keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"))
+    keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"), F.count(F.lit(1)).alias("holders"))
                     .where("struct(keeper.doc_id, keeper.part) < top")
-                    .select("key", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "keepers")
-    met = windows.join(keepers, "key").where("doc_id <> keeper_id OR part <> keeper_part")
+                    .select("key", "holders", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "keepers")
+    met = windows.join(keepers.drop("holders"), "key").where("doc_id <> keeper_id OR part <> keeper_part")
     window = F.array("f", "place", F.col("place") - F.col("before"), F.col("place") + F.col("after"), "keeper_place")
     # at most the windows of one text come together
     pairs = met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_list(window)).alias("windows"), F.count_distinct("f").alias("agree")).where(F.col("agree") >= agreeing)
     pairs = stage(pairs.drop("agree"), "pairs")
-    return _with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS)
+    first = stage(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS), "first-found")
+    pairs = stage(_further(texts, windows, keepers, first, words), "further-pairs")
+    return first.unionByName(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, 1, words, similarity), ROWS))
+
+
+def _further(texts: DataFrame, windows: DataFrame, keepers: DataFrame, first: DataFrame, words: int) -> DataFrame:
+    """Pairs of texts for what the first holders leave open: where a key has more holders than the
+    two that were compared, and a window with it lies in no passage found, the stretches of all its
+    holders are compared by their equal runs of ``words`` and of half as many words. A run has its
+    own first holder, who has all of it, so the cost is the number of runs whatever the holders."""
+    reach = words - SHINGLE
+    spans = stage(first.groupBy("doc_id", "part").agg(F.collect_set(F.struct("first_word", "last_word")).alias("spans")), "found-spans")
+    around = windows.join(keepers.where("holders > 2").select("key", "keeper_id", "keeper_part"), "key").select(
+        "key", "doc_id", "part", F.expr(f"place - least(before, {reach})").alias("low"), F.expr(f"place + least(after, {reach}) + {SHINGLE - 1}").alias("high"),
+        F.expr("doc_id <> keeper_id OR part <> keeper_part").alias("met"))
+    around = stage(around, "around")
+    bare = around.where("met").join(spans, ["doc_id", "part"], "left").where("NOT coalesce(exists(spans, s -> s.first_word <= low AND s.last_word >= high), false)")
+    stretches = stage(around.join(stage(bare.select("key").distinct(), "open-keys"), "key", "left_semi").groupBy("doc_id", "part").agg(F.flatten(F.collect_set(F.array("low", "high"))).alias("stretches")), "stretches")
+    open_ = texts.join(stretches, ["doc_id", "part"]).select("doc_id", "part", "text", "stretches")
+    runs = stage(open_.mapInPandas(lambda frames: _equal_runs(frames, [words, words // 2]), "run long, size int, doc_id long, part long, place int"), "equal-runs")
+    heads = runs.groupBy("run").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top")).where("struct(keeper.doc_id, keeper.part) < top")
+    heads = stage(heads.select("run", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "run-keepers")
+    met = runs.join(heads, "run").where("doc_id <> keeper_id OR part <> keeper_part").join(spans, ["doc_id", "part"], "left")
+    met = met.where("NOT coalesce(exists(spans, s -> s.first_word <= place AND s.last_word >= place + size - 1), false)")
+    window = F.array(F.lit(0), "place", "place", F.expr("place + size - 1"), "keeper_place")
+    return met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_set(window)).alias("windows"))
+
+
+def _equal_runs(frames: Iterator[pd.DataFrame], sizes: list[int]) -> Iterator[pd.DataFrame]:
+    """The runs of so many words within the stretches of a text."""
+    for frame in frames:
+        for row in frame.itertuples():
+            own = next(text_chunks(pa.array([row.text])))[1].hashes()
+            edges = np.zeros(len(own) + 1, dtype=np.int64)
+            for size in sizes:
+                edges[:] = 0
+                for low, high in np.asarray(row.stretches).reshape(-1, 2).tolist():
+                    if high - low + 1 >= size:
+                        edges[low] += 1
+                        edges[high - size + 2] -= 1
+                place = np.flatnonzero(np.cumsum(edges)[: max(0, len(own) - size + 1)])
+                run = _runs(own, size)[place]
+                yield pd.DataFrame({"run": signed(mixed(run + np.uint64(size))), "size": np.int32(size), "doc_id": row.doc_id, "part": row.part, "place": place.astype(np.int32)})
 
 
 def duplicates(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:

@@ -171,6 +171,22 @@ def test_passages_of_rows_that_share_an_id(spark):
     assert sorted((r.doc_id, r.text) for r in left) == [(1, shared), (7, "a b"), (8, long), (8, "only here ")]
 
 
+def _partly_held(rng, length):
+    """Texts 1 and 2 hold one half each of a passage that 3 and 4 hold whole."""
+    tag = int(rng.integers(1 << 40))
+    p = [f"p{tag}x{i}" for i in range(length)]
+    parts = [p[: length // 2 + 2], p[length // 2 - 2:], p, p]
+    return [" ".join([*(f"a{tag}x{n}x{i}" for i in range(30)), *part, *(f"b{tag}x{n}x{i}" for i in range(30))]) for n, part in enumerate(parts)]
+
+
+def test_passages_whose_parts_are_held_earlier(spark):
+    rng = np.random.default_rng(5)
+    lengths = [50, 55, 60, 70, 80] * 8
+    rows = [(4 * n + k, t) for n, length in enumerate(lengths) for k, t in enumerate(_partly_held(rng, length))]
+    got = {(r.doc_id, r.first_word, r.last_word, r.keeper_id, r.keeper_first, r.keeper_last) for r in passages.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(4 * n + 3, 30, 29 + length, 4 * n + 2, 30, 29 + length) for n, length in enumerate(lengths)}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, rng.normal(size=8).tolist()) for i in range(600)] + [(600 + i, [1.0] * 8) for i in range(30)] + [(700, None), (701, [0.0] * 8), (702, [float("nan")] * 8), (703, [1.0, 2.0]), (None, [1.0] * 8)]

@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One text of each group of near duplicates stays, the one with the smallest id; of rows that
     share that id, one. Texts without words and rows without an id link with nothing and stay."""
     with scratch(spark):
-        groups = jaccard.components(docs)
+        groups = jaccard.components(docs, k=5, percent=80)
         gone = stage(groups.where("component_id <> doc_id").select("doc_id").distinct(), "duplicates", kept=True)
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = stage(left.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")

@@ -142,7 +142,7 @@ def _nearest(spark, sf_dir):
 
 @query("op2_ngram_jaccard")
 def _ngram_jaccard(spark, sf_dir):
-    return jaccard.components(table(spark, sf_dir, "documents"))
+    return jaccard.components(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
 @query("op6_substring_dedup")

@@ -249,3 +249,10 @@ def test_pipeline(spark, documents, tmp_path):
         kept.append({r.doc_id for r in docs.collect()})
     assert kept[0] == {1, 2, 3, 4, 8, 9, 10, None} and kept[1] == {1, 4, 8, 9, None} and kept[2] == kept[1]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_pipeline_groups_five_word_runs_from_four_fifths(spark):
+    words = [f"w{i}" for i in range(120)]
+    docs = spark.createDataFrame([(1, " ".join(words[:100])), (2, " ".join(words)), (3, " ".join(words[:95] + [f"x{i}" for i in range(40)]))], "doc_id long, text string")
+    assert 96 / 116 >= 0.8 and 97 / 117 < 0.85
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 3]

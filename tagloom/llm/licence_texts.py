@@ -1,5 +1,10 @@
 """Texts of common licences, one-line notices, and spellings that count as equal."""
 
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
 # The published licence texts, without title and copyright line.
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
@@ -24,6 +29,17 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+
+def _published(file: Path) -> str:
+    """A text as published, without its title and copyright lines, as above."""
+    text = re.sub("copyright owner", "copyright holder", file.read_text(), flags=re.I)
+    text = re.sub(r"\A\s*[a-z ]+ license( version [0-9.]+)?\s*\n", "", text, flags=re.I)
+    return "\n".join(line for line in text.splitlines() if not re.match(r"\W*copyright\W+(c\W|\d|by\W|year\W)", line, re.I))
+
+
+# Long licences, one file each, named as the licence.
+LICENCES |= {file.stem: _published(file) for file in sorted((Path(__file__).parent / "licence_data").glob("*.txt"))}
+
 # Notices that are a line, or a text, of their own.
 NOTICES = {
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",

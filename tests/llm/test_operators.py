@@ -1,5 +1,7 @@
 """Text operators on small tables with nulls, empty and long texts, ties, repeats and no rows."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +109,14 @@ def test_licences(spark, documents, nothing):
     assert licences.scan(nothing).count() == 0
 
 
+def test_long_licences_as_published(spark):
+    files = sorted((Path(licences.__file__).parent / "licence_data").glob("*.txt"))
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {f.stem for f in files}
+    rows = [(i, f.read_text()) for i, f in enumerate(files)] + [(100, files[0].read_text()[:-200])]
+    got = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: f.stem for i, f in enumerate(files)} | {100: None}
+
+
 def test_mixing(documents, nothing):
     rows = mixing.mix(documents).collect()
     assert len(rows) == len(TEXTS) and all(r.taken <= 3 * r["size"] for r in rows)

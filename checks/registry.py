@@ -21,11 +21,11 @@ def cte(name: str, sql: str) -> None:
 
 
 def _used(sql: str) -> list[str]:
-    """Blocks a statement needs, in definition order."""
+    """Blocks a statement needs, in definition order. String literals name no blocks."""
     needed: set[str] = set()
     open_texts = [sql]
     while open_texts:
-        words = set(re.findall(r"\w+", open_texts.pop()))
+        words = set(re.findall(r"\w+", re.sub(r"'(?:[^']|'')*'", " ", open_texts.pop())))
         for name in words & CTES.keys() - needed:
             needed.add(name)
             open_texts.append(CTES[name])

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import with_blocks
 from compare import compare, database
 from conftest import SMALL
 
@@ -19,6 +20,15 @@ def test_same_rows_as_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SMALL), con, SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_every_statement_parses(con, name):
+    con.sql(f"EXPLAIN {SQL[name]}")
+
+
+def test_words_in_literals_name_no_blocks():
+    assert not with_blocks("SELECT 'e.g. fx_users''s' AS g1 FROM wide_").startswith("WITH")
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
 

@@ -29,6 +29,14 @@ def stage(df: DataFrame, name: str = "stage", kept: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Removes a staged table before its block ends, once its rows are read no more."""
+    spark = staged.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes the tables staged inside the block when it ends, but for those kept."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tagloom.llm import embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, passages, token_counts, url_filter
+from tagloom.llm import codes, embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, passages, token_counts, topk, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +150,38 @@ def _substring_dedup(spark, sf_dir):
     return passages.duplicates(table(spark, sf_dir, "documents"))
 
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _nearest_entries(to: str, book: str) -> str:
+    return f"""{to} AS (SELECT row, part, p, min(CAST(list_sum(list_transform(range(1, len(p) + 1), lambda i: (p[i] - e[i]) * (p[i] - e[i]))) AS BIGINT) * 64 + entry) AS best FROM pieces JOIN {book} USING (part) GROUP BY row, part, p)"""
+
+
+def _moved_book(to: str, near: str, book: str) -> str:
+    return f"""{to} AS (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM {book} b LEFT JOIN
+    (SELECT part, entry, list((s - ((s % c) + c) % c) // c ORDER BY i) AS e FROM (SELECT part, best % 64 AS entry, i, CAST(sum(p[i]) AS BIGINT) AS s, count(*) AS c FROM {near}, range(1, len(p) + 1) r(i) GROUP BY ALL) GROUP BY part, entry) m
+    ON m.part = b.part AND m.entry = b.entry)"""
+
+
+@query("op11_vector_codes", f"""WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {_FINITE}),
+  pieces AS (SELECT row, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS p FROM kept, range(16) r(part)),
+  book0 AS (SELECT part, row AS entry, p AS e FROM pieces WHERE row < 64),
+  {_nearest_entries("near0", "book0")}, {_moved_book("book1", "near0", "book0")}, {_nearest_entries("near1", "book1")}, {_moved_book("book2", "near1", "book1")}, {_nearest_entries("near2", "book2")},
+  coded AS (SELECT row, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM near2 GROUP BY row),
+  digest AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2)
+  SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (row), digest""")
+def _vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_exact_topk", f"""WITH kept AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE {_FINITE}),
+  scored AS (SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM kept q JOIN kept c ON q.row <> c.row WHERE q.vec_id % 20 = 0),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id ASC NULLS LAST) AS rank FROM scored)
+  SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def _exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 20 = 0"), k=20, scale=64)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tagloom.llm import codes, embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, passages, token_counts, topk, url_filter
+from tagloom.llm import codes, embedding_dedup, jaccard, language, licences, mixing, neighbours, packing, passages, phrases, token_counts, topk, url_filter
 from tagloom.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +174,24 @@ def _vector_codes(spark, sf_dir):
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def _cut_score(a: str, first: str, rest: str) -> str:
+    return f"CAST(CAST(2000000 AS HUGEINT) * {a} // ({first} + {rest}) AS BIGINT)"
+
+
+@query("op12_collocations", f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM documents),
+  counts AS (SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f FROM pieces, range(1, 5) s(size), unnest(range(1, len(w) - size + 2)) p(i) GROUP BY ALL),
+  frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 30),
+  cuts AS (SELECT lang, size, phrase, f, w, k, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest FROM frequent, range(1, 4) c(k) WHERE k < size),
+  scored AS (SELECT c.lang, c.size, c.phrase, c.f AS a, c.w, min((({_cut_score("c.f", "x.f", "y.f")}), k, x.f, y.f)) AS worst FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.first JOIN frequent y ON y.lang = c.lang AND y.phrase = c.rest GROUP BY ALL),
+  hidden AS (SELECT DISTINCT s.lang, s.phrase FROM scored s JOIN frequent x ON x.lang = s.lang AND x.size > s.size AND 100 * x.f >= 80 * s.a AND contains(' ' || x.phrase || ' ', ' ' || s.phrase || ' ')),
+  kept AS (SELECT * FROM scored s ANTI JOIN hidden h ON h.lang = s.lang AND h.phrase = s.phrase),
+  ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY worst[1] DESC, a DESC, phrase) AS rank, phrase, a, worst[3] AS l, worst[4] AS r, worst[1] AS score FROM kept),
+  totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang)
+  SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""")
+def _collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op13_exact_topk", f"""WITH kept AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE {_FINITE}),
   scored AS (SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM kept q JOIN kept c ON q.row <> c.row WHERE q.vec_id % 20 = 0),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id ASC NULLS LAST) AS rank FROM scored)

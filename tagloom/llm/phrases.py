@@ -61,7 +61,7 @@ _COUNTS = "lang string, phrase string, place long, rows long"
 
 # ---- words of texts ---------------------------------------------------------------
 
-def _stretches(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def _stretches(texts: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(bytes, text offsets, index of the first text); texts beyond the size are cut where a piece ends."""
     texts = texts.cast(pa.large_string())
     texts = texts.fill_null("") if texts.null_count else texts
@@ -73,21 +73,21 @@ def _stretches(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     at, end = int(offsets[0]), int(offsets[-1])
     while at < end:
         stop = end
-        if at + STRETCH_BYTES < end:
-            whole = int(offsets[np.searchsorted(offsets, at + STRETCH_BYTES, side="right") - 1])
-            stop = whole if whole > at else _piece_end(data, at + STRETCH_BYTES, int(offsets[np.searchsorted(offsets, at, side="right")]))
+        if at + size < end:
+            whole = int(offsets[np.searchsorted(offsets, at + size, side="right") - 1])
+            stop = whole if whole > at else _piece_end(data, at + size, int(offsets[np.searchsorted(offsets, at, side="right")]), size)
         first = int(np.searchsorted(offsets, at, side="right")) - 1
         inside = offsets[first + 1: int(np.searchsorted(offsets, stop, side="left"))]
         yield data[at:stop], np.concatenate([[at], inside, [stop]]) - at, first
         at = stop
 
 
-def _piece_end(data: np.ndarray, at: int, end: int) -> int:
+def _piece_end(data: np.ndarray, at: int, end: int, size: int) -> int:
     while at < end:
-        found = np.flatnonzero(_KIND[data[at: min(end, at + STRETCH_BYTES)]] == 2)
+        found = np.flatnonzero(_KIND[data[at: min(end, at + size)]] == 2)
         if len(found):
             return at + int(found[0])
-        at += STRETCH_BYTES
+        at += size
     return end
 
 
@@ -139,7 +139,7 @@ class Occurrences:
             return np.zeros(0, dtype=np.int64)
         return np.flatnonzero(self.piece[: len(self) - n + 1] == self.piece[n - 1:])
 
-    def counted(self, at: np.ndarray, n: int, names: pa.Array) -> pa.RecordBatch:
+    def counted(self, at: np.ndarray, n: int, names: pa.Array, table: int) -> pa.RecordBatch:
         """The different phrases of n words from the places ``at`` on, with their counts."""
         number, most = self.language[at].astype(np.int64), len(self.words)
         for k in range(n):
@@ -147,7 +147,7 @@ class Occurrences:
         places = at[first]
         parts = [self.words.take(pa.array(self.word[places + k])).cast(pa.large_string()) for k in range(n)]
         phrase = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
-        place = signed(self.hashes(n)[places]) & (PLACES - 1)
+        place = signed(self.hashes(n)[places]) & (table - 1)
         return pa.RecordBatch.from_arrays([names.take(pa.array(self.language[places])), phrase.cast(pa.string()), pa.array(place), pa.array(rows.astype(np.int64))], ["lang", "phrase", "place", "rows"])
 
 
@@ -163,18 +163,18 @@ class Bounds:
     live: np.ndarray
 
     @classmethod
-    def of(cls, counts: DataFrame, live: str = "false") -> Bounds:
-        """``counts`` (place, rows); at most ``PLACES`` rows are collected."""
+    def of(cls, counts: DataFrame, table: int, live: str = "false") -> Bounds:
+        """``counts`` (place, rows); at most ``table`` rows are collected."""
         rows = counts.groupBy("place").agg(F.max("rows").alias("most"), F.min("rows").alias("least"), F.max(F.expr(f"coalesce({live}, false)")).alias("live")).toArrow()
         places = np.asarray(rows["place"])
-        most, least, alive = np.zeros(PLACES, dtype=np.float32), np.zeros(PLACES, dtype=np.float32), np.zeros(PLACES, dtype=bool)
+        most, least, alive = np.zeros(table, dtype=np.float32), np.zeros(table, dtype=np.float32), np.zeros(table, dtype=bool)
         most[places] = np.nextafter(np.asarray(rows["most"]).astype(np.float32), np.float32(np.inf))
         least[places] = np.nextafter(np.asarray(rows["least"]).astype(np.float32), np.float32(0))
         alive[places] = np.asarray(rows["live"])
         return cls(most, least, alive)
 
     def at(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
+        place = (hashes & np.uint64(len(self.most) - 1)).astype(np.int64)
         return self.most[place].astype(np.float64), self.least[place].astype(np.float64), self.live[place]
 
 
@@ -208,31 +208,31 @@ def _worth(words: Occurrences, at: np.ndarray, n: int, bounds: list[Bounds], cut
     return at[wanted]
 
 
-def _count(batches: Iterator[pa.RecordBatch], n: int, bounds: list[Bounds], cutoffs: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], n: int, bounds: list[Bounds], cutoffs: dict[str, int], table: int, stretch: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         coded = batch.column("lang").dictionary_encode()
         names, languages = coded.dictionary, coded.indices.to_numpy()
         hashes = mixed(np.array([crc32(name.encode()) for name in names.to_pylist()], dtype=np.uint64))
         cutoff = np.array([cutoffs.get(name, 0) for name in names.to_pylist()], dtype=np.float64)
-        for data, offsets, first in _stretches(batch.column("text")):
+        for data, offsets, first in _stretches(batch.column("text"), stretch):
             words = Occurrences(data, offsets, languages[first: first + len(offsets) - 1], hashes)
             at = words.runs(n)
             if n > 1 and len(at):
                 at = _worth(words, at, n, bounds, cutoff[words.language[at]])
             if len(at):
-                yield words.counted(at, n, names)
+                yield words.counted(at, n, names, table)
 
 
 # ---- growth -----------------------------------------------------------------------
 
 class _Corpus:
-    def __init__(self, texts: DataFrame, least: int):
-        self.texts, self.least, self.spark = texts, least, texts.sparkSession
+    def __init__(self, texts: DataFrame, least: int, table: int, stretch: int):
+        self.texts, self.least, self.table, self.stretch, self.spark = texts, least, table, stretch, texts.sparkSession
 
     def counts(self, n: int, bounds: list[Bounds], cutoffs: dict[str, int], texts: DataFrame | None = None) -> DataFrame:
         """(lang, phrase, place, rows) of the runs of n words that are worth it."""
-        known = self.spark.sparkContext.broadcast(bounds)
-        found = (self.texts if texts is None else texts).mapInArrow(lambda batches: _count(batches, n, known.value, cutoffs), _COUNTS)
+        known, table, stretch = self.spark.sparkContext.broadcast(bounds), self.table, self.stretch
+        found = (self.texts if texts is None else texts).mapInArrow(lambda batches: _count(batches, n, known.value, cutoffs, table, stretch), _COUNTS)
         return found.groupBy("lang", "phrase").agg(F.max("place").alias("place"), F.sum("rows").alias("rows"))
 
     def frequent(self, *args, **more) -> DataFrame:
@@ -276,16 +276,17 @@ def _at_cutoff(scored: DataFrame, cutoffs: dict[str, int]) -> DataFrame:
     return scored.withColumn("live", F.coalesce(F.col("score") >= cutoff, F.lit(False)))
 
 
-def collocations(documents: DataFrame, top: int = TOP, least: int = LEAST) -> DataFrame:
+def collocations(documents: DataFrame, top: int = TOP, least: int = LEAST, table: int = PLACES, stretch: int = STRETCH_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language of
-    ``documents`` (text, lang) by score, a and phrase; n counts the language's words."""
+    ``documents`` (text, lang) by score, a and phrase; n counts the language's words. ``table`` places
+    (a power of two) hold the bounds; ``stretch`` bytes of text are counted at a time."""
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), "text")
-    corpus = _Corpus(texts, least)
+    corpus = _Corpus(texts, least, table, stretch)
     with scratch(corpus.spark):
         words = stage(corpus.counts(1, [], {}), "words")
         totals = stage(words.groupBy("lang").agg(F.sum("rows").alias("n")), "totals")
         frequent = words.where(F.col("rows") >= least)
-        one = Bounds.of(frequent)
+        one = Bounds.of(frequent, table)
         two_counts = corpus.frequent(2, [one], {})
         pairs = stage(_scored(two_counts, 2, frequent), "pairs")
         open_ = {r.lang for r in pairs.select("lang").distinct().collect()}  # a row per language
@@ -317,11 +318,11 @@ def _round(corpus: _Corpus, languages: set[str], cutoffs: dict[str, int], one: B
     own = F.col("lang").isin(*languages)
     texts = corpus.texts.where(own)
     two = _at_cutoff(pairs.where(own), cutoffs)
-    bounds = [one, Bounds.of(two, "live")]
+    bounds = [one, Bounds.of(two, corpus.table, "live")]
     three_counts = corpus.frequent(3, bounds, cutoffs, texts)
     shorter = words.select("lang", "phrase", "rows").unionByName(pairs.select("lang", "phrase", "rows"))
     three = stage(_at_cutoff(_scored(three_counts, 3, shorter), cutoffs), "threes")
-    four_counts = corpus.frequent(4, [*bounds, Bounds.of(three, "live")], cutoffs, texts)
+    four_counts = corpus.frequent(4, [*bounds, Bounds.of(three, corpus.table, "live")], cutoffs, texts)
     four = _at_cutoff(_scored(four_counts, 4, shorter.unionByName(three.select("lang", "phrase", "rows"))), cutoffs)
     parts = [_survivors(two.where("live"), 2, three_counts), _survivors(three.where("live"), 3, four_counts), four.where("live")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("lang", "phrase", "rows", "l", "r", "score")

@@ -76,8 +76,7 @@ def _searched(queries: pa.Table, candidates: pa.Table, width: int, most: int, ga
         chosen = np.zeros(own.shape, dtype=bool)
         for scores in lists:
             if gather is None:
-                # in floats a product of both might be rounded; whole numbers are compared
-                chosen |= scores >= -(-cutoffs[part, None] // LISTS)
+                chosen |= scores >= (cutoffs[part, None] + LISTS - 1) // LISTS
             elif gather >= len(y):
                 chosen[:] = True
             else:
@@ -117,7 +116,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, scale: int) -> DataFram
         queries = rows.where("asks").select("row", "vector")
         candidates = rows.select("row", "vec_id", "vector")
         across, down = _blocks(queries.count(), QUERY_ROWS, 1), _blocks(number, CANDIDATE_ROWS, BLOCKS)
-        gather = min(k, max(1, -(-GATHERED * k // down)))
+        gather = 1 + min(k, max(1, -(-GATHERED * k // down)))  # one more, which may be the query itself
 
         gathered = _in_blocks(queries, candidates, across, down, lambda q, c: _searched(q, c, width, most=gather * LISTS, gather=gather))
         best = gathered.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score")))).where(F.col("rank") <= k)

@@ -47,7 +47,8 @@ TOP = 2000
 WIDER = 4  # how much further down the pairs the next cutoff is taken
 UNIT = 2_000_000
 UNKNOWN = "und"
-STRETCH_BYTES = 4 << 20
+STRETCH_BYTES = 1 << 20
+BATCH_ROWS = 20_000  # that a task hands on at a time
 PLACES = 1 << 20  # of a table of bounds
 
 _KIND = np.zeros(256, dtype=np.uint8)  # 1 parts words, 2 parts pieces
@@ -220,7 +221,9 @@ def _count(batches: Iterator[pa.RecordBatch], n: int, bounds: list[Bounds], cuto
             if n > 1 and len(at):
                 at = _worth(words, at, n, bounds, cutoff[words.language[at]])
             if len(at):
-                yield words.counted(at, n, names, table)
+                found = words.counted(at, n, names, table)
+                for row in range(0, len(found), BATCH_ROWS):
+                    yield found.slice(row, BATCH_ROWS)
 
 
 # ---- growth -----------------------------------------------------------------------

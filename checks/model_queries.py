@@ -63,7 +63,8 @@ def _als_fit(s):
 
 @query("als_topn_wide")
 def _als_topn(s):
-    return R.page_view_favourites(R.fit_page_views(R.view_ratings(s.logs), s.goods), s.goods)
+    products = R.product_dimension(s.goods)
+    return R.page_view_favourites(R.fit_page_views(R.view_ratings(s.logs), products), products)
 
 
 @query("tag_favor_products")
@@ -88,9 +89,10 @@ def _roundtrip(s):
     member_scores = scores(s)
     named, factors = new_path(spark, "segments"), new_path(spark, "factors")
     segments(member_scores).save(spark, named)
-    R.fit_page_views(R.view_ratings(s.logs), s.goods).save(factors)
+    products = R.product_dimension(s.goods)
+    R.fit_page_views(R.view_ratings(s.logs), products).save(factors)
     values = V.user_value(member_scores, V.Segments.load(spark, named), ID_DIGITS)
-    names = R.page_view_favourites(R.Favourites.load(spark, factors, "productId"), s.goods)
+    names = R.page_view_favourites(R.Favourites.load(spark, factors, "productId"), products)
     return values.join(names.select("id", "productName0"), "id", "left")
 
 
@@ -124,21 +126,19 @@ def _value_coverage(s):
 @query("topn_coverage", f"""SELECT DISTINCT "userId" AS id, least({len(L.RANK_COLUMNS)}, (SELECT count(DISTINCT v."productId") FROM {VIEWS} v JOIN fx_goods g ON try_cast(g.productId as bigint) = v."productId")) AS items
     FROM {VIEWS} v JOIN fx_goods g ON try_cast(g.productId as bigint) = v."productId" """)
 def _topn_coverage(s):
-    """Every visitor whom the fitted model can rank items for, with the number of items a list holds.
-    The lists themselves are compared in the tests: scoring pairs all users with all items."""
-    return _rankable(R.fit_page_views(R.view_ratings(s.logs), s.goods), len(L.RANK_COLUMNS))
+    """Every visitor with a list of the fitted model's best items, and the number of different items on it."""
+    return _covered(R.fit_page_views(R.view_ratings(s.logs), s.goods), len(L.RANK_COLUMNS))
 
 
-def _rankable(fitted, most):
-    items = fitted.model.itemFactors.count()
-    return fitted.user_factors().select("id", F.lit(min(most, items)).cast("long").alias("items"))
+def _covered(fitted, most):
+    return R.top_items(fitted, most).groupBy("id").agg(F.countDistinct(fitted.item).alias("items"))
 
 
 @query("favourite_coverage", f"""SELECT DISTINCT cast(cid as bigint) AS id, least({L.TOP_TYPES}, (SELECT count(DISTINCT cast(productId as bigint)) FROM l9)) AS items FROM l9""")
 def _favourite_coverage(s):
-    """Every buyer whom the fitted model can rank products for, with the number of products a list holds."""
+    """Every buyer with a list of the fitted model's best products, and the number of different products on it."""
     items = R.bought_items(s.orders, s.goods, ID_DIGITS)
-    return _rankable(R.fit_als(R.order_ratings(items), "productId", L.ALS_FAVOURITES), L.TOP_TYPES)
+    return _covered(R.fit_als(R.order_ratings(items), "productId", L.ALS_FAVOURITES), L.TOP_TYPES)
 
 
 @query("roundtrip_equal", f"""SELECT count(DISTINCT id) AS customers, cast(0 as bigint) AS different FROM ({_SCORED}) WHERE id IS NOT NULL""")

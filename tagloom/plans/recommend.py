@@ -11,8 +11,9 @@ from tagloom import labels as L
 from tagloom.functions.casting import whole_id
 from tagloom.functions.ladders import decode, decode_many
 from tagloom.operators.grouping import set_join
-from tagloom.operators.joining import lookup, order_lines, product_names
-from tagloom.operators.numbering import numbered
+from tagloom.operators.inner_product import best_lists, ranked
+from tagloom.operators.joining import lookup, order_lines
+from tagloom.operators.numbering import numbered_ids
 from tagloom.operators.ranking import ranks_to_columns
 from tagloom.operators.staging import stage
 from tagloom.plans.log_tags import viewed_products
@@ -57,18 +58,35 @@ def brand_ratings(items: DataFrame) -> DataFrame:
     return _rating(items, "brand")
 
 
-def with_line_copies(ratings: DataFrame, goods: DataFrame) -> DataFrame:
-    """Ratings of products that were ever sold, with the product's number of order lines.
+def product_dimension(goods: DataFrame) -> DataFrame:
+    """One row per product that was ever sold: (productId, productName, productType, lines), from one pass
+    over the order lines. Ids have the spelling of ratings: 007 is 7. Of several names the smallest counts.
+
+    Equal lines are counted before a product's lines come together, so a hot product arrives as its
+    few different names. Staged: all favourites read this one table, and both sides of a join with it
+    have an exchange of their own, so that a hot product can be split.
+    """
+    names = [c for c in ("productName", "productType") if c in goods.columns]
+    known = goods.selectExpr(f"{whole_id('productId')} AS productId", *names).where("productId IS NOT NULL")
+    counted = known.groupBy("productId", *names).agg(F.count(F.lit(1)).alias("lines"))
+    smallest = [F.min(F.struct(name))[name].alias(name) for name in names]
+    return stage(counted.groupBy("productId").agg(*smallest, F.sum("lines").alias("lines")), "products")
+
+
+def with_line_copies(ratings: DataFrame, products: DataFrame) -> DataFrame:
+    """Ratings of products that were ever sold, with the product's number of order lines; from the
+    order lines, or from their ``product_dimension`` where there is one.
 
     This is the join of ratings and order lines kept in compact form: each joined row
     would only repeat the rating, so the rating is kept once with its number of copies.
-    A product with many viewers and many lines stays as small as its viewers. The counts are
-    staged, so that both sides of the join have an exchange of their own and a hot product
-    can be split.
+    A product with many viewers and many lines stays as small as its viewers.
     """
-    lines = (goods.selectExpr(f"{whole_id('productId')} AS productId").where("productId IS NOT NULL")
-             .groupBy("productId").agg(F.count(F.lit(1)).alias("copies")))
-    return ratings.join(stage(lines, "lines"), "productId", "inner").select("userId", "productId", "rating", "copies")
+    lines = _dimension(products).select("productId", F.col("lines").alias("copies"))
+    return ratings.join(lines, "productId", "inner").select("userId", "productId", "rating", "copies")
+
+
+def _dimension(products: DataFrame) -> DataFrame:
+    return products if "lines" in products.columns else product_dimension(products)
 
 
 def copies_as_confidence(ratings: DataFrame) -> DataFrame:
@@ -95,6 +113,10 @@ class Favourites:
         factors = self.model.userFactors.withColumnRenamed("id", "number")
         return factors.join(self.users, "number").select(F.col("userId").alias("id"), "features")
 
+    def item_factors(self) -> DataFrame:
+        factors = self.model.itemFactors.withColumnRenamed("id", "number")
+        return factors.join(self.items, "number").select(F.col(self.item).alias("item"), "features")
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         self.users.write.mode("overwrite").parquet(f"{path}/users")
@@ -107,13 +129,11 @@ class Favourites:
 
 
 def dense_numbers(ratings: DataFrame, column: str) -> DataFrame:
-    """(column, number): a dense int for every id, which is all that Spark ML's ALS takes. Numbers
-    follow the order of the ids, so they do not depend on the partitioning."""
-    ids = ratings.select(column).distinct()
-    index = stage(numbered(ids, [column]), f"{column}-numbers")
-    most = index.agg(F.max("number")).first()[0]
-    if most is not None and most > L.MOST_NUMBER:
-        raise ValueError(f"{most + 1} different values of {column}: ALS can tell {L.MOST_NUMBER + 1} apart")
+    """(column, number): a dense int for every id, which is all that Spark ML's ALS takes."""
+    index = numbered_ids(ratings.select(column))
+    different = index.count()
+    if different > L.MOST_NUMBER + 1:
+        raise ValueError(f"{different} different values of {column}: ALS can tell {L.MOST_NUMBER + 1} apart")
     return index.select(column, F.col("number").cast("int").alias("number"))
 
 
@@ -130,48 +150,49 @@ def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
     return Favourites(solver.fit(dense.select("user", "item", "rating")), item, users, items)
 
 
-def fit_page_views(ratings: DataFrame, goods: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> Favourites:
+def fit_page_views(ratings: DataFrame, products: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> Favourites:
     """The model behind the ranked product names, from view ratings."""
-    return fit_als(weigh(with_line_copies(ratings, goods)), "productId", L.ALS_PAGE_VIEWS, seed)
+    return fit_als(weigh(with_line_copies(ratings, products)), "productId", L.ALS_PAGE_VIEWS, seed)
+
+
+def top_lists(fitted: Favourites, n: int, users: DataFrame | None = None) -> DataFrame:
+    """(id, items, scores, scored) per user; with ``users`` (userId) only for those users. ``scored``
+    items of the catalogue were looked at: the others cannot be among the n best."""
+    factors = fitted.user_factors()
+    if users is not None:
+        factors = factors.join(users.select(F.col("userId").alias("id")).distinct(), "id", "left_semi")
+    return best_lists(factors, fitted.item_factors(), n)
 
 
 def top_items(fitted: Favourites, n: int, users: DataFrame | None = None) -> DataFrame:
-    """(id, rank, item) of the n best items per user; with ``users`` (userId) only for those users."""
-    if users is None:
-        lists = fitted.model.recommendForAllUsers(n)
-    else:
-        some = fitted.users.join(users.select("userId").distinct(), "userId", "left_semi")
-        lists = fitted.model.recommendForUserSubset(some.select(F.col("number").alias("user")), n)
-    ranked = lists.select("user", F.posexplode("recommendations").alias("rank", "best")).select("user", "rank", "best.item")
-    known = ranked.join(fitted.users.withColumnRenamed("number", "user"), "user").join(fitted.items.withColumnRenamed("number", "item").withColumnRenamed(fitted.item, "__key"), "item")
-    return known.select(F.col("userId").alias("id"), "rank", F.col("__key").cast("string").alias(fitted.item))
+    """(id, rank, item) of the n best items per user; equal scores go to the smaller item."""
+    best = ranked(top_lists(fitted, n, users), fitted.item)
+    return best.select("id", "rank", F.col(fitted.item).cast("string").alias(fitted.item))
 
 
 # ---- tags ------------------------------------------------------------------------
 
-def catalogue(goods: DataFrame, name: str = "productName") -> DataFrame:
-    """One row per product with an attribute, under the spelling that ratings have: 007 is 7.
-    Staged, so that a lookup of a hot product can be split."""
-    spelled = goods.withColumn("productId", F.expr(f"CAST({whole_id('productId')} AS STRING)"))
-    return stage(product_names(spelled, name), "catalogue")
+def catalogue(products: DataFrame, name: str = "productName") -> DataFrame:
+    """(productId, name) for lookups by the text that ranked items have."""
+    return _dimension(products).select(F.col("productId").cast("string").alias("productId"), name)
 
 
-def favourite_sets(top: DataFrame, goods: DataFrame, attribute: str, name: str) -> DataFrame:
+def favourite_sets(top: DataFrame, products: DataFrame, attribute: str, name: str) -> DataFrame:
     """Product attributes of the top items as one sorted list per user."""
-    named = lookup(top, "productId", catalogue(goods, attribute), "productId")
+    named = lookup(top, "productId", catalogue(products, attribute), "productId")
     return set_join(named, "id", attribute, name)
 
 
-def favourite_products(ratings: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
-    """From view ratings."""
+def favourite_products(ratings: DataFrame, products: DataFrame, seed: int = 42) -> DataFrame:
+    """From view ratings; ``products`` are order lines or their dimension."""
     model = fit_als(ratings, "productId", L.ALS_FAVOURITES, seed)
-    return favourite_sets(top_items(model, L.TOP_PRODUCTS), goods, "productName", "favorProducts")
+    return favourite_sets(top_items(model, L.TOP_PRODUCTS), products, "productName", "favorProducts")
 
 
-def favourite_types(items: DataFrame, goods: DataFrame, seed: int = 42) -> DataFrame:
+def favourite_types(items: DataFrame, products: DataFrame, seed: int = 42) -> DataFrame:
     """From bought items."""
     model = fit_als(order_ratings(items), "productId", L.ALS_FAVOURITES, seed)
-    return favourite_sets(top_items(model, L.TOP_TYPES), goods, "productType", "favorProductsType")
+    return favourite_sets(top_items(model, L.TOP_TYPES), products, "productType", "favorProductsType")
 
 
 def brand_sets(brands: DataFrame, name: str = "favorBrandName", book: dict = L.BRAND_NAME) -> DataFrame:
@@ -186,15 +207,15 @@ def favourite_brands(items: DataFrame, seed: int = 42) -> DataFrame:
     return brand_sets(top_items(model, L.TOP_BRANDS))
 
 
-def names_by_rank(top: DataFrame, goods: DataFrame, names: list[str] = L.RANK_COLUMNS) -> DataFrame:
+def names_by_rank(top: DataFrame, products: DataFrame, names: list[str] = L.RANK_COLUMNS) -> DataFrame:
     """Product names of the ranked items, one column per rank: one join for all ranks."""
     wanted = top.where(F.col("rank") < len(names))
-    named = lookup(wanted, "productId", catalogue(goods), "productId")
+    named = lookup(wanted, "productId", catalogue(products), "productId")
     return ranks_to_columns(named, "id", "rank", "productName", names)
 
 
-def page_view_favourites(model: Favourites, goods: DataFrame) -> DataFrame:
-    return names_by_rank(top_items(model, len(L.RANK_COLUMNS)), goods)
+def page_view_favourites(model: Favourites, products: DataFrame) -> DataFrame:
+    return names_by_rank(top_items(model, len(L.RANK_COLUMNS)), products)
 
 
 def favourite_frames(sources: Sources, id_digits: int | None, stage=None, seed: int = 42) -> list[DataFrame]:
@@ -203,9 +224,10 @@ def favourite_frames(sources: Sources, id_digits: int | None, stage=None, seed:
     keep = stage or (lambda df: df)
     views = keep(view_ratings(sources.logs))
     items = keep(counted_items(bought_items(sources.orders, sources.goods, id_digits)))
+    products = product_dimension(sources.goods)
     return [
-        favourite_products(views, sources.goods, seed),
-        favourite_types(items, sources.goods, seed),
+        favourite_products(views, products, seed),
+        favourite_types(items, products, seed),
         favourite_brands(items, seed),
-        page_view_favourites(fit_page_views(views, sources.goods, seed), sources.goods),
+        page_view_favourites(fit_page_views(views, products, seed), products),
     ]

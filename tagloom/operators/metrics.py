@@ -36,6 +36,12 @@ class Metric:
     def merge(self, partial: str) -> str:
         return f"{self.how if self.how in ('min', 'max') else 'sum'}({partial})"
 
+    def combine(self, one: str, other: str) -> str:
+        """Two partial results of one row; a missing one counts as none."""
+        if self.how in ("min", "max"):
+            return f"{'least' if self.how == 'min' else 'greatest'}({one}, {other})"
+        return f"coalesce({one} + {other}, {one}, {other})"
+
 
 @dataclass(frozen=True)
 class ModeOf:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom import labels as L
 from tagloom.functions.casting import text
-from tagloom.operators.joining import order_lines, orders_with_id
+from tagloom.operators.joining import orders_with_id
 from tagloom.plans.line_tags import line_tags
 from tagloom.plans.log_tags import log_tags, logs_with_id, view_goods
 from tagloom.plans.order_tags import order_tags
@@ -61,7 +61,7 @@ def source_frames(sources: Sources, settings: ProfileSettings, stage=None) -> li
     """One frame per source, each with all its tags from one scan and one aggregation."""
     users = sources.users.where(F.col("id").isNotNull()).repartition("id")
     orders = orders_with_id(sources.orders, settings.id_digits)
-    lines = order_lines(sources.orders, sources.goods, settings.id_digits)
+    lines = sources.order_lines(settings.id_digits)
     logs = logs_with_id(sources.logs)
     return [
         project_tags(users, user_tags(settings.as_of).values()),
@@ -148,15 +148,16 @@ class ProfileStore:
     def versions(self) -> list[int]:
         return list(self._listed("_SUCCESS"))
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The newest version, or the one asked for."""
+    def read(self, version: int | None = None, bucketed: bool = True) -> DataFrame | None:
+        """The newest version, or the one asked for. Frames that are to be united must not be
+        ``bucketed``: Spark 4.1 takes a union of buckets as bucketed, then reads them without."""
         folders = self._listed("_SUCCESS")
         version = max(folders, default=None) if version is None else version
         if version is None:
             return None
         path, marker = folders[version][0], self._listed("_buckets-*").get(version)
         stored = self.spark.read.parquet(path)
-        if marker is None:
+        if marker is None or not bucketed:
             return stored
         _, buckets, run = marker[1].split("-")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)

@@ -39,8 +39,12 @@ def view_ratings(logs: DataFrame) -> DataFrame:
 def bought_items(orders: DataFrame, goods: DataFrame, id_digits: int | None,
                  groups: dict = L.BRAND_GROUP) -> DataFrame:
     """(id, productId, brand group) of every order line."""
+    return items_of_lines(order_lines(orders, goods, id_digits), groups)
+
+
+def items_of_lines(lines: DataFrame, groups: dict = L.BRAND_GROUP) -> DataFrame:
     brand = decode_many("brandId", groups, L.BRAND_GROUP_DEFAULT)
-    return order_lines(orders, goods, id_digits).selectExpr("id", "productId", f"{brand} AS brand")
+    return lines.selectExpr("id", "productId", f"{brand} AS brand")
 
 
 def counted_items(items: DataFrame) -> DataFrame:
@@ -223,7 +227,7 @@ def favourite_frames(sources: Sources, id_digits: int | None, stage=None, seed:
     order-line join are read once."""
     keep = stage or (lambda df: df)
     views = keep(view_ratings(sources.logs))
-    items = keep(counted_items(bought_items(sources.orders, sources.goods, id_digits)))
+    items = keep(counted_items(items_of_lines(sources.order_lines(id_digits))))
     products = product_dimension(sources.goods)
     return [
         favourite_products(views, products, seed),

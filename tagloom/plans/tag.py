@@ -61,9 +61,27 @@ def project_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id") -> DataF
     return valued.selectExpr(key, *[c for t in tags for c in t.outputs()])
 
 
+def metric_rows(rows: DataFrame, tags: Iterable[Tag]) -> DataFrame:
+    """Source rows with the values that the tags' metrics take."""
+    return _derived(rows, _merged(t.inputs for t in tags))
+
+
+def metrics_of(tags: Iterable[Tag]) -> dict[str, Metric | ModeOf | SetOf]:
+    return _merged(t.metrics for t in tags)
+
+
 def _per_key(rows: DataFrame, tags: list[Tag], key: str) -> DataFrame:
-    derived = _derived(rows, _merged(t.inputs for t in tags))
-    return aggregate(derived, key, _merged(t.metrics for t in tags))
+    return aggregate(metric_rows(rows, tags), key, metrics_of(tags))
+
+
+def labelled(per_key: DataFrame, tags: Iterable[Tag], key: str = "id",
+             stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The tags of metrics that were aggregated per key before. ``stage`` may store these first."""
+    tags = list(tags)
+    totals = _merged(t.totals for t in tags)
+    if totals:
+        per_key = with_totals(stage(per_key) if stage else per_key, totals)
+    return project_tags(per_key, tags, key)
 
 
 def aggregate_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id",
@@ -75,11 +93,7 @@ def aggregate_tags(rows: DataFrame, tags: Iterable[Tag], key: str = "id",
     totals do not read the source twice.
     """
     tags = list(tags)
-    per_key = _per_key(rows, tags, key)
-    totals = _merged(t.totals for t in tags)
-    if totals:
-        per_key = with_totals(stage(per_key) if stage else per_key, totals)
-    return project_tags(per_key, tags, key)
+    return labelled(_per_key(rows, tags, key), tags, key, stage)
 
 
 def single_tag(rows: DataFrame, tag: Tag, key: str = "id") -> DataFrame:

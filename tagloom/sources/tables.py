@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.operators import joining
 from tagloom.sources.catalog import GOODS, LOGS, ORDERS, USERS, scan
 
 
@@ -20,6 +21,10 @@ class Sources:
     def read(spark: SparkSession, root: str) -> "Sources":
         return Sources(*[scan(spark, s, f"{root}/{s.table}") for s in (USERS, ORDERS, GOODS, LOGS)])
 
+    def order_lines(self, id_digits: int | None) -> DataFrame:
+        """Orders joined with their lines, keyed by customer id."""
+        return joining.order_lines(self.orders, self.goods, id_digits)
+
     def register_views(self, profile: DataFrame | None = None) -> None:
         """Names every source, and the profile, for SQL."""
         self.users.createOrReplaceTempView("tbl_users")

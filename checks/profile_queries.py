@@ -14,6 +14,7 @@ from tagloom.plans.tag import project_tags
 from tagloom.plans.user_tags import constellation, gender, job, user_tags
 from tagloom.sources.catalog import TableSpec, clone_table, scan
 from tagloom.session import new_path
+from tagloom.sources.sql_functions import register_functions
 
 cte("wide", f"""SELECT * FROM (SELECT id, {', '.join(USER_SQL.values())} FROM fx_users)
     FULL JOIN (SELECT t.*, pay9.paymentCode AS "paymentCode" FROM
@@ -125,3 +126,23 @@ def _sql_over_views(s):
         select p.gender, p.job, count(*) as people, count(distinct o.orderSn) as orders
         from customer_profile p left join tbl_orders o on try_cast(right(o.memberId, 9) as bigint) = p.id
         group by p.gender, p.job""")
+
+
+cte("seen_products", """SELECT uid, try_cast(regexp_extract(loc_url, '/product/(.*?)\\.html', 1) AS bigint) AS product, log_time FROM g
+    WHERE regexp_matches(loc_url, '/product/.*\\.html')""")
+cte("seen_lists", """SELECT uid, string_agg(DISTINCT cast(product AS varchar), ',' ORDER BY cast(product AS varchar)) AS list, count(*) AS views,
+    max(cast(floor(epoch(log_time)) AS bigint)) AS last FROM seen_products GROUP BY uid""")
+
+
+@query("sql_functions", """SELECT uid AS id, item, views, trunc(views * 1000.0::double / (SELECT count(*) FROM seen_products)) / 1000.0::double AS share, last
+    FROM (SELECT uid, unnest(string_split(list, ',')) AS item, views, last FROM seen_lists)""")
+def _sql_functions(s):
+    """A program in plain SQL: products out of page addresses, shares, epochs, exploded lists."""
+    s.register_views()
+    register_functions(s.users.sparkSession)
+    return s.users.sparkSession.sql("""
+        WITH seen AS (SELECT member_id(global_user_id) AS id, product_id(loc_url) AS product, epoch_of(CAST(log_time AS STRING)) AS at FROM tbl_logs
+          WHERE product_id(loc_url) IS NOT NULL AND member_id(global_user_id) IS NOT NULL),
+        lists AS (SELECT id, array_join(array_sort(collect_set(product)), ',') AS list, count(*) AS views, max(at) AS last FROM seen GROUP BY id),
+        shares AS (SELECT *, (SELECT count(*) FROM seen) AS total FROM lists)
+        SELECT s.id, i.item, s.views, share_3_decimals(s.views, s.total) AS share, s.last FROM shares s, LATERAL list_items(s.list) i""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import product
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,6 +59,55 @@ def fit_segments(scores: DataFrame, settings: dict = L.RFM_KMEANS) -> KMeansMode
     return solver.fit(points)
 
 
+def least_cost(costs: np.ndarray) -> list[int]:
+    """The column of each row in the assignment of rows to columns with the least total cost.
+
+    Rows enter one by one, each along the cheapest chain of re-assignments; prices on rows and columns keep
+    what is left of every cost at least 0. Clusters are few: the table is k by k.
+    """
+    k = len(costs)
+    row_price, column_price, owner = np.zeros(k), np.zeros(k), np.full(k, -1)
+    for entering in range(k):
+        reach, came, tight = np.full(k, np.inf), np.full(k, -1), np.zeros(k, dtype=bool)
+        row, column, spent = entering, -1, 0.0
+        while True:
+            left = spent + costs[row] - row_price[row] - column_price
+            nearer = ~tight & (left < reach)
+            reach[nearer], came[nearer] = left[nearer], column
+            column = int(np.where(tight, np.inf, reach).argmin())
+            spent = float(reach[column])
+            if owner[column] < 0:
+                break
+            tight[column], row = True, owner[column]
+        row_price[entering] += spent
+        for held in np.flatnonzero(tight):
+            row_price[owner[held]] += spent - reach[held]
+            column_price[held] -= spent - reach[held]
+        while column >= 0:  # back along the chain
+            before = came[column]
+            owner[column] = entering if before < 0 else owner[before]
+            column = before
+    columns = [0] * k
+    for column, row in enumerate(owner):
+        columns[row] = column
+    return columns
+
+
+def names_after_refit(book: dict[str, str], before: list[list[float]], after: list[list[float]], limit: float) -> dict[str, str]:
+    """The book for new centres: each gets the name of the old centre it is matched with, so that the distances of
+    all pairs together are least. Refused when a matched centre moved further than ``limit``: then the
+    name would no longer say what it said."""
+    if len(before) != len(after):
+        raise ValueError(f"{len(before)} clusters were named, the refit has {len(after)}")
+    old, new = np.array(before, dtype=float), np.array(after, dtype=float)
+    distances = np.sqrt(((new[:, None, :] - old[None, :, :]) ** 2).sum(-1))
+    matched = least_cost(distances)
+    far = {i: round(float(distances[i, j]), 3) for i, j in enumerate(matched) if distances[i, j] > limit}
+    if far:
+        raise ValueError(f"centres further than {limit} from every free old one, name the clusters anew: {far}")
+    return {str(i): book[str(j)] for i, j in enumerate(matched)}
+
+
 @dataclass(frozen=True)
 class Segments:
     """A fitted model with the book that names its clusters. Cluster numbers mean nothing
@@ -71,6 +121,11 @@ class Segments:
         if set(self.book) != clusters:
             raise ValueError(f"the book names {sorted(self.book)}, the model has {sorted(clusters)}")
 
+    def refitted(self, model: KMeansModel, limit: float) -> Segments:
+        """The names of this fit for the clusters of another one, whatever their numbers."""
+        before, after = ([centre for _, *centre in segment_centers(m)] for m in (self.model, model))
+        return Segments(model, names_after_refit(self.book, before, after, limit))
+
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [(str(i), self.book[str(i)], centre) for i, *centre in segment_centers(self.model)]
         self.model.write().overwrite().save(f"{path}/model")

@@ -1,5 +1,8 @@
 """Fitted models: repeatable, whole, without null ids."""
 
+from itertools import permutations
+
+import numpy as np
 import pytest
 
 from checks.model_queries import scores, segments
@@ -124,3 +127,29 @@ def test_segments_go_with_their_book(spark, member_scores, tmp_path):
 def test_every_rankable_user_gets_a_whole_list(brand_model):
     top = R.top_items(brand_model, 4).groupBy("id").count()
     assert rows(top) == rows(brand_model.user_factors().selectExpr("id", "4L"))
+
+
+def test_least_cost_against_all_permutations():
+    draw = np.random.default_rng(4)
+    for k in range(1, 8):
+        for costs in (draw.random((k, k)), draw.integers(0, 4, (k, k)).astype(float), np.zeros((k, k))):
+            columns = V.least_cost(costs)
+            assert sorted(columns) == list(range(k))
+            best = min(sum(costs[i, j] for i, j in enumerate(p)) for p in permutations(range(k)))
+            assert sum(costs[i, j] for i, j in enumerate(columns)) == pytest.approx(best)
+
+
+def test_names_survive_a_refit(spark, member_scores):
+    fitted = segments(member_scores)
+    centres = [c for _, *c in V.segment_centers(fitted.model)]
+    book = {str(i): f"name {i}" for i in range(len(centres))}
+    order = [3, 0, 6, 1, 5, 2, 4]
+    moved = [[x + .01 * (i + 1) for x in centres[i]] for i in order]
+    assert V.names_after_refit(book, centres, moved, 0.5) == {str(n): f"name {i}" for n, i in enumerate(order)}
+    with pytest.raises(ValueError, match="further than"):
+        V.names_after_refit(book, centres, [[x + 9 for x in moved[0]], *moved[1:]], 0.5)
+    with pytest.raises(ValueError, match="the refit has"):
+        V.names_after_refit(book, centres, moved[:-1], 0.5)
+    again = fitted.refitted(V.fit_segments(member_scores.repartition(3)), 1e-9)
+    assert again.book == fitted.book
+    assert rows(V.user_value(member_scores, again, ID_DIGITS)) == rows(V.user_value(member_scores, fitted, ID_DIGITS))

@@ -25,7 +25,12 @@ def from_cells(cells: DataFrame, columns: Sequence[str], key: str = "id", versio
     return cells.where(F.col("column").isin(*columns)).groupBy(key).agg(*newest)
 
 
+def sorted_cells(cells: DataFrame, key: str = "id") -> DataFrame:
+    """Cells dealt by ranges of keys and sorted, as they are best stored."""
+    return cells.repartitionByRange(key, "column").sortWithinPartitions(key, "column")
+
+
 def write_cells(cells: DataFrame, path: str, key: str = "id") -> None:
-    """Cells as a sorted, range-partitioned table; a rerun replaces the directory."""
-    (cells.repartitionByRange(key, "column").sortWithinPartitions(key, "column")
-     .write.mode("overwrite").parquet(path))
+    """A rerun replaces the directory. Where others may read meanwhile, publish versions instead:
+    ``Versions(spark, root).put_table(sorted_cells(cells))``."""
+    sorted_cells(cells, key).write.mode("overwrite").parquet(path)

@@ -41,10 +41,11 @@ def set_join(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.select(key, value).distinct().groupBy(key).agg(F.expr(join_distinct(value)).alias(name))
 
 
-def with_totals(per_key: DataFrame, totals: dict[str, str]) -> DataFrame:
-    """Adds a struct ``totals`` of one-row aggregates over ``per_key`` itself.
+def with_totals(per_key: DataFrame, totals: dict[str, str], over: DataFrame | None = None) -> DataFrame:
+    """Adds a struct ``totals`` of one-row aggregates over ``per_key`` itself, or over the same rows
+    before they were dealt anew.
 
     A scalar subquery: no driver round trip and no join.
     """
-    one_row = per_key.agg(*[F.expr(sql).alias(n) for n, sql in totals.items()])
+    one_row = (per_key if over is None else over).agg(*[F.expr(sql).alias(n) for n, sql in totals.items()])
     return per_key.withColumn("totals", one_row.select(F.struct(*totals).alias("t")).scalar())

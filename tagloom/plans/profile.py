@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tagloom import labels as L
 from tagloom.functions.casting import text
 from tagloom.operators.joining import orders_with_id
+from tagloom.operators.staging import stage
 from tagloom.plans.line_tags import line_tags
 from tagloom.plans.log_tags import log_tags, logs_with_id, view_goods
 from tagloom.plans.order_tags import order_tags
 from tagloom.plans.tag import aggregate_tags, project_tags
 from tagloom.plans.user_tags import user_tags
-from tagloom.session import configured_dir, use_checkpoints
+from tagloom.session import configured_dir
 from tagloom.sources.tables import Sources
 
 
@@ -34,10 +35,7 @@ class ProfileSettings:
 
 def checkpointed(spark: SparkSession) -> Callable[[DataFrame], DataFrame] | None:
     """Stages a frame in the cluster's shared folder; None when the session names none."""
-    if configured_dir(spark) is None:
-        return None
-    use_checkpoints(spark)
-    return lambda df: df.checkpoint()
+    return None if configured_dir(spark) is None else lambda df: stage(df, "profile")
 
 
 def assemble(frames: Sequence[DataFrame], key: str = "id") -> DataFrame:
@@ -67,9 +65,7 @@ def source_frames(sources: Sources, settings: ProfileSettings, stage=None) -> li
         project_tags(users, user_tags(settings.as_of).values()),
         aggregate_tags(orders, order_tags(settings.ladders).values()),
         aggregate_tags(lines, line_tags().values()),
-        aggregate_tags(logs, log_tags(settings.population).values(), stage=stage and (
-            # stored partitions may be coalesced ones: align them with the other frames again
-            lambda per_id: stage(per_id).repartition("id"))),
+        aggregate_tags(logs, log_tags(settings.population).values(), stage=stage),
         view_goods(sources.logs, sources.goods),
     ]
 

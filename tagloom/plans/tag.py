@@ -76,11 +76,15 @@ def _per_key(rows: DataFrame, tags: list[Tag], key: str) -> DataFrame:
 
 def labelled(per_key: DataFrame, tags: Iterable[Tag], key: str = "id",
              stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The tags of metrics that were aggregated per key before. ``stage`` may store these first."""
+    """The tags of metrics that were aggregated per key before. ``stage`` may store these first; stored
+    partitions may be other ones, so the rows (not what the totals read) are dealt by key again."""
     tags = list(tags)
     totals = _merged(t.totals for t in tags)
-    if totals:
-        per_key = with_totals(stage(per_key) if stage else per_key, totals)
+    if totals and stage:
+        stored = stage(per_key)
+        per_key = with_totals(stored.repartition(key), totals, over=stored)
+    elif totals:
+        per_key = with_totals(per_key, totals)
     return project_tags(per_key, tags, key)
 
 

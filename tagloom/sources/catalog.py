@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, DoubleType, IntegerType, LongType, StringType
 
+from tagloom.sources.versions import Versions
+
 _TYPES: dict[str, DataType] = {
     "long": LongType(), "bigint": LongType(), "int": IntegerType(), "double": DoubleType(),
     "string": StringType(),
@@ -79,6 +81,11 @@ def clone_table(spark: SparkSession, source: str, target: str, read: TableSpec,
     write.store(scan(spark, read, source)).write.mode("overwrite").parquet(target)
 
 
+def clone_version(spark: SparkSession, source: str, target: Versions, read: TableSpec, write: TableSpec) -> int:
+    """The same as a new version of the target, whose readers keep the one they opened."""
+    return target.put_table(write.store(scan(spark, read, source)))
+
+
 # ---- fixed values: source tables -----------------------------------------------
 
 USERS = TableSpec.of("tbl_users", "id", "username", "gender", "job", "marriage", "nationality",

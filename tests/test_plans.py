@@ -9,6 +9,8 @@ from checks.settings import ID_DIGITS, PROFILE
 from conftest import SMALL
 from tagloom.operators.joining import orders_with_id
 from tagloom.plans import profile as P
+from tagloom.operators.staging import stage
+from tagloom.plans.log_tags import log_tags, logs_with_id
 from tagloom.plans.order_tags import order_tags
 from tagloom.plans.tag import aggregate_tags
 
@@ -41,6 +43,13 @@ def test_parts_of_the_profile_meet_without_a_shuffle(spark, sources):
     assert "Exchange" not in text.split("Union")[0]
 
 
+def test_totals_read_the_stored_metrics_without_a_shuffle(spark, sources):
+    """Only the rows that join the profile are dealt by id again, not what the averages read."""
+    df = aggregate_tags(logs_with_id(sources.logs), log_tags().values(), stage=lambda per_id: stage(per_id, "metrics"))
+    text = plan(df)
+    assert text.count("REPARTITION_BY_COL") == 1 and "hashpartitioning" not in text.split("Subquery")[1].split("REPARTITION_BY_COL")[0]
+
+
 def test_totals_reuse_the_aggregation(spark):
     df = QUERIES["tag_login_frequency"](spark, SMALL)
     df.collect()

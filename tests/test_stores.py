@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.settings import ID_DIGITS, PROFILE
+from tagloom.operators.cells import sorted_cells, to_cells
 from tagloom.operators.metrics import Metric
 from tagloom.plans import partial_state as S
 from tagloom.plans import profile as P
@@ -15,6 +16,7 @@ from tagloom.plans.log_tags import log_tags, logs_with_id
 from tagloom.plans.profile_groups import ProfileGroups
 from tagloom.plans.recommend import view_ratings
 from tagloom.plans.tag import aggregate_tags
+from tagloom.sources.catalog import TableSpec, clone_version
 from tagloom.sources.order_store import OrderStore
 from tagloom.sources.versions import Versions
 
@@ -164,6 +166,20 @@ def test_modes_of_counts(spark, folder):
 
 # ---- versions -----------------------------------------------------------------------------
 
+def test_cells_and_clones_as_versions(spark, sources, folder):
+    cells = to_cells(sources.users.limit(20))
+    out = Versions(spark, f"{folder}/cells")
+    out.put_table(sorted_cells(cells))
+    held = out.read_table()
+    out.put_table(sorted_cells(cells.where("column = 'job'")))
+    assert rows(held) == rows(cells) and rows(out.read_table()) == rows(cells.where("column = 'job'"))
+    spec = TableSpec.of("t", "id", "job")
+    spark.range(9).selectExpr("id", "'x' AS job").write.parquet(f"{folder}/source")
+    copies = Versions(spark, f"{folder}/copy")
+    assert [clone_version(spark, f"{folder}/source", copies, spec, spec) for _ in range(2)] == [1, 2]
+    assert copies.read_table(1).count() == copies.read_table().count() == 9
+
+
 def test_a_read_keeps_its_version_while_the_output_is_replaced(spark, folder):
     out = Versions(spark, folder)
     with pytest.raises(FileNotFoundError):

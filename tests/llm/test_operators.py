@@ -225,6 +225,30 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_no_embedding_link_is_missed_between_far_cells(spark, monkeypatch):
+    """Vectors spread evenly between orthogonal directions, so that many links cross cells; components."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 30)
+    rng = np.random.default_rng(5)
+    angle = np.linspace(0, np.pi / 2, 100)
+    arcs = [np.stack([np.cos(angle), np.sin(angle)], axis=1) @ np.eye(6)[[a, b]] for a, b in ((0, 1), (2, 3), (1, 4))]
+    x = np.concatenate(arcs) * rng.choice([1.0, 1e-3, 50.0], size=(300, 1))
+    rows = [(int(i), v.tolist()) for i, v in enumerate(x)]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.9
+    assert [got[i].n_links for i in range(300)] == (linked.sum(1) - 1).tolist()
+    low = np.arange(300)
+    for _ in range(300):
+        low = np.array([low[linked[i]].min() for i in range(300)])
+    assert [got[i].component_id for i in range(300)] == low.tolist()
+
+
+def test_tiny_and_huge_embeddings_link_by_direction(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [3e-200, 1e-201]), (3, [0.0, 1e-200]), (4, [1e180, 0.0]), (5, [0.0, -1e300]), (6, [5e-324, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 4: (3, 1), 6: (3, 1), 3: (0, 3), 5: (0, 5)}
+
+
 def test_packing(spark, documents, nothing):
     df = packing.pack(documents, capacities=(16, 64, 128)).toPandas()
     full = df[df["length"] > 0]

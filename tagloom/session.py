@@ -33,10 +33,19 @@ def configured_dir(spark: SparkSession) -> str | None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a session that names none works below its warehouse,
-    which is on the file system that all executors reach."""
+    """The cluster's shared folder. A session that names none works below its warehouse, which all
+    executors must reach: on a cluster, a warehouse on the driver's own disk is an error."""
     named = configured_dir(spark) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if reaches_one_machine_only(spark.sparkContext.master, warehouse):
+        raise ValueError(f"{warehouse} is on one machine: name a shared folder in spark.checkpoint.dir")
+    return f"{warehouse}/work"
+
+
+def reaches_one_machine_only(master: str, path: str) -> bool:
+    return not master.startswith("local") and path.startswith(("file:", "/"))
 
 
 def new_path(spark: SparkSession, name: str) -> str:

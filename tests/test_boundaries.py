@@ -279,3 +279,9 @@ def test_scratch_removes_what_is_not_kept(spark):
     assert outer.count() == 5
     with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST"):
         spark.read.parquet(inner.inputFiles()[0] if inner.inputFiles() else "gone").count()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tagloom.session import reaches_one_machine_only
+    assert reaches_one_machine_only("yarn", "file:/home/me/spark-warehouse") and reaches_one_machine_only("spark://h:7077", "/tmp/warehouse")
+    assert not reaches_one_machine_only("yarn", "hdfs://n/warehouse") and not reaches_one_machine_only("local[8]", "file:/x")

@@ -65,7 +65,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Learned models and verified near duplicates have no SQL; tests hold every stage against brute force.
+#: Learned models and verified near duplicates have no SQL. Tests hold the stages against what is planted in a small fixture; source_mix and packing only for having rows.
 ORACLE_SQL = None
 
 

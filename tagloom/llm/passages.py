@@ -31,6 +31,7 @@ text are texts of their own, ordered by a hash; an empty table gives an empty re
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,10 @@ WORDS = 50
 SIMILARITY = 0.8
 HASHES = 4
 AGREEING = 2
+KEPT_WORDS = 1 << 21  # words of texts whose hashes a task keeps
+RUN_ROWS = 200_000  # long runs that a task hands on at a time, about
+_GROW = np.uint64(0x9E3779B97F4A7C15)
+_SHRINK = np.uint64(pow(int(_GROW), -1, 1 << 64))
 GAP = 12  # words that a passage may differ by in one place
 ROWS = "doc_id long, part long, first_word int, last_word int, keeper_id long, keeper_part long, keeper_first int, keeper_last int, similarity double"
 
@@ -129,10 +134,10 @@ def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, i
         p, q = p + int(i[best]), q + int(j[best])
 
 
-def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int, similarity: float) -> list[tuple]:
+def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int, similarity: float, runs: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple]:
     """(first, last, other first, other last, similarity) of verified passages around seeds
-    (place, other place), word places from 0; ``last`` is included."""
-    x, y = _runs(own), _runs(other)
+    (place, other place), word places from 0; ``last`` is included. ``runs`` of both texts may be known."""
+    x, y = runs or (_runs(own), _runs(other))
     found: list[tuple] = []
     seen: dict[int, list[tuple[int, int]]] = {}
 
@@ -210,24 +215,44 @@ def _runs(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def _agreeing(windows: pd.DataFrame, least: int) -> np.ndarray:
-    """Seeds of stretches on which enough hash functions agree."""
-    rows = windows.sort_values("first", ignore_index=True)
-    end = rows["last"].cummax().shift(fill_value=-1)
-    part = (rows["first"] > end).cumsum()
-    enough = rows.groupby(part)["f"].transform("nunique") >= least
-    return rows.loc[enough, ["place", "keeper_place"]].drop_duplicates().to_numpy()
+def _agreeing(windows: np.ndarray, least: int) -> np.ndarray:
+    """Seeds (place, keeper place) of stretches on which enough hash functions agree; ``windows`` are rows
+    (f, place, first, last, keeper place)."""
+    rows = windows[np.argsort(windows[:, 2], kind="stable")]
+    begins = np.flatnonzero(rows[:, 2] > np.r_[-1, np.maximum.accumulate(rows[:, 3])[:-1]])
+    functions = np.bitwise_count(np.bitwise_or.reduceat(np.int64(1) << rows[:, 0].astype(np.int64), begins))
+    enough = np.repeat(functions >= least, np.diff(np.r_[begins, len(rows)]))
+    return np.unique(rows[enough][:, [1, 4]], axis=0)
+
+
+class _Hashed:
+    """Word hashes and runs of the texts met last, so that a text of many pairs is read once."""
+
+    def __init__(self, most_words: int = KEPT_WORDS):
+        self.most, self.words, self.known = most_words, 0, OrderedDict()
+
+    def of(self, key: tuple, text: str) -> tuple[np.ndarray, np.ndarray]:
+        if key in self.known:
+            self.known.move_to_end(key)
+            return self.known[key]
+        hashes = next(text_chunks(pa.array([text])))[1].hashes()
+        self.known[key] = hashes, _runs(hashes)
+        self.words += len(hashes)
+        while self.words > self.most and len(self.known) > 2:
+            _, (oldest, _) = self.known.popitem(last=False)
+            self.words -= len(oldest)
+        return self.known[key]
 
 
 def _verify(frames: Iterator[pd.DataFrame], agreeing: int, least: int, similarity: float) -> Iterator[pd.DataFrame]:
+    hashed = _Hashed()
     for frame in frames:
         out = []
         for row in frame.itertuples():
-            windows = pd.DataFrame(np.asarray(row.windows).reshape(-1, 5), columns=["f", "place", "first", "last", "keeper_place"])
-            seeds = _agreeing(windows, agreeing)
+            seeds = _agreeing(np.asarray(row.windows).reshape(-1, 5), agreeing)
             if len(seeds):
-                own, other = (next(text_chunks(pa.array([t])))[1].hashes() for t in (row.text, row.keeper_text))
-                out += [(row.doc_id, row.part, a, b, row.keeper_id, row.keeper_part, c, d, s) for a, b, c, d, s in _passages(own, other, seeds, least, similarity)]
+                (own, x), (other, y) = hashed.of((row.doc_id, row.part), row.text), hashed.of((row.keeper_id, row.keeper_part), row.keeper_text)
+                out += [(row.doc_id, row.part, a, b, row.keeper_id, row.keeper_part, c, d, s) for a, b, c, d, s in _passages(own, other, seeds, least, similarity, (x, y))]
         yield pd.DataFrame(out, columns=["doc_id", "part", "first_word", "last_word", "keeper_id", "keeper_part", "keeper_first", "keeper_last", "similarity"])
 
 
@@ -293,21 +318,40 @@ def _further(texts: DataFrame, windows: DataFrame, keepers: DataFrame, first: Da
     return met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_set(window)).alias("windows"))
 
 
+def _long_runs(words: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """One hash per run of each size, all from the same sums: a polynomial in the run's word hashes."""
+    down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(words), _SHRINK)])
+    up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(words), _GROW)])
+    sums = np.r_[np.uint64(0), np.cumsum(words * down[:-1], dtype=np.uint64)]
+    counts = [max(0, len(words) - size + 1) for size in sizes]
+    return [mixed((sums[size: size + n] - sums[:n]) * up[:n] + np.uint64(size)) for size, n in zip(sizes, counts)]
+
+
 def _equal_runs(frames: Iterator[pd.DataFrame], sizes: list[int]) -> Iterator[pd.DataFrame]:
     """The runs of so many words within the stretches of a text."""
     for frame in frames:
+        out, rows = [], 0
         for row in frame.itertuples():
             own = next(text_chunks(pa.array([row.text])))[1].hashes()
-            edges = np.zeros(len(own) + 1, dtype=np.int64)
-            for size in sizes:
-                edges[:] = 0
-                for low, high in np.asarray(row.stretches).reshape(-1, 2).tolist():
-                    if high - low + 1 >= size:
-                        edges[low] += 1
-                        edges[high - size + 2] -= 1
-                place = np.flatnonzero(np.cumsum(edges)[: max(0, len(own) - size + 1)])
-                run = _runs(own, size)[place]
-                yield pd.DataFrame({"run": signed(mixed(run + np.uint64(size))), "size": np.int32(size), "doc_id": row.doc_id, "part": row.part, "place": place.astype(np.int32)})
+            stretches = np.asarray(row.stretches).reshape(-1, 2)
+            for size, runs in zip(sizes, _long_runs(own, sizes)):
+                long = stretches[stretches[:, 1] - stretches[:, 0] + 1 >= size]
+                edges = np.bincount(long[:, 0], minlength=len(own) + 2)[: len(own) + 2] - np.bincount(long[:, 1] - size + 2, minlength=len(own) + 2)[: len(own) + 2]
+                place = np.flatnonzero(np.cumsum(edges)[: len(runs)])
+                out.append((runs[place], size, row.doc_id, row.part, place))
+                rows += len(place)
+            if rows > RUN_ROWS:
+                yield _run_rows(out)
+                out, rows = [], 0
+        yield _run_rows(out)
+
+
+def _run_rows(parts: list[tuple]) -> pd.DataFrame:
+    lengths = [len(p[0]) for p in parts]
+    runs = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, dtype=np.uint64)
+    places = np.concatenate([p[4] for p in parts]) if parts else np.zeros(0)
+    return pd.DataFrame({"run": signed(runs), "size": np.repeat([p[1] for p in parts], lengths).astype(np.int32), "doc_id": np.repeat(np.array([p[2] for p in parts], dtype=np.int64), lengths),
+                         "part": np.repeat(np.array([p[3] for p in parts], dtype=np.int64), lengths), "place": places.astype(np.int32)})
 
 
 def duplicates(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:

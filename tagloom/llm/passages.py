@@ -31,16 +31,17 @@ text are texts of their own, ordered by a hash; an empty table gives an empty re
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tagloom.llm.words import Words, mixed, signed, text_chunks
-from tagloom.operators.staging import stage
+from tagloom.operators.staging import discard, stage
 
 SHINGLE = 5
 WORDS = 50
@@ -137,8 +138,10 @@ def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, i
 def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int, similarity: float, runs: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple]:
     """(first, last, other first, other last, similarity) of verified passages around seeds
     (place, other place), word places from 0; ``last`` is included. ``runs`` of both texts may be known."""
+    if len(own) >= least and np.array_equal(own, other):
+        return [(0, len(own) - 1, 0, len(own) - 1, 1.0)]
     x, y = runs or (_runs(own), _runs(other))
-    found: list[tuple] = []
+    found: list[tuple] = []  # none within another, so sorted by first and by last place at once
     seen: dict[int, list[tuple[int, int]]] = {}
 
     def likeness(a: int, b: int, c: int, d: int) -> float:
@@ -146,26 +149,36 @@ def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int,
         shared = len(np.intersect1d(u, v, assume_unique=True))
         return shared / (len(u) + len(v) - shared)
 
-    def known(a: int, b: int) -> bool:
-        return any(a >= f[0] and b - 1 <= f[1] for f in found)
+    def add(a: int, b: int, c: int, d: int, value: float) -> None:
+        before = bisect_right(found, a, key=lambda f: f[0])
+        if before and found[before - 1][1] >= b - 1:
+            return
+        start = bisect_left(found, a, key=lambda f: f[0])
+        found[start: max(start, bisect_right(found, b - 1, key=lambda f: f[1]))] = [(a, b - 1, c, d - 1, value)]
 
     def accept(a: int, b: int, c: int, d: int) -> bool:
         if min(b - a, d - c) < least:
             return False
         value = likeness(a, b, c, d)
-        if value >= similarity and not known(a, b):
-            found.append((a, b - 1, c, d - 1, value))
+        if value >= similarity:
+            add(a, b, c, d, value)
         return value >= similarity
 
     for p, q in sorted(map(tuple, np.asarray(seeds).tolist())):
+        if found and found[0][1] - found[0][0] == len(own) - 1:
+            break  # all of the text is a passage
         if p >= len(x) or q >= len(y) or x[p] != y[q] or any(s <= p < e for s, e in seen.get(q - p, ())):
             continue
         ahead = list(_walk(x, y, p, q))
         behind = [(len(x) - s - n, len(y) - t - n, n) for s, t, n in _walk(x[::-1], y[::-1], len(x) - 1 - p, len(y) - 1 - q)]
         joint = (behind[0][0], behind[0][1], behind[0][2] + ahead[0][2] - 1)
-        chain = np.array([*behind[:0:-1], joint, *ahead[1:]])
-        for s, t, n in chain.tolist():
+        chain = [*behind[:0:-1], joint, *ahead[1:]]
+        for s, t, n in chain:
             seen.setdefault(t - s, []).append((s, s + n))
+        reach = chain[-1][2] + SHINGLE - 1 + 2 * GAP  # all that may follow, and what ``_lengthened`` may add
+        if min(chain[-1][0] - chain[0][0], chain[-1][1] - chain[0][1]) + reach < least:
+            continue
+        chain = np.array(chain)
         starts, ends = chain[:, :2], chain[:, :2] + chain[:, 2:] + SHINGLE - 1
         if accept(int(starts[0, 0]), int(ends[-1, 0]), int(starts[0, 1]), int(ends[-1, 1])):
             continue
@@ -189,10 +202,8 @@ def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int,
                 k, m = (k + 1, m) if drop else (k, m - 1)
                 a, b, c, d = int(starts[k, 0]), int(ends[m, 0]), int(starts[k, 1]), int(ends[m, 1])
         for i in np.flatnonzero(ends[:, 0] - starts[:, 0] >= least).tolist():
-            a, b = int(starts[i, 0]), int(ends[i, 0])
-            if not known(a, b):
-                found.append((a, b - 1, int(starts[i, 1]), int(ends[i, 1]) - 1, 1.0))
-    return sorted(f for f in found if not any(g is not f and g[0] <= f[0] and f[1] <= g[1] and g[:2] != f[:2] for g in found))
+            add(int(starts[i, 0]), int(ends[i, 0]), int(starts[i, 1]), int(ends[i, 1]), 1.0)
+    return found
 
 
 def _lengthened(own: np.ndarray, other: np.ndarray, a: int, b: int, c: int, d: int, least: int) -> tuple[int, int, int, int]:
@@ -247,12 +258,16 @@ class _Hashed:
 def _verify(frames: Iterator[pd.DataFrame], agreeing: int, least: int, similarity: float) -> Iterator[pd.DataFrame]:
     hashed = _Hashed()
     for frame in frames:
-        out = []
+        # copies of a text meet the same keepers at the same places
+        out, met = [], {}
         for row in frame.itertuples():
             seeds = _agreeing(np.asarray(row.windows).reshape(-1, 5), agreeing)
             if len(seeds):
                 (own, x), (other, y) = hashed.of((row.doc_id, row.part), row.text), hashed.of((row.keeper_id, row.keeper_part), row.keeper_text)
-                out += [(row.doc_id, row.part, a, b, row.keeper_id, row.keeper_part, c, d, s) for a, b, c, d, s in _passages(own, other, seeds, least, similarity, (x, y))]
+                copy = (row.keeper_id, row.keeper_part, own.tobytes(), seeds.tobytes())
+                if copy not in met:
+                    met[copy] = _passages(own, other, seeds, least, similarity, (x, y))
+                out += [(row.doc_id, row.part, a, b, row.keeper_id, row.keeper_part, c, d, s) for a, b, c, d, s in met[copy]]
         yield pd.DataFrame(out, columns=["doc_id", "part", "first_word", "last_word", "keeper_id", "keeper_part", "keeper_first", "keeper_last", "similarity"])
 
 
@@ -285,35 +300,50 @@ def by_row(documents: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"), F.count(F.lit(1)).alias("holders"))
                     .where("struct(keeper.doc_id, keeper.part) < top")
                     .select("key", "holders", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "keepers")
-    met = windows.join(keepers.drop("holders"), "key").where("doc_id <> keeper_id OR part <> keeper_part")
+    # from here on only windows whose key has a keeper
+    held = stage(windows.join(keepers, "key"), "held")
+    discard(windows)
+    discard(keepers)
+    met = held.where("doc_id <> keeper_id OR part <> keeper_part")
     window = F.array("f", "place", F.col("place") - F.col("before"), F.col("place") + F.col("after"), "keeper_place")
     # at most the windows of one text come together
     pairs = met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_list(window)).alias("windows"), F.count_distinct("f").alias("agree")).where(F.col("agree") >= agreeing)
     pairs = stage(pairs.drop("agree"), "pairs")
     first = stage(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS), "first-found")
-    pairs = stage(_further(texts, windows, keepers, first, words), "further-pairs")
+    discard(pairs)
+    pairs = stage(_further(texts, held, first, words), "further-pairs")
     return first.unionByName(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, 1, words, similarity), ROWS))
 
 
-def _further(texts: DataFrame, windows: DataFrame, keepers: DataFrame, first: DataFrame, words: int) -> DataFrame:
+def _uncovered(rows: DataFrame, spans: DataFrame, low: str, high: str) -> DataFrame:
+    """``rows`` of which the stretch from ``low`` to ``high`` lies in no single one of the text's spans: the
+    furthest end among the spans that begin no later than the row does not reach ``high``. Rows and spans of
+    one text are sorted together, so neither is copied to the other."""
+    marks = spans.select("doc_id", "part", F.col("first_word").alias("__at"), F.col("last_word").alias("__reach"))
+    order = Window.partitionBy("doc_id", "part").orderBy("__at")
+    both = rows.withColumn("__at", F.expr(low)).withColumn("__row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    both = both.withColumn("__far", F.max("__reach").over(order))
+    return both.where(f"__row AND NOT coalesce(__far >= {high}, false)").select(*rows.columns)
+
+
+def _further(texts: DataFrame, held: DataFrame, first: DataFrame, words: int) -> DataFrame:
     """Pairs of texts for what the first holders leave open: where a key has more holders than the
     two that were compared, and a window with it lies in no passage found, the stretches of all its
     holders are compared by their equal runs of ``words`` and of half as many words. A run has its
     own first holder, who has all of it, so the cost is the number of runs whatever the holders."""
     reach = words - SHINGLE
-    spans = stage(first.groupBy("doc_id", "part").agg(F.collect_set(F.struct("first_word", "last_word")).alias("spans")), "found-spans")
-    around = windows.join(keepers.where("holders > 2").select("key", "keeper_id", "keeper_part"), "key").select(
+    spans = stage(first.select("doc_id", "part", "first_word", "last_word").distinct(), "found-spans")
+    around = held.where("holders > 2").select(
         "key", "doc_id", "part", F.expr(f"place - least(before, {reach})").alias("low"), F.expr(f"place + least(after, {reach}) + {SHINGLE - 1}").alias("high"),
         F.expr("doc_id <> keeper_id OR part <> keeper_part").alias("met"))
-    around = stage(around, "around")
-    bare = around.where("met").join(spans, ["doc_id", "part"], "left").where("NOT coalesce(exists(spans, s -> s.first_word <= low AND s.last_word >= high), false)")
+    bare = _uncovered(around.where("met").drop("met"), spans, "low", "high")
     stretches = stage(around.join(stage(bare.select("key").distinct(), "open-keys"), "key", "left_semi").groupBy("doc_id", "part").agg(F.flatten(F.collect_set(F.array("low", "high"))).alias("stretches")), "stretches")
     open_ = texts.join(stretches, ["doc_id", "part"]).select("doc_id", "part", "text", "stretches")
     runs = stage(open_.mapInPandas(lambda frames: _equal_runs(frames, [words, words // 2]), "run long, size int, doc_id long, part long, place int"), "equal-runs")
     heads = runs.groupBy("run").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top")).where("struct(keeper.doc_id, keeper.part) < top")
     heads = stage(heads.select("run", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "run-keepers")
-    met = runs.join(heads, "run").where("doc_id <> keeper_id OR part <> keeper_part").join(spans, ["doc_id", "part"], "left")
-    met = met.where("NOT coalesce(exists(spans, s -> s.first_word <= place AND s.last_word >= place + size - 1), false)")
+    discard(held)
+    met = _uncovered(runs.join(heads, "run").where("doc_id <> keeper_id OR part <> keeper_part"), spans, "place", "place + size - 1")
     window = F.array(F.lit(0), "place", "place", F.expr("place + size - 1"), "keeper_place")
     return met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_set(window)).alias("windows"))
 

@@ -112,9 +112,12 @@ def word_scores(pieces: Pieces, shares: np.ndarray, words: Sequence[str]) -> np.
 
 def expected_pieces(pieces: Pieces, shares: np.ndarray, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
     """Expected occurrences of every piece over all segmentations of the words; weights[word,
-    language] says how often a language has the word. Words hold at most LONG characters."""
+    language] says how often a language has the word."""
     counts = np.zeros_like(shares)
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    for i in (i for i, w in enumerate(words) if len(w) >= LONG):
+        for language in np.flatnonzero(weights[i]):
+            _expected_long(pieces, shares[:, language], MARK + words[i], weights[i, language], counts[:, language])
+    order = sorted((i for i, w in enumerate(words) if len(w) < LONG), key=lambda i: len(words[i]))
     for block in _blocks(order, shares):
         marked = [MARK + words[i] for i in block]
         alpha = _forward(pieces, shares, marked)
@@ -130,6 +133,33 @@ def expected_pieces(pieces: Pieces, shares: np.ndarray, words: Sequence[str], we
     return counts
 
 
+def _endings(pieces: Pieces, word: str, end: int) -> Iterator[tuple[int, int]]:
+    """(length, number) of the pieces of ``word`` that end there; one unknown character is number -1."""
+    for length in range(1, min(end, pieces.longest) + 1):
+        number = pieces.number.get(word[end - length: end], -1)
+        if number >= 0 or length == 1:
+            yield length, number
+
+
+def _expected_long(pieces: Pieces, shares: np.ndarray, word: str, weight: float, counts: np.ndarray) -> None:
+    """``expected_pieces`` of one word of any length in one language, added to ``counts``. The forward sums are
+    rescaled at every character to 1, ``grown[end]`` being the factor; going back, ``boundary[end]`` is the
+    probability that a segmentation has a boundary there. Two numbers per character are kept."""
+    grown = np.ones(len(word) + 1)
+    for end in range(1, len(word) + 1):
+        here = 0.0
+        for length, number in _endings(pieces, word, end):
+            here += shares[number] / np.prod(grown[end - length + 1: end])
+        grown[end] = here
+    boundary = np.zeros(len(word) + 1)
+    boundary[-1] = weight
+    for end in range(len(word), 0, -1):
+        for length, number in _endings(pieces, word, end):
+            times = shares[number] * boundary[end] / np.prod(grown[end - length + 1: end + 1])
+            counts[number] += times
+            boundary[end - length] += times
+
+
 def _to_shares(counts: np.ndarray) -> np.ndarray:
     counts = counts + SMOOTHING
     shares = counts / counts.sum(axis=0)
@@ -179,7 +209,7 @@ def _expect(batches: Iterator[pa.RecordBatch], model: LanguageModel) -> Iterator
     for batch in batches:
         words: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words.setdefault(lang, Counter()).update(w for w in letter_runs(text) if len(w) < LONG)
+            words.setdefault(lang, Counter()).update(letter_runs(text))
         distinct = {w: i for i, w in enumerate({w for c in words.values() for w in c})}
         weights = np.zeros((len(distinct), len(place)))
         for lang, c in words.items():

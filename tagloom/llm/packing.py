@@ -8,6 +8,7 @@ the rules that open bins of at least one given length, and keeps the cheapest pl
 Texts longer than the longest sequence are cut into full pieces and a rest, so no word is lost.
 Texts are dealt to shards of about ``PIECES`` pieces by a hash, so a shard is packed within one
 task of bounded memory and the loss at shard ends stays below a bin of each length per shard.
+Equal rows share a hash: where they alone would fill a shard, they are dealt by a seeded draw.
 
 Defined cases: a null or empty text has length 0 and gets one row without a bin; null ids are
 kept; equal lengths are placed by id, then piece; repeated rows are packed separately; an empty
@@ -23,6 +24,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tagloom.operators.staging import stage
+
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32  # what a sequence costs besides its length
 PIECES = 4096  # pieces per shard, about
@@ -72,13 +75,18 @@ def pack(documents: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead:
     """(doc_id, part, first, length, bin, capacity, place): every piece of every text, the word it
     begins with, its sequence, that sequence's length and the piece's first place in it."""
     longest = max(capacities)
-    measured = documents.select("doc_id", F.expr(length).alias("__words"), F.xxhash64("doc_id", "text").alias("__draw"))
+    measured = stage(documents.select("doc_id", F.expr(length).alias("__words"), F.xxhash64("doc_id", "text").alias("__draw")), "measured")
+    cut_into = F.greatest(F.lit(1), F.ceil(F.col("__words") / longest))
+    hot = measured.groupBy("__draw").agg(F.sum(cut_into).alias("__pieces"), F.count(F.lit(1)).alias("__rows")).where(f"__rows > 1 AND __pieces > {PIECES // 4}")
+    hot = hot.select(F.col("__draw").alias("__hot"), F.lit(True).alias("__many"))
+    dealt = F.when(F.col("__many"), F.xxhash64("__draw", F.rand(7))).otherwise(F.col("__draw"))
+    measured = stage(measured.join(hot, F.col("__draw") == F.col("__hot"), "left").select("doc_id", "__words", dealt.alias("__draw")), "dealt")
     # every text is cut by its own length only: one row per piece
     cuts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("__words") - 1) / longest)).cast("int"))
     pieces = measured.select("doc_id", "__words", "__draw", F.explode(cuts).alias("part"))
     pieces = pieces.select("doc_id", "part", (F.col("part") * F.lit(longest)).cast("long").alias("first"),
                            F.least(F.lit(longest), F.col("__words") - F.col("part") * longest).cast("int").alias("length"), F.xxhash64("__draw", "part").alias("draw"))
-    total = measured.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("__words") / longest)))).first()[0] or 0
+    total = measured.agg(F.sum(cut_into)).first()[0] or 0
     shards = max(1, -(-int(total) // PIECES))
     schema = "doc_id {}, part int, first long, length int, bin long, capacity int, place int".format(documents.schema["doc_id"].dataType.simpleString())
     filled = pieces.where("length > 0").withColumn("shard", F.pmod("draw", F.lit(shards)))

@@ -55,6 +55,30 @@ def test_forward_sums_all_segmentations():
     assert language._long_word(p, shares, "▁abbacab")[0] == pytest.approx(np.log(brute("▁abbacab")))
 
 
+def test_long_words_count_like_short_ones():
+    p = pieces.Pieces(["a", "b", "ab", "▁", "▁a", "bb"])
+    shares = np.array([[.1, .2], [.2, .1], [.3, .1], [.15, .3], [.05, .1], [.2, .2], [1e-7, 1e-7]])
+    words, weights = ["abba", "c", "bbbbab", "abcab"], np.array([[2., 0], [1, 3], [0, 1], [1, 1]])
+    counts = np.zeros_like(shares)
+    for word, row in zip(words, weights):
+        for i in np.flatnonzero(row):
+            language._expected_long(p, shares[:, i], "▁" + word, row[i], counts[:, i])
+    assert counts == pytest.approx(language.expected_pieces(p, shares, words, weights))
+    # 3,000 characters underflow no sum: the pieces cover the word
+    long = language.expected_pieces(p, shares, ["ab" * 1500], np.array([[1., 0]]))
+    assert (long[:, 0] * [1, 1, 2, 1, 2, 2, 1]).sum() == pytest.approx(3001) and not long[:, 1].any()
+
+
+def test_languages_without_spaces_are_told_apart(spark):
+    rng = np.random.default_rng(3)
+    signs = {"zh": "的一是在不了有和人这中大为上个国我以要他", "ja": "のにはをたがでてとしれさあいうかこなもら"}
+    rows = [(i, "".join(rng.choice(list(signs[lang]), 56)) + "," + "".join(rng.choice(list(signs[lang]), 60)), lang) for i, lang in enumerate(["zh", "ja"] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, F.expr("doc_id < 40"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model, ["doc_id"]).collect()}
+    assert all(got[i][0] == lang and got[i][1] > 0.9 for i, _, lang in rows)
+
+
 def test_language(spark, documents, nothing):
     small = spark.read.parquet(f"{SMALL}/documents.parquet")
     found = QUERIES["op1_language_id"](spark, SMALL).join(small.select("doc_id", "lang"), "doc_id").where("held_out")
@@ -263,6 +287,24 @@ def test_packing(spark, documents, nothing):
     assert texts == sum(len((t or "").encode().split()) for i, t, *_ in TEXTS if i not in (8, None))
 
 
+def test_packing_deals_one_hot_row_to_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES", 64)
+    rows = [(7, "same words here")] * 700 + [(i, f"w{i} " * (i % 9)) for i in range(100, 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = packing.pack(df, capacities=(16, 32)).collect()
+    hot = [r for r in got if r.doc_id == 7]
+    assert len(got) == len(rows) and len(hot) == 700
+    shards = [r.bin >> 32 for r in hot]
+    assert max(map(shards.count, set(shards))) < 3 * 700 / len(set(r.bin >> 32 for r in got if r.bin is not None)) + 64 and len(set(shards)) > 10
+    filled = {}
+    for r in got:
+        if r.bin is not None:
+            filled.setdefault((r.bin, r.capacity), []).append((r.place, r.length))
+    for (_, capacity), parts in filled.items():
+        parts.sort()
+        assert sum(n for _, n in parts) <= capacity and all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:]))
+
+
 def test_url_filter(spark):
     pages = [(1, "http://A.net/x", "h"), (2, "http://q.org/z?a=1#t", '<LINK href="http://a.net/x" rel="canonical">'), (3, None, None), (4, "nourl", "x"), (5, "http://u.org/1", '<meta http-equiv="refresh" content="0; url=2">'),
              (6, "http://u.org/2", '<meta content="0;URL=http://sub.example.com/de/1" http-equiv=refresh>'), (7, "http://example.net/en/5", "<link rel='canonical' href='//a.net/'>"), (8, "http://net", "a"), (1, "http://A.net/x", "h")]

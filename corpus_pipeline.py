@@ -7,9 +7,12 @@ of documents.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.llm import jaccard, language, mixing, packing, passages
+from tagloom.operators.grouping import dedup_by_key
+from tagloom.operators.numbering import numbered
 from tagloom.operators.staging import scratch, stage
 
 LEAST_SCORE = 0.5  # a text whose best language is less likely than this is rejected
@@ -25,15 +28,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One text of each group of near duplicates stays, the one with the smallest id; of rows that
-    share that id, one. Texts without words and rows without an id link with nothing and stay."""
+    """One text of each group of near duplicates stays, the one with the smallest id. Rows that share an
+    id but not the text are texts of their own, ordered by a hash; of rows that share both, the smallest
+    stays. Texts without words and rows without an id link with nothing and stay."""
+    repeated = stage(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return _first_of_groups(spark, docs, "doc_id")
+    # numbers follow the ids, so the smallest number is the smallest id
+    key = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"))
+    numbers = numbered(key.where("__id IS NOT NULL").distinct(), ["__id", "__hash"], "__number")
+    rows = docs.join(numbers, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left").select(*docs.columns, "__number")
+    left = stage(_first_of_groups(spark, rows, "__number"), "firsts")
+    copies = stage(left.groupBy("__number").count().where("__number IS NOT NULL AND count > 1").select("__number"), "copies")
+    once = dedup_by_key(left.join(copies, "__number", "left_semi"), "__number", docs.columns)
+    return left.join(copies, "__number", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+
+
+def _first_of_groups(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` but for those whose group of near duplicates has a smaller ``key``."""
     with scratch(spark):
-        groups = jaccard.components(docs, k=5, percent=80)
-        gone = stage(groups.where("component_id <> doc_id").select("doc_id").distinct(), "duplicates", kept=True)
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = stage(left.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    once = left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        groups = jaccard.components(rows.select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
+        gone = stage(groups.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "duplicates", kept=True)
+    return rows.join(gone, key, "left_anti").select(*rows.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +63,18 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their target weights; a text taken n times is there n times. Texts
     without words weigh nothing and are taken as often as their source is for certain."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())  # the same files give the same numbers
-    mix = stage(mixing.mix(rows, keep=["__row"]).where("copies > 0").select("__row", F.col("copies").cast("int").alias("__copies")), "mix")
-    return rows.join(mix, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+    rows, place = _placed(docs)
+    mix = stage(mixing.mix(rows, keep=place).where("copies > 0").select(*place, F.col("copies").cast("int").alias("__copies")), "mix")
+    return rows.join(mix, place).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+
+
+def _placed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns that name every row. They must not change when the rows are read again, by
+    whichever executors: a stored table's rows have a file and a place in it, other rows are stored first."""
+    try:
+        return docs.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__place")), ["__file", "__place"]
+    except AnalysisException:
+        return stage(docs.withColumn("__place", F.monotonically_increasing_id()), "placed"), ["__place"]
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +90,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Learned models and verified near duplicates have no SQL. Tests hold the stages against what is planted in a small fixture; source_mix and packing only for having rows.
+#: Learned models and verified near duplicates have no SQL. Tests hold the stages against what is planted in a small fixture, source_mix against a plain sampler, packing for whole texts.
 ORACLE_SQL = None
 
 

@@ -1,5 +1,6 @@
 """Text operators on small tables with nulls, empty and long texts, ties, repeats and no rows."""
 
+import hashlib
 from pathlib import Path
 
 import numpy as np
@@ -324,9 +325,64 @@ def test_pipeline(spark, documents, tmp_path):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         kept.append({r.doc_id for r in docs.collect()})
     assert kept[0] == {1, 2, 3, 4, 8, 9, 10, None} and kept[1] == {1, 4, 8, 9, None} and kept[2] == kept[1]
+    pieces_of = {}
+    for r in corpus_pipeline.packed(spark, docs, str(tmp_path)).collect():
+        pieces_of[r.doc_id] = pieces_of.get(r.doc_id, 0) + r.length
+    assert pieces_of == {i: sum(len((r.text or "").split()) for r in docs.collect() if r.doc_id == i) for i in {r.doc_id for r in docs.collect()}}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
 
 
+def _mix_brute(rows):
+    """Copies of every row, equal rows and equal ids together."""
+    sized = [(i, text, source, len((text or "").split())) for i, text, source in rows]
+    names = sorted({r[2] for r in sized}, key=lambda s: (s is None, s))
+    weight, total = {s: n % 3 + 1 for n, s in enumerate(names)}, sum(r[3] for r in sized)
+    size = {s: sum(r[3] for r in sized if r[2] == s) for s in names}
+    target, open_ = {}, set(names)
+    while True:
+        rate = (total - sum(target.values())) / sum(weight[s] for s in open_) if open_ else 0
+        full = {s for s in open_ if 3 * size[s] < weight[s] * rate}
+        if not full:
+            break
+        target |= {s: 3 * size[s] for s in full}
+        open_ -= full
+    target |= {s: weight[s] * rate for s in open_}
+    taken = []
+    for s in names:
+        whole = int(target[s] // size[s]) if size[s] else 0
+        part, lacking, run = target[s] / size[s] - whole if size[s] else 0, target[s] - whole * size[s], 0
+        part = min(1 - 1e-9, max(1e-9, part))
+        draws = []
+        for i, text, source, n in (r for r in sized if r[2] == s):
+            u = (int(hashlib.md5(f"{'null' if i is None else i}#7".encode()).hexdigest()[:12], 16) + .5) / 2 ** 48
+            draws.append((u * (1 - part) / (u * (1 - part) + part * (1 - u)), i, n))
+        for _, i, n in sorted(draws):
+            run += n
+            taken += [(i, s)] * (whole + (lacking > 0 and n > 0 and run - n / 2 <= lacking and run - n < lacking))
+    return sorted(taken, key=str)
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_source_mix(spark, tmp_path, stored):
+    rng = np.random.default_rng(5)
+    rows = [(i, "w " * int(rng.integers(0, 40)), ["a", "b", "c", None][int(rng.integers(0, 4)) if i % 3 else 0]) for i in range(400)]
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string, source string")
+    if stored:
+        docs.repartition(5).write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = sorted(((r.doc_id, r.source) for r in corpus_pipeline.source_mix(spark, docs, "").collect()), key=str)
+    assert got == _mix_brute(rows + rows[:20])
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = (" ".join(f"v{n}" for n in rng.integers(0, 10 ** 6, 80)) for _ in range(3))
+    rows = [(0, a), (1, a), (1, b), (1, b), (2, b + " end"), (3, c), (3, c), (None, a), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(0, a), (1, b), (3, c), (None, a), (4, "")], key=str)
+
+
 def test_pipeline_groups_five_word_runs_from_four_fifths(spark):
     words = [f"w{i}" for i in range(120)]
     docs = spark.createDataFrame([(1, " ".join(words[:100])), (2, " ".join(words)), (3, " ".join(words[:95] + [f"x{i}" for i in range(40)]))], "doc_id long, text string")

@@ -30,15 +30,13 @@ Permission is granted to anyone to use this software for any purpose, including
 }
 
 
-def _published(file: Path) -> str:
-    """A text as published, without its title and copyright lines, as above."""
-    text = re.sub("copyright owner", "copyright holder", file.read_text(), flags=re.I)
-    text = re.sub(r"\A\s*[a-z ]+ license( version [0-9.]+)?\s*\n", "", text, flags=re.I)
-    return "\n".join(line for line in text.splitlines() if not re.match(r"\W*copyright\W+(c\W|\d|by\W|year\W)", line, re.I))
+def _unwrapped(text: str) -> str:
+    """A published text with every paragraph on one line, as above."""
+    return "\n\n".join(" ".join(paragraph.split()) for paragraph in re.split(r"\n\s*\n", text))
 
 
 # Long licences, one file each, named as the licence.
-LICENCES |= {file.stem: _published(file) for file in sorted((Path(__file__).parent / "licence_data").glob("*.txt"))}
+LICENCES |= {file.stem: _unwrapped(file.read_text()) for file in sorted((Path(__file__).parent / "licence_data").glob("*.txt"))}
 
 # Notices that are a line, or a text, of their own.
 NOTICES = {
@@ -58,3 +56,11 @@ SPELLINGS = {
     "labelling": "labeling", "labour": "labor", "licence": "license", "merchantibility": "merchantability", "non infringement": "noninfringement",
     "organis": "organiz", "per cent": "percent", "programme": "program", "recognis": "recogniz", "sub license": "sublicense", "utilis": "utiliz", "whilst": "while",
 }
+
+# Words, in canonical form, that begin a licence or a condition and so end a copyright statement before them.
+STATEMENT_ENDS = [
+    "all use", "as is", "do not", "everyone is permitted", "except as", "free use", "licensed under", "may not", "may only", "must not", "no part",
+    "no permission", "no warranty", "not for", "permission is", "permission to", "permitted", "preamble", "prohibited", "provided", "redistribution", "released under",
+    "shall", "subject to", "terms and conditions", "this document", "this file", "this is", "this library", "this license", "this program", "this software",
+    "this work", "under the terms", "unless", "use of", "without", "you are", "you can", "you may", "you must",
+]

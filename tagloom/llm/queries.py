@@ -104,22 +104,29 @@ def _quoted(text: str) -> str:
 
 
 def _canonical(text: str) -> str:
-    words = f"""regexp_replace(regexp_replace(lower(replace({text}, '©', 'copyright ')), '\\r\\n?|\\n', chr(10), 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"""
+    words = f"""regexp_replace(regexp_replace(replace(replace(lower({text}), '©', ' copyright '), '(c)', ' copyright '), '\\r\\n?', chr(10), 'g'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"""
     for spelling, usual in SPELLINGS.items():
         words = f"replace({words}, {_quoted(spelling)}, {_quoted(usual)})"
-    return f"""list_filter(list_transform(string_split({words}, chr(10)), lambda line: trim(line, ' ')), lambda line: line <> '' AND NOT regexp_matches(line, '{licences.COPYRIGHT}'))"""
+    return f"regexp_replace({words}, ' ?\\n ?', chr(10), 'g')"
 
 
-_WHOLE = f"""sha256(array_to_string(CASE WHEN regexp_matches(lines[1], '{licences.TITLE}') AND len(lines) > 1 THEN lines[2:] ELSE lines END, ' '))"""
+def _whole(lines: str) -> str:
+    words = f"regexp_replace(regexp_replace({lines}, '\\n{{2,}}', ' ' || chr(31) || ' ', 'g'), '\\n', ' ', 'g')"
+    for spelling, usual in SPELLINGS.items():
+        if " " in spelling:
+            words = f"replace({words}, {_quoted(spelling)}, {_quoted(usual)})"
+    words = f"replace(' ' || {words}, ' all rights reserved', ' ' || chr(31))"
+    joined = f"trim(regexp_replace(regexp_replace({words}, '{licences.STATEMENT}', ' \\1', 'g'), '[ \\x1f]+', ' ', 'g'), ' ')"
+    return f"sha256(nullif(regexp_replace({joined}, '{licences.TITLE}', ''), ''))"
 
 
 @query("op4_license_scan", f"""WITH known(name, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in LICENCES.items())}),
-  known_digests AS (SELECT digest, min(name) AS licence FROM (SELECT name, {_WHOLE} AS digest FROM (SELECT name, {_canonical("text")} AS lines FROM known)) GROUP BY digest),
+  known_digests AS (SELECT digest, min(name) AS licence FROM (SELECT name, {_whole("lines")} AS digest FROM (SELECT name, {_canonical("text")} AS lines FROM known)) GROUP BY digest),
   notices(line, name) AS (VALUES {", ".join(f"({_quoted(t)}, {_quoted(n)})" for t, n in NOTICES.items())}),
-  known_lines AS (SELECT array_to_string({_canonical("line")}, ' ') AS line, min(name) AS name FROM notices GROUP BY 1),
+  known_lines AS (SELECT trim({_canonical("line")}, ' ') AS line, min(name) AS name FROM notices GROUP BY 1),
   read AS (SELECT row_number() OVER () AS row, doc_id, {_canonical("coalesce(text, '')")} AS lines FROM documents),
-  digests AS (SELECT row, doc_id, CASE WHEN len(lines) > 0 THEN {_WHOLE} END AS digest FROM read),
-  named AS (SELECT row, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT row, unnest(lines) AS line FROM read) JOIN known_lines USING (line) GROUP BY row)
+  digests AS (SELECT row, doc_id, {_whole("lines")} AS digest FROM read),
+  named AS (SELECT row, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT row, trim(unnest(string_split(lines, chr(10))), ' ') AS line FROM read) JOIN known_lines USING (line) GROUP BY row)
   SELECT doc_id, licence, coalesce(notices, '') AS notices FROM digests LEFT JOIN known_digests USING (digest) LEFT JOIN named USING (row)""")
 def _license_scan(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))

@@ -1,8 +1,11 @@
 """Text operators on small tables with nulls, empty and long texts, ties, repeats and no rows."""
 
 import hashlib
+import re
+import textwrap
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -134,12 +137,46 @@ def test_licences(spark, documents, nothing):
     assert licences.scan(nothing).count() == 0
 
 
-def test_long_licences_as_published(spark):
+def _scanned(spark, texts):
+    found = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    return [found[i] for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("form", ["published", 60, 100, "one line", "commented"])
+def test_long_licences(spark, form):
     files = sorted((Path(licences.__file__).parent / "licence_data").glob("*.txt"))
     assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {f.stem for f in files}
-    rows = [(i, f.read_text()) for i, f in enumerate(files)] + [(100, files[0].read_text()[:-200])]
-    got = {r.doc_id: r.licence for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {i: f.stem for i, f in enumerate(files)} | {100: None}
+
+    def formed(text):
+        if form == "one line":
+            return " ".join(text.split())
+        if form == "commented":
+            return "\r\n".join(f" * {line}" for line in text.splitlines())
+        return text if form == "published" else "\n\n".join(textwrap.fill(paragraph, form) for paragraph in re.split(r"\n\s*\n", text))
+
+    texts = [formed(f.read_text()) for f in files]
+    assert _scanned(spark, texts + [text[:-200] for text in texts]) == [f.stem for f in files] + [None] * len(files)
+
+
+def test_licence_headers(spark):
+    mit, bsd = LICENCES["MIT"], LICENCES["BSD-3-Clause"]
+    heads = ["Copyright (c) 2020 A B\nAll rights reserved.\n\n", "Copyright (c) 2020 A B,\n  C D and others\n\n", "The MIT License (MIT)\nCopyright © 2020 A\n", "(C) 2019 A\n(C) 2020 B\n\n",
+             "MIT License Copyright (c) 2020 A B ", "MIT License\n\nCopyright 2020 A\n\nCopyright 2021 B\n\n", "Copyright by A. All rights reserved. "]
+    found = [head + text for head in heads for text in (mit, bsd)]
+    assert _scanned(spark, found) == ["MIT", "BSD-3-Clause"] * len(heads)
+    wrapped = re.sub("copyright holder", "copyright\nowner", mit, flags=re.I)
+    other = ["Copyright 2020 A. You may not sell this.\n\n" + mit, "Copyright 2020 A.\n\nNot for sale.\n\n" + mit, "Copyright 2020 A\n\n", "All rights reserved.", mit + "\n\nSome more."]
+    assert _scanned(spark, [wrapped, *other]) == ["MIT"] + [None] * len(other)
+
+
+def test_licences_as_sql(spark, tmp_path):
+    """The statement and the operator agree on headers, wraps and cases that the tables lack."""
+    texts = [None, "", "©", "All rights reserved.", "x\n\nCopyright 2020 É\r\rReleased under the MIT License.", "Copyright (c) 2020 A\n\nCopyright by B " + LICENCES["MIT"]]
+    texts += [" ".join(text.split()) for text in LICENCES.values()] + [f"The X License\n© 2020 A\nall rights reserved\n\n{text}" for text in LICENCES.values()]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(QUERIES["op4_license_scan"](spark, str(tmp_path)), connection, ORACLES["op4_license_scan"]) is None
 
 
 def test_mixing(documents, nothing):

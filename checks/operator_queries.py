@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import query
+from checks.registry import ORACLES, query
 from checks.settings import AS_OF_LOGIN, AS_OF_ORDERS, ID_DIGITS
 from tagloom import labels as L
 from tagloom.functions.casting import suffix_id, to_double, to_int, to_long
@@ -14,7 +14,7 @@ from tagloom.functions.text import (explode_list, join_field, product_id, share,
 from tagloom.functions.timing import (birth_year, days_between, days_since, epoch_date, epoch_seconds,
                                       hour_of, month_day, recency_days)
 from tagloom.labels import Bin
-from tagloom.operators.grouping import dedup_by_key, mode_per_key, set_join
+from tagloom.operators.grouping import dedup_by_key, mode_per_key, set_join, set_join_ranged
 from tagloom.operators.joining import (lookup, lookup_book, order_lines, orders_with_id, product_names)
 from tagloom.operators.ranking import top_n_per_key
 from tagloom.plans.log_tags import logs_with_id
@@ -241,6 +241,11 @@ def _set_join(s):
     return set_join(lines(s), "id", "productType", "types")
 
 
+@query("agg_set_join_ranged", ORACLES["agg_set_join"])
+def _set_join_ranged(s):
+    return set_join_ranged(lines(s), "id", "productType", "types")
+
+
 @query("op_mode_per_key", """SELECT cid AS id, productType AS "favouriteType" FROM (SELECT cid, productType,
     row_number() OVER (PARTITION BY cid ORDER BY count(*) DESC, productType) AS r FROM l9 GROUP BY cid, productType) WHERE r = 1""")
 def _mode(s):

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import cte, query
+from checks.registry import ORACLES, cte, query
 from checks.settings import AS_OF_LOGIN, ID_DIGITS, LADDERS
 from tagloom.functions.ladders import text_ladder
 from tagloom.labels import DEVICE, DEVICE_DEFAULT, PAGE_TYPE, PAGE_TYPE_DEFAULT
-from tagloom.operators.grouping import last_per_key
+from tagloom.operators.grouping import last_per_key, set_join_ranged
 from tagloom.operators.joining import order_lines, orders_with_id
-from tagloom.plans.line_tags import line_tags
+from tagloom.plans.line_tags import line_tags, purchase_goods_ranged
 from tagloom.plans.log_tags import log_tags, logs_with_id, view_goods
 from tagloom.plans.order_tags import order_tags
 from tagloom.plans.tag import aggregate_tags, single_tag
@@ -179,6 +179,11 @@ for _name, _sql in LINE_SQL.items():
         return single_tag(order_lines(s.orders, s.goods, ID_DIGITS), line_tags()[name])
 
 
+@query("tag_purchase_goods_ranged", ORACLES["tag_purchase_goods"])
+def _purchase_goods_ranged(s):
+    return purchase_goods_ranged(order_lines(s.orders, s.goods, ID_DIGITS))
+
+
 @query("line_tags_suffix3", f"SELECT cid AS id, {', '.join(LINE_SQL.values())} FROM {_PSM.format(3)}")
 def _line_tags_suffix3(s):
     """All order-line tags fused, ids from three characters."""
@@ -265,6 +270,11 @@ def _view_goods(s):
     return view_goods(s.logs, s.goods)
 
 
+@query("tag_view_goods_ranged", ORACLES["tag_view_goods"])
+def _view_goods_ranged(s):
+    return view_goods(s.logs, s.goods, set_join_ranged)
+
+
 @query("watch_time_daily", """SELECT uid AS id, day, case when minutes < 1 then '1分钟内' when trunc(minutes) between 2 and 5
     then '1-5分钟' when minutes >= 5 then '5分钟以上' end AS "WatchTime" FROM (
     SELECT uid, cast(log_time as date) AS day,

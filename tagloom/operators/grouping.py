@@ -41,6 +41,32 @@ def set_join(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.select(key, value).distinct().groupBy(key).agg(F.expr(join_distinct(value)).alias(name))
 
 
+def set_pieces(df: DataFrame, key: str, value: str, pieces: int | None = None) -> DataFrame:
+    """(key, piece, values, text): the sorted set of each key, cut into pieces in ascending order.
+
+    Distinct values are dealt by ranges of (key, value), so a key with a third of all values lies
+    on a third of the partitions and no task sorts more than one partition. A piece is what a
+    key has on one partition; its text is null when it holds only nulls. Without a number of
+    ``pieces`` adaptive execution sizes the partitions by bytes.
+    """
+    bounds = [key, value] if pieces is None else [pieces, key, value]
+    ranged = df.select(key, value).distinct().repartitionByRange(*bounds)
+    placed = ranged.withColumn("piece", F.spark_partition_id())
+    joined = f"CASE WHEN count({value}) > 0 THEN {join_distinct(value)} END"
+    return placed.groupBy(key, "piece").agg(F.count(value).alias("values"), F.expr(joined).alias("text"))
+
+
+def set_join_ranged(df: DataFrame, key: str, value: str, name: str, pieces: int | None = None) -> DataFrame:
+    """``set_join`` for keys of very many values: sorted texts of value ranges are joined in order.
+
+    Two shuffles of the distinct values more than ``set_join``; the last step holds a key's text,
+    which is the result, and never its values one by one.
+    """
+    ordered = "array_sort(collect_list(struct(piece, text)))"
+    texts = f"transform(filter({ordered}, x -> x.text IS NOT NULL), x -> x.text)"
+    return set_pieces(df, key, value, pieces).groupBy(key).agg(F.expr(f"array_join({texts}, ',')").alias(name))
+
+
 def with_totals(per_key: DataFrame, totals: dict[str, str], over: DataFrame | None = None) -> DataFrame:
     """Adds a struct ``totals`` of one-row aggregates over ``per_key`` itself, or over the same rows
     before they were dealt anew.

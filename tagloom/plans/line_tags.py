@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+
 from tagloom import labels as L
 from tagloom.functions.ladders import bin_ladder
 from tagloom.functions.text import share
+from tagloom.operators.grouping import set_join_ranged
 from tagloom.operators.metrics import Metric, SetOf
 from tagloom.plans.tag import Tag
 
@@ -44,6 +47,11 @@ def purchase_goods() -> Tag:
     return Tag({"purchaseGoods": "bought_names"}, {"bought_names": SetOf("productName")})
 
 
+def purchase_goods_ranged(lines: DataFrame) -> DataFrame:
+    """``purchase_goods`` alone, for customers with very many products."""
+    return set_join_ranged(lines, "id", "productName", "purchaseGoods")
+
+
 def line_tags() -> dict[str, Tag]:
     return {
         "coupons": coupons(),

@@ -104,15 +104,16 @@ def viewed_products(logs: DataFrame) -> DataFrame:
     return viewed.where("productId IS NOT NULL")
 
 
-def view_goods(logs: DataFrame, goods: DataFrame) -> DataFrame:
+def view_goods(logs: DataFrame, goods: DataFrame, joined=set_join) -> DataFrame:
     """Names of all viewed products, as one sorted list per visitor.
 
     Both sides are made distinct first: repeated views and repeated order lines would
-    otherwise multiply in the join.
+    otherwise multiply in the join. ``joined`` is ``set_join``, or ``set_join_ranged`` for
+    visitors with very many products.
     """
     names = goods.selectExpr(f"{whole_id('productId', 'BIGINT')} AS productId", "productName").distinct()
     named = viewed_products(logs).distinct().join(names, "productId", "inner")
-    return set_join(named, "id", "productName", "ViewGoods")
+    return joined(named, "id", "productName", "ViewGoods")
 
 
 def log_tags(population: int | None = None) -> dict[str, Tag]:

@@ -65,6 +65,13 @@ def test_repeats_are_removed_before_collecting(spark, name):
     assert any(k.count("#") >= 2 for k in keys)
 
 
+@pytest.mark.parametrize("name", ["tag_purchase_goods_ranged", "tag_view_goods_ranged", "agg_set_join_ranged"])
+def test_ranged_sets_are_sorted_by_pieces(spark, name):
+    """Values are dealt by ranges; what is dealt by key alone are texts of pieces."""
+    text = plan(QUERIES[name](spark, SMALL))
+    assert "rangepartitioning" in text and re.search(r"collect_list\(struct\(piece", text)
+
+
 def test_top_n_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(QUERIES["topn_names_wide"](spark, SMALL))
 

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from tagloom.operators.grouping import dedup_by_key, last_per_key, mode_per_key, set_join
+from tagloom.operators.grouping import dedup_by_key, last_per_key, mode_per_key, set_join, set_join_ranged, set_pieces
 from tagloom.operators.joining import lookup, order_lines
 from tagloom.operators.ranking import top_n_per_key
 from tagloom.plans import recommend as R
@@ -38,6 +38,23 @@ def test_set_join(df, data):
     assert got == {k: ",".join(sorted({v for v, _ in rows})) for k, rows in grouped(data).items()}
 
 
+def test_set_join_ranged(df, data):
+    got = {r.k: r.s for r in set_join_ranged(df, "k", "v", "s").collect()}
+    assert got == {k: ",".join(sorted({v for v, _ in rows})) for k, rows in grouped(data).items()}
+
+
+def test_set_join_ranged_splits_a_hot_key(spark):
+    """A key with a third of all distinct values lies on many pieces; nulls and empty texts as in set_join."""
+    wide = spark.range(30_000).selectExpr("IF(id % 3 = 0, 0, id % 500) AS k", "concat('v', id % 20011) AS v")
+    odd = spark.createDataFrame([(0, None), (0, ""), (-1, None), (-2, ""), (-2, None), (None, "a"), (None, "B"), (-3, "é"), (-3, "z")], "k bigint, v string")
+    both = wide.unionByName(odd).repartition(16)
+    largest = max(r["values"] for r in set_pieces(both, "k", "v", pieces=24).collect())
+    assert largest < 2 * both.distinct().count() / 24
+    want = {r.k: r.s for r in set_join(both, "k", "v", "s").collect()}
+    assert {r.k: r.s for r in set_join_ranged(both, "k", "v", "s", pieces=24).collect()} == want
+    assert set_join_ranged(both.limit(0), "k", "v", "s").count() == 0
+
+
 def test_mode(df, data):
     got = {r.k: r.m for r in mode_per_key(df, "k", "v", "m").collect()}
     want = {k: min(Counter(v for v, _ in rows).items(), key=lambda c: (-c[1], c[0]))[0] for k, rows in grouped(data).items()}

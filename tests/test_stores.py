@@ -69,6 +69,20 @@ def test_hot_and_missing_order_numbers_are_stored_apart(spark, sources, folder,
     assert rows(stored.order_lines(None)) == rows(order_lines(orders, goods, None))
 
 
+def test_more_lines_are_stored_in_more_buckets(spark, sources, folder, no_broadcast):
+    """A task sorts one bucket: its rows must not grow with the tables."""
+    orders = spark.range(60).selectExpr("id", "CAST(id % 9 AS STRING) AS memberId", "CAST(id AS STRING) AS orderSn")
+    columns = ["productAmount", "price", "number", "shippingFee", "activityPrice", "couponAmount", "orderPromotionAmount"]
+    goods = spark.range(900).selectExpr("id", "IF(id % 50 = 0, NULL, CAST(id % 60 AS STRING)) AS cOrderSn", *[f"'1' AS {c}" for c in columns])
+    for rows_in_one, least, wanted in ((100, 2, 9), (100, 16, 16), (1_000_000, 2, 2)):
+        store = OrderStore(spark, f"{folder}/orders", least, bucket_rows=rows_in_one)
+        store.write(orders, goods)
+        stored = store.open(sources.users, sources.logs)
+        near = plan(stored.parts[0]["goods"].join(stored.parts[0]["orders"], F.col("cOrderSn") == F.col("orderSn")))
+        assert near.count(f"out of {wanted}") == 2 and "Exchange" not in near
+        assert rows(stored.goods) == rows(goods) and rows(stored.orders) == rows(orders)
+
+
 def test_a_profile_of_stored_orders_is_the_same(spark, sources, folder):
     store = OrderStore(spark, f"{folder}/orders", 8)
     store.write(sources.orders, sources.goods)

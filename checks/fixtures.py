@@ -10,9 +10,12 @@ from tagloom.session import DEFAULTS
 from tagloom.sources.tables import Sources
 
 SPARK = {"text": "string", "epoch": "cast(unix_timestamp({0}) as bigint)",
-         "plus_days": "date_add(date '1948-01-01', cast({0} as int))"}
+         "plus_days": "date_add(date '1948-01-01', cast({0} as int))",
+         # orders first: only numbers of a line are shuffled, its names come last
+         "lines": "lineitem join orders on o_orderkey = l_orderkey join part on p_partkey = l_partkey"}
 DUCKDB = {"text": "varchar", "epoch": "cast(floor(epoch({0})) as bigint)",
-          "plus_days": "(date '1948-01-01' + cast({0} as int))"}
+          "plus_days": "(date '1948-01-01' + cast({0} as int))",
+          "lines": "lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey"}
 
 
 def views(dialect: dict[str, str]) -> dict[str, str]:
@@ -57,7 +60,7 @@ def views(dialect: dict[str, str]) -> dict[str, str]:
               case when l_discount >= 0.08 then '9.90' else '0.00' end as activityPrice,
               case when l_discount >= 0.05 then '5.00' else '0.00' end as couponAmount,
               case when l_tax >= 0.06 then '3.00' else '0.00' end as orderPromotionAmount
-            from lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey""",
+            from {dialect['lines']}""",
         "fx_logs": f"""
             select event_id as id, {txt('user_id')} as global_user_id, ts as log_time,
               case event_type when 'signup' then 'http://www.eshop.com/login.html'

@@ -45,3 +45,8 @@ def join_distinct(values: str, separator: str = ",") -> str:
     and collect the raw rows of a hot key in one task instead.
     """
     return f"array_join(array_sort(collect_list({values})), {text(separator)})"
+
+
+def join_set(values: str, separator: str = ",") -> str:
+    """``join_distinct`` of values that may repeat: repeats are removed in every task before the shuffle."""
+    return f"array_join(array_sort(collect_set({values})), {text(separator)})"

@@ -2,9 +2,10 @@
 
 Every plain metric is associative, so ``first`` over rows followed by ``merge`` over
 partial results equals ``first`` alone. That lets many tags of one source share a
-single aggregation, even when one of them needs a finer grouping (the most frequent
-value, or the set of values, of a column): the finer grouping runs first and the
-plain metrics ride along.
+single aggregation, even when one of them needs the values of a column (the most frequent
+one, or their set): every task sends a key's distinct values and partial results in one row,
+so the rows are shuffled once. Without plain metrics beside it, a mode or a set takes a finer
+grouping first: then only values are shuffled, a key's values from many tasks.
 
 Buffers are numbers only, so Spark keeps the whole group-by a hash aggregation with
 map-side combining; a hot key is reduced before the shuffle.
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.functions.ladders import label_at
-from tagloom.functions.text import join_distinct
+from tagloom.functions.text import join_distinct, join_set
 
 _GROUP_ROWS = "__rows"
 
@@ -52,6 +53,9 @@ class ModeOf:
     def final(self) -> str:
         return f"min(struct(-{_GROUP_ROWS} AS n, {self.column} AS value)).value"
 
+    def whole(self) -> str:
+        return f"mode({self.column}, true)"
+
 
 @dataclass(frozen=True)
 class SetOf:
@@ -62,6 +66,9 @@ class SetOf:
     def final(self) -> str:
         return join_distinct(self.column)
 
+    def whole(self) -> str:
+        return join_set(self.column)
+
 
 def latest(time: str, position: str, size: int) -> Metric:
     """The newest row's ladder position, packed with its time into one exact decimal.
@@ -93,6 +100,7 @@ def aggregate(rows: DataFrame, key: str, metrics: Mapping[str, Metric | ModeOf |
     if len(columns) > 1:
         raise ValueError(f"one aggregation can refine by one column only, got {sorted(columns)}")
     (column,) = columns
-    partial = rows.groupBy(key, column).agg(*_named({_GROUP_ROWS: f"count({column})", **first}))
-    merged = {n: m.merge(n) for n, m in plain.items()}
-    return partial.groupBy(key).agg(*_named({**merged, **{n: m.final() for n, m in fine.items()}}))
+    if plain:
+        return rows.groupBy(key).agg(*_named({**first, **{n: m.whole() for n, m in fine.items()}}))
+    partial = rows.groupBy(key, column).agg(F.expr(f"count({column})").alias(_GROUP_ROWS))
+    return partial.groupBy(key).agg(*_named({n: m.final() for n, m in fine.items()}))

@@ -9,7 +9,9 @@ from checks.settings import ID_DIGITS, PROFILE
 from conftest import SMALL
 from tagloom.operators.joining import orders_with_id
 from tagloom.plans import profile as P
+from tagloom.operators.metrics import Metric, ModeOf, SetOf, aggregate
 from tagloom.operators.staging import stage
+from tagloom.plans.line_tags import line_tags
 from tagloom.plans.log_tags import log_tags, logs_with_id
 from tagloom.plans.order_tags import order_tags
 from tagloom.plans.tag import aggregate_tags
@@ -33,11 +35,39 @@ def test_fused_order_tags_scan_orders_once(spark, sources):
     assert plan(df).count("FileScan") == 1
 
 
+def test_fused_order_tags_shuffle_the_orders_once(spark, sources):
+    df = aggregate_tags(orders_with_id(sources.orders, ID_DIGITS), order_tags().values())
+    assert plan(df).count("Exchange") == 1
+
+
+def test_modes_and_sets_beside_metrics_keep_their_ties_and_nulls(spark):
+    """Ties go to the smaller value, nulls count zero; a key of nothing but nulls has a null mode and an empty set."""
+    rows = [(1, "b"), (1, "a"), (1, "b"), (1, "a"), (1, None), (1, None), (1, None), (2, None), (3, "é"), (3, "z"), (3, ""), (None, "x")]
+    df = spark.createDataFrame(rows, "k long, v string").repartition(4)
+    for named in ({"m": ModeOf("v")}, {"m": ModeOf("v"), "n": Metric("count", "1")}):
+        assert {r.k: r.m for r in aggregate(df, "k", named).collect()} == {1: "a", 2: None, 3: "", None: "x"}
+    for named in ({"s": SetOf("v")}, {"s": SetOf("v"), "n": Metric("count", "1")}):
+        assert {r.k: r.s for r in aggregate(df, "k", named).collect()} == {1: "a,b", 2: "", 3: ",z,é", None: "x"}
+
+
 def test_single_column_tags_read_single_columns(spark):
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan(QUERIES["tag_spend_total"](spark, SMALL))).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} <= {"o_custkey", "o_totalprice"}
 
 
+def test_fused_line_tags_shuffle_the_joined_lines_once(spark, sources):
+    """Lines are dealt by customer alone: not by customer and name first, with all metrics, and then again."""
+    text = plan(aggregate_tags(sources.order_lines(ID_DIGITS), line_tags().values()))
+    above_the_join = text[:text.index("Join")]
+    assert above_the_join.count("Exchange hashpartitioning(id#") == 1 and above_the_join.count("Exchange") == 1
+
+
+def test_names_of_a_line_are_joined_last(spark, sources):
+    """Only numbers of a line are shuffled to its order, and the lines of a product lie together when its names come."""
+    text = plan(sources.goods.select("productId", "productName"))
+    assert text.index("o_orderkey") > text.index("p_name")
+
+
 def test_parts_of_the_profile_meet_without_a_shuffle(spark, sources):
     text = plan(P.assemble(P.source_frames(sources, PROFILE)))
     assert "Exchange" not in text.split("Union")[0]

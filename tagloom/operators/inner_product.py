@@ -62,13 +62,15 @@ class Lists:
         self.scored[users] += len(items)
         near = self.x[users] @ y.T
         least = self.scores[users, -1]
-        if len(items) > self.n:
-            least = np.maximum(least, np.partition(near, len(items) - self.n, axis=1)[:, len(items) - self.n])
+        unfilled = np.flatnonzero(np.isneginf(least))  # later, a full list is bound enough: few items of a block pass it
+        if len(items) > self.n and len(unfilled):
+            least[unfilled] = np.partition(near[unfilled], len(items) - self.n, axis=1)[:, len(items) - self.n]
         i, j = np.nonzero(near >= (least - 2 * _SLACK * self.length[users] * longest)[:, None])
-        self._enter(users, users[i], items[j], _exact(self.x[users[i]], y[j]))
+        self._enter(users[np.unique(i)], users[i], items[j], _exact(self.x[users[i]], y[j]))
         return True
 
     def _enter(self, users: np.ndarray, user: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
+        """Merges found (user, item, score) rows with the lists of ``users``: those, ascending, that have such rows."""
         user = np.concatenate([np.repeat(users, self.n), user])
         item = np.concatenate([self.items[users].ravel(), item])
         score = np.concatenate([self.scores[users].ravel(), score])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import sources as open_sources
 from checks.settings import ID_DIGITS
+from tagloom.operators import inner_product
 from tagloom.operators.inner_product import _exact, best_lists, ranked
 from tagloom.plans import recommend as R
 
@@ -80,3 +81,20 @@ def test_no_shuffle_and_no_join_of_users_and_items(spark):
     u, i = frames(spark, vectors(20, 3, 5, 1.0), vectors(30, 3, 6, 1.0))
     plan = best_lists(u, i, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_a_full_list_is_looked_up_only_where_an_item_passes_it(monkeypatch):
+    """Blocks after the first neither select per user nor merge the lists of users that found nothing there."""
+    draw = np.random.default_rng(5)
+    x, y = draw.normal(size=(40, 4)), draw.normal(size=(2560, 4))
+    y /= np.sqrt((y * y).sum(1))[:, None]  # equal lengths: no user can stop
+    selected, merged = [], []
+    select, enter = np.partition, inner_product.Lists._enter
+    monkeypatch.setattr(inner_product.np, "partition", lambda a, *args, **named: selected.append(len(a)) or select(a, *args, **named))
+    monkeypatch.setattr(inner_product.Lists, "_enter", lambda self, users, *found: merged.append(len(users)) or enter(self, users, *found))
+    lists = inner_product.Lists(x, 3)
+    for first in range(0, len(y), 256):
+        assert lists.visit(np.arange(first, first + 256), y[first:first + 256], 1.0)
+    assert selected == [40] and merged[0] == 40 and sum(merged) < 40 * len(merged)
+    want = [sorted(zip(-_exact(np.tile(u, (len(y), 1)), y), range(len(y))))[:3] for u in x]
+    assert [list(zip(-s, i)) for s, i in zip(lists.scores, lists.items)] == want

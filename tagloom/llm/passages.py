@@ -34,6 +34,7 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,9 @@ HASHES = 4
 AGREEING = 2
 KEPT_WORDS = 1 << 21  # words of texts whose hashes a task keeps
 RUN_ROWS = 200_000  # long runs that a task hands on at a time, about
+CROWDED = 600  # a key with one in so many rows of a batch is dealt with apart
+KEY_ROWS = 1 << 16  # rows of one key that a task keeps
+_FEW = 48  # equal runs that are compared one by one
 _GROW = np.uint64(0x9E3779B97F4A7C15)
 _SHRINK = np.uint64(pow(int(_GROW), -1, 1 << 64))
 GAP = 12  # words that a passage may differ by in one place
@@ -112,13 +116,17 @@ def _windows(batches: Iterator[pa.RecordBatch], hashes: int, least: int) -> Iter
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "part", "place", "before", "after", "f"])
 
 
-def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, int, int]]:
+def _walk(x: np.ndarray, y: np.ndarray, xs: list, ys: list, p: int, q: int) -> Iterator[tuple[int, int, int]]:
     """(start, other start, length) of equal stretches of runs from (p, q) on, each the nearest
-    that begins within ``GAP`` words of the one before in both texts."""
+    that begins within ``GAP`` words of the one before in both texts. ``xs`` and ``ys`` are the runs as
+    lists: most stretches are too short for arrays."""
     reach = GAP + SHINGLE
     while True:
-        most, n, width = min(len(x) - p, len(y) - q), 0, 64
-        while n < most:
+        most, n, width = min(len(xs) - p, len(ys) - q), 0, 64
+        few = min(most, _FEW)
+        while n < few and xs[p + n] == ys[q + n]:
+            n += 1
+        while _FEW <= n < most:
             differ = np.flatnonzero(x[p + n: p + min(n + width, most)] != y[q + n: q + min(n + width, most)])
             if len(differ):
                 n += int(differ[0])
@@ -128,11 +136,13 @@ def _walk(x: np.ndarray, y: np.ndarray, p: int, q: int) -> Iterator[tuple[int, i
             return
         yield p, q, n
         p, q = p + n, q + n
-        i, j = np.nonzero(x[p: p + reach][:, None] == y[q: q + reach][None, :])
-        if not len(i):
+        ahead = ys[q: q + reach]
+        nearest = dict(zip(reversed(ahead), range(len(ahead) - 1, -1, -1)))
+        met = [(i + j, abs(i - j), i, j) for i, run in enumerate(xs[p: p + reach]) if (j := nearest.get(run)) is not None]
+        if not met:
             return
-        best = np.lexsort((np.abs(i - j), i + j))[0]
-        p, q = p + int(i[best]), q + int(j[best])
+        _, _, i, j = min(met)
+        p, q = p + i, q + j
 
 
 def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int, similarity: float, runs: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple]:
@@ -141,12 +151,14 @@ def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int,
     if len(own) >= least and np.array_equal(own, other):
         return [(0, len(own) - 1, 0, len(own) - 1, 1.0)]
     x, y = runs or (_runs(own), _runs(other))
+    xs, ys = x.tolist(), y.tolist()
+    back = (x[::-1], y[::-1], xs[::-1], ys[::-1])
     found: list[tuple] = []  # none within another, so sorted by first and by last place at once
     seen: dict[int, list[tuple[int, int]]] = {}
 
     def likeness(a: int, b: int, c: int, d: int) -> float:
-        u, v = np.unique(x[a: b - SHINGLE + 1]), np.unique(y[c: d - SHINGLE + 1])
-        shared = len(np.intersect1d(u, v, assume_unique=True))
+        u, v = set(xs[a: b - SHINGLE + 1]), set(ys[c: d - SHINGLE + 1])
+        shared = len(u & v)
         return shared / (len(u) + len(v) - shared)
 
     def add(a: int, b: int, c: int, d: int, value: float) -> None:
@@ -167,10 +179,10 @@ def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int,
     for p, q in sorted(map(tuple, np.asarray(seeds).tolist())):
         if found and found[0][1] - found[0][0] == len(own) - 1:
             break  # all of the text is a passage
-        if p >= len(x) or q >= len(y) or x[p] != y[q] or any(s <= p < e for s, e in seen.get(q - p, ())):
+        if p >= len(xs) or q >= len(ys) or xs[p] != ys[q] or any(s <= p < e for s, e in seen.get(q - p, ())):
             continue
-        ahead = list(_walk(x, y, p, q))
-        behind = [(len(x) - s - n, len(y) - t - n, n) for s, t, n in _walk(x[::-1], y[::-1], len(x) - 1 - p, len(y) - 1 - q)]
+        ahead = list(_walk(x, y, xs, ys, p, q))
+        behind = [(len(xs) - s - n, len(ys) - t - n, n) for s, t, n in _walk(*back, len(xs) - 1 - p, len(ys) - 1 - q)]
         joint = (behind[0][0], behind[0][1], behind[0][2] + ahead[0][2] - 1)
         chain = [*behind[:0:-1], joint, *ahead[1:]]
         for s, t, n in chain:
@@ -178,31 +190,33 @@ def _passages(own: np.ndarray, other: np.ndarray, seeds: np.ndarray, least: int,
         reach = chain[-1][2] + SHINGLE - 1 + 2 * GAP  # all that may follow, and what ``_lengthened`` may add
         if min(chain[-1][0] - chain[0][0], chain[-1][1] - chain[0][1]) + reach < least:
             continue
-        chain = np.array(chain)
-        starts, ends = chain[:, :2], chain[:, :2] + chain[:, 2:] + SHINGLE - 1
-        if accept(int(starts[0, 0]), int(ends[-1, 0]), int(starts[0, 1]), int(ends[-1, 1])):
+        rows = np.array(chain)
+        starts, ends = rows[:, :2], rows[:, :2] + rows[:, 2:] + SHINGLE - 1
+        (sx, sy), (ex, ey) = starts.T.tolist(), ends.T.tolist()
+        if accept(sx[0], ex[-1], sy[0], ey[-1]):
             continue
         # i..j reaches the similarity when shared * (1 + similarity) >= similarity * (runs of both),
         # which is a bound on ``tail[j]``; ``best`` never rises, so the last such j is looked up
-        shared = np.cumsum(chain[:, 2])
+        shared = np.cumsum(rows[:, 2])
         tail = (1 + similarity) * shared - similarity * ends.sum(axis=1)
-        head = (1 + similarity) * (shared - chain[:, 2]) - similarity * starts.sum(axis=1) - 2 * similarity * (SHINGLE - 1)
+        head = (1 + similarity) * (shared - rows[:, 2]) - similarity * starts.sum(axis=1) - 2 * similarity * (SHINGLE - 1)
         best = np.maximum.accumulate(tail[::-1])[::-1]
         reached = -1
         for i, j in enumerate((np.searchsorted(-best, -(head - 1e-9), side="right") - 1).tolist()):
             if j < i or j <= reached:
                 continue
             reached = j
-            a, b, c, d = _lengthened(own, other, int(starts[i, 0]), int(ends[j, 0]), int(starts[i, 1]), int(ends[j, 1]), least)
+            a, b, c, d = sx[i], ex[j], sy[i], ey[j]
+            if min(b - a, d - c) < least:
+                a, b, c, d = _lengthened(own, other, a, b, c, d, least)
             k, m = i, j
             # runs that occur twice count once: where that leaves too little, weak ends are trimmed
             while not accept(a, b, c, d) and k < m:
-                left, right = ((*starts[k + 1], *ends[m]), (*starts[k], *ends[m - 1]))
-                drop = likeness(left[0], left[2], left[1], left[3]) >= likeness(right[0], right[2], right[1], right[3])
+                drop = likeness(sx[k + 1], ex[m], sy[k + 1], ey[m]) >= likeness(sx[k], ex[m - 1], sy[k], ey[m - 1])
                 k, m = (k + 1, m) if drop else (k, m - 1)
-                a, b, c, d = int(starts[k, 0]), int(ends[m, 0]), int(starts[k, 1]), int(ends[m, 1])
+                a, b, c, d = sx[k], ex[m], sy[k], ey[m]
         for i in np.flatnonzero(ends[:, 0] - starts[:, 0] >= least).tolist():
-            add(int(starts[i, 0]), int(ends[i, 0]), int(starts[i, 1]), int(ends[i, 1]), 1.0)
+            add(sx[i], ex[i], sy[i], ey[i], 1.0)
     return found
 
 
@@ -242,16 +256,24 @@ class _Hashed:
     def __init__(self, most_words: int = KEPT_WORDS):
         self.most, self.words, self.known = most_words, 0, OrderedDict()
 
-    def of(self, key: tuple, text: str) -> tuple[np.ndarray, np.ndarray]:
-        if key in self.known:
+    def read(self, texts: dict[tuple, str]) -> None:
+        """Hashes texts that are not known, together; what was met longest ago goes."""
+        new = {key: text for key, text in texts.items() if key not in self.known}
+        for key in texts.keys() - new.keys():
             self.known.move_to_end(key)
-            return self.known[key]
-        hashes = next(text_chunks(pa.array([text])))[1].hashes()
-        self.known[key] = hashes, _runs(hashes)
-        self.words += len(hashes)
-        while self.words > self.most and len(self.known) > 2:
+        keys = list(new)
+        for at, words in text_chunks(pa.array(new.values(), pa.large_string())):
+            hashes = words.hashes()
+            runs = _runs(hashes)
+            for i, (a, n) in enumerate(zip(words.first.tolist(), words.counts.tolist())):
+                # copies, so that a text that stays does not keep its neighbours
+                self.known[keys[at + i]] = hashes[a: a + n].copy(), runs[a: a + max(0, n - SHINGLE + 1)].copy()
+                self.words += n
+        while self.words > self.most and len(self.known) > max(2, len(texts)):
             _, (oldest, _) = self.known.popitem(last=False)
             self.words -= len(oldest)
+
+    def of(self, key: tuple) -> tuple[np.ndarray, np.ndarray]:
         return self.known[key]
 
 
@@ -260,10 +282,10 @@ def _verify(frames: Iterator[pd.DataFrame], agreeing: int, least: int, similarit
     for frame in frames:
         # copies of a text meet the same keepers at the same places
         out, met = [], {}
-        for row in frame.itertuples():
-            seeds = _agreeing(np.asarray(row.windows).reshape(-1, 5), agreeing)
-            if len(seeds):
-                (own, x), (other, y) = hashed.of((row.doc_id, row.part), row.text), hashed.of((row.keeper_id, row.keeper_part), row.keeper_text)
+        for rows in _together(frame, agreeing):
+            hashed.read({key: text for row, _ in rows for key, text in (((row.doc_id, row.part), row.text), ((row.keeper_id, row.keeper_part), row.keeper_text))})
+            for row, seeds in rows:
+                (own, x), (other, y) = hashed.of((row.doc_id, row.part)), hashed.of((row.keeper_id, row.keeper_part))
                 copy = (row.keeper_id, row.keeper_part, own.tobytes(), seeds.tobytes())
                 if copy not in met:
                     met[copy] = _passages(own, other, seeds, least, similarity, (x, y))
@@ -271,6 +293,21 @@ def _verify(frames: Iterator[pd.DataFrame], agreeing: int, least: int, similarit
         yield pd.DataFrame(out, columns=["doc_id", "part", "first_word", "last_word", "keeper_id", "keeper_part", "keeper_first", "keeper_last", "similarity"])
 
 
+def _together(frame: pd.DataFrame, agreeing: int, most: int = 1 << 21) -> Iterator[list[tuple]]:
+    """(row, seeds) of the rows with seeds, as many at a time as have about ``most`` characters."""
+    rows, size = [], 0
+    for row in frame.itertuples():
+        seeds = _agreeing(np.asarray(row.windows).reshape(-1, 5), agreeing)
+        if len(seeds):
+            rows.append((row, seeds))
+            size += len(row.text) + len(row.keeper_text)
+        if size > most:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def _numbered(documents: DataFrame) -> DataFrame:
     """(doc_id, part, text): rows that share an id are told apart by a hash of their text, so that
     equal rows are one text; ``part`` is 0 where the id is the row's own."""
@@ -281,13 +318,13 @@ def _numbered(documents: DataFrame) -> DataFrame:
     return texts.join(repeated, "doc_id", "left").select("doc_id", F.when(F.col("repeated"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("part"), "text")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` of texts with both texts."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` of texts with both texts, and the staged texts."""
     ends = stage(pairs.select("doc_id", "part").unionByName(pairs.select(F.col("keeper_id").alias("doc_id"), F.col("keeper_part").alias("part"))).distinct(), "ends")
     # equal rows are one text
     own = stage(texts.join(ends, ["doc_id", "part"], "left_semi").groupBy("doc_id", "part").agg(F.max("text").alias("text")), "texts")
     keeper = own.select(F.col("doc_id").alias("keeper_id"), F.col("part").alias("keeper_part"), F.col("text").alias("keeper_text"))
-    return pairs.join(own, ["doc_id", "part"]).join(keeper, ["keeper_id", "keeper_part"])
+    return pairs.join(own, ["doc_id", "part"]).join(keeper, ["keeper_id", "keeper_part"]), own
 
 
 def by_row(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:
@@ -296,23 +333,86 @@ def by_row(documents: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     least = words - SHINGLE + 1
     schema = "key long, doc_id long, part long, place int, before int, after int, f int"
     windows = stage(texts.mapInArrow(lambda batches: _windows(batches, hashes, least), schema), "windows")
-    # the keeper is the first holder; keys of one text only are dropped
-    keepers = stage(windows.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"), F.count(F.lit(1)).alias("holders"))
-                    .where("struct(keeper.doc_id, keeper.part) < top")
-                    .select("key", "holders", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "keepers")
-    # from here on only windows whose key has a keeper
-    held = stage(windows.join(keepers, "key"), "held")
+    held = stage(_held(windows), "held")
     discard(windows)
-    discard(keepers)
     met = held.where("doc_id <> keeper_id OR part <> keeper_part")
     window = F.array("f", "place", F.col("place") - F.col("before"), F.col("place") + F.col("after"), "keeper_place")
     # at most the windows of one text come together
-    pairs = met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_list(window)).alias("windows"), F.count_distinct("f").alias("agree")).where(F.col("agree") >= agreeing)
+    functions = F.bit_count(F.bit_or(F.expr("shiftleft(1L, f)")))
+    pairs = met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_list(window)).alias("windows"), functions.alias("agree")).where(F.col("agree") >= agreeing)
     pairs = stage(pairs.drop("agree"), "pairs")
-    first = stage(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS), "first-found")
+    first = _found(pairs, texts, agreeing, words, similarity, "first-found")
+    further = stage(_further(texts, held, first, words), "further-pairs")
+    return first.unionByName(_found(further, texts, 1, words, similarity, "further-found"))
+
+
+def _found(pairs: DataFrame, texts: DataFrame, agreeing: int, words: int, similarity: float, name: str) -> DataFrame:
+    """The passages of ``pairs``, which are read no more afterwards."""
+    both, own = _with_texts(pairs, texts)
+    found = stage(both.mapInPandas(lambda frames: _verify(frames, agreeing, words, similarity), ROWS), name)
     discard(pairs)
-    pairs = stage(_further(texts, held, first, words), "further-pairs")
-    return first.unionByName(_with_texts(pairs, texts).mapInPandas(lambda frames: _verify(frames, 1, words, similarity), ROWS))
+    discard(own)
+    return found
+
+
+def _held(rows: DataFrame, others_only: bool = False) -> DataFrame:
+    """``rows`` (key, doc_id, part, place, ...) of keys that different texts hold, with the key's first holder (keeper_id,
+    keeper_part, keeper_place) and whether there are more than two rows (many); with ``others_only`` those of other texts.
+
+    A key's rows meet once, sorted by holder, and are passed through. Keys that fill a good part of a batch of rows are
+    joined with their first holders instead, where Spark splits a key that is too much for a task."""
+    crowded = stage(rows.select("key").mapInArrow(_crowded, "key long").distinct(), "crowded-keys")
+    rest = rows if crowded.isEmpty() else rows.join(crowded, "key", "left_anti")
+    added = "many boolean, keeper_id long, keeper_part long, keeper_place int"
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema), added])
+    dealt = rest.repartition("key").sortWithinPartitions("key", "doc_id", "part", "place")
+    out = dealt.mapInArrow(lambda batches: _with_keepers(batches, others_only), schema)
+    if crowded.isEmpty():
+        return out
+    shared = stage(rows.join(crowded, "key", "left_semi"), "crowded")
+    keepers = shared.groupBy("key").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top"), F.count(F.lit(1)).alias("holders"))
+    keepers = stage(keepers.where("struct(keeper.doc_id, keeper.part) < top").selectExpr(
+        "key", "holders > 2 AS many", "keeper.doc_id AS keeper_id", "keeper.part AS keeper_part", "keeper.place AS keeper_place"), "crowded-keepers")
+    joined = shared.join(keepers, "key")
+    return out.unionByName(joined.where("doc_id <> keeper_id OR part <> keeper_part") if others_only else joined)
+
+
+def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that have at least one in ``CROWDED`` rows of a batch, and several."""
+    for batch in batches:
+        keys, times = np.unique(np.asarray(batch.column(0)), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[times >= max(8, batch.num_rows // CROWDED)])], ["key"])
+
+
+def _with_keepers(batches: Iterator[pa.RecordBatch], others_only: bool, most: int = KEY_ROWS) -> Iterator[pa.RecordBatch]:
+    """What ``_held`` adds to rows sorted by (key, doc_id, part, place). A key's rows wait for the next batch, which may
+    go on with it; of more than ``most``, only the first waits."""
+    waiting: list[np.ndarray] | None = None
+    begun = False  # the first waiting row was handed on before, as were others of its key
+    for batch in chain(batches, [None]):
+        columns = [np.asarray(c) for c in batch.columns] if batch is not None else waiting
+        if waiting is not None and batch is not None:
+            columns = [np.concatenate(c) for c in zip(waiting, columns)]
+        if columns is None or not len(columns[0]):
+            continue
+        names = batch.schema.names if batch is not None else names
+        key, doc, part, place = columns[:4]
+        begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[begins, len(key)])
+        first = np.repeat(begins, sizes)
+        other = (doc != doc[first]) | (part != part[first])
+        various, many, last = np.logical_or.reduceat(other, begins), sizes > 2, int(begins[-1])
+        if begun:
+            various[0] = many[0] = True
+        whole = batch is None or bool(sizes[-1] > most and various[-1])
+        keep = np.repeat(various, sizes) & (other | (not others_only))
+        keep[len(key) if whole else last:] = False
+        if begun:
+            keep[0] = False
+        out = [*(c[keep] for c in columns), np.repeat(many, sizes)[keep], *(c[first[keep]] for c in (doc, part, place))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], [*names, "many", "keeper_id", "keeper_part", "keeper_place"])
+        begun = whole or (begun and last == 0)
+        waiting = [c[last: last + 1 if whole else len(key)] for c in columns]
 
 
 def _uncovered(rows: DataFrame, spans: DataFrame, low: str, high: str) -> DataFrame:
@@ -333,17 +433,16 @@ def _further(texts: DataFrame, held: DataFrame, first: DataFrame, words: int) ->
     own first holder, who has all of it, so the cost is the number of runs whatever the holders."""
     reach = words - SHINGLE
     spans = stage(first.select("doc_id", "part", "first_word", "last_word").distinct(), "found-spans")
-    around = held.where("holders > 2").select(
+    around = held.where("many").select(
         "key", "doc_id", "part", F.expr(f"place - least(before, {reach})").alias("low"), F.expr(f"place + least(after, {reach}) + {SHINGLE - 1}").alias("high"),
         F.expr("doc_id <> keeper_id OR part <> keeper_part").alias("met"))
     bare = _uncovered(around.where("met").drop("met"), spans, "low", "high")
     stretches = stage(around.join(stage(bare.select("key").distinct(), "open-keys"), "key", "left_semi").groupBy("doc_id", "part").agg(F.flatten(F.collect_set(F.array("low", "high"))).alias("stretches")), "stretches")
-    open_ = texts.join(stretches, ["doc_id", "part"]).select("doc_id", "part", "text", "stretches")
-    runs = stage(open_.mapInPandas(lambda frames: _equal_runs(frames, [words, words // 2]), "run long, size int, doc_id long, part long, place int"), "equal-runs")
-    heads = runs.groupBy("run").agg(F.min(F.struct("doc_id", "part", "place")).alias("keeper"), F.max(F.struct("doc_id", "part")).alias("top")).where("struct(keeper.doc_id, keeper.part) < top")
-    heads = stage(heads.select("run", F.col("keeper.doc_id").alias("keeper_id"), F.col("keeper.part").alias("keeper_part"), F.col("keeper.place").alias("keeper_place")), "run-keepers")
     discard(held)
-    met = _uncovered(runs.join(heads, "run").where("doc_id <> keeper_id OR part <> keeper_part"), spans, "place", "place + size - 1")
+    found = spans.groupBy("doc_id", "part").agg(F.flatten(F.collect_list(F.array("first_word", "last_word"))).alias("spans"))
+    open_ = texts.join(stretches, ["doc_id", "part"]).join(found, ["doc_id", "part"], "left").select("doc_id", "part", "text", "stretches", "spans")
+    runs = stage(open_.mapInPandas(lambda frames: _equal_runs(frames, [words, words // 2]), "key long, doc_id long, part long, place int, size int, open boolean"), "equal-runs")
+    met = _held(runs, others_only=True).where("open")
     window = F.array(F.lit(0), "place", "place", F.expr("place + size - 1"), "keeper_place")
     return met.groupBy("doc_id", "part", "keeper_id", "keeper_part").agg(F.flatten(F.collect_set(window)).alias("windows"))
 
@@ -358,17 +457,21 @@ def _long_runs(words: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
 
 
 def _equal_runs(frames: Iterator[pd.DataFrame], sizes: list[int]) -> Iterator[pd.DataFrame]:
-    """The runs of so many words within the stretches of a text."""
+    """The runs of so many words within the stretches of a text; those that lie in no single one of its spans are open."""
     for frame in frames:
         out, rows = [], 0
         for row in frame.itertuples():
             own = next(text_chunks(pa.array([row.text])))[1].hashes()
             stretches = np.asarray(row.stretches).reshape(-1, 2)
+            spans = np.asarray(row.spans if row.spans is not None else [], dtype=np.int64).reshape(-1, 2)
+            spans = spans[np.argsort(spans[:, 0])]
+            furthest = np.r_[-1, np.maximum.accumulate(spans[:, 1])]
             for size, runs in zip(sizes, _long_runs(own, sizes)):
                 long = stretches[stretches[:, 1] - stretches[:, 0] + 1 >= size]
                 edges = np.bincount(long[:, 0], minlength=len(own) + 2)[: len(own) + 2] - np.bincount(long[:, 1] - size + 2, minlength=len(own) + 2)[: len(own) + 2]
                 place = np.flatnonzero(np.cumsum(edges)[: len(runs)])
-                out.append((runs[place], size, row.doc_id, row.part, place))
+                open_ = furthest[np.searchsorted(spans[:, 0], place, side="right")] < place + size - 1
+                out.append((runs[place], size, row.doc_id, row.part, place, open_))
                 rows += len(place)
             if rows > RUN_ROWS:
                 yield _run_rows(out)
@@ -378,10 +481,9 @@ def _equal_runs(frames: Iterator[pd.DataFrame], sizes: list[int]) -> Iterator[pd
 
 def _run_rows(parts: list[tuple]) -> pd.DataFrame:
     lengths = [len(p[0]) for p in parts]
-    runs = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, dtype=np.uint64)
-    places = np.concatenate([p[4] for p in parts]) if parts else np.zeros(0)
-    return pd.DataFrame({"run": signed(runs), "size": np.repeat([p[1] for p in parts], lengths).astype(np.int32), "doc_id": np.repeat(np.array([p[2] for p in parts], dtype=np.int64), lengths),
-                         "part": np.repeat(np.array([p[3] for p in parts], dtype=np.int64), lengths), "place": places.astype(np.int32)})
+    runs, places, open_ = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, dtype=kind) for i, kind in ((0, np.uint64), (4, np.int64), (5, bool)))
+    return pd.DataFrame({"key": signed(runs), "doc_id": np.repeat(np.array([p[2] for p in parts], dtype=np.int64), lengths), "part": np.repeat(np.array([p[3] for p in parts], dtype=np.int64), lengths),
+                         "place": places.astype(np.int32), "size": np.repeat([p[1] for p in parts], lengths).astype(np.int32), "open": open_})
 
 
 def duplicates(documents: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, hashes: int = HASHES, agreeing: int = AGREEING) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.llm.components import connected_components
 from tagloom.llm.words import mixed, signed, text_chunks
-from tagloom.operators.staging import stage
+from tagloom.operators.staging import discard, stage
 
 K = 4
 PERCENT = 85
@@ -192,11 +192,14 @@ class Join:
         rows = classes.mapInArrow(lambda batches: _postings(batches, shared.value, percent, True), schema)
         opened = stage(classes.mapInArrow(lambda batches: _open_heads(batches, shared.value, percent), "rep long"), "open")
         whole = self._texts_of(opened).mapInArrow(lambda batches: _whole_prefixes(batches, shared.value, k, percent), schema)
-        return stage(rows.unionByName(whole), "postings")
+        postings = stage(rows.unionByName(whole), "postings")
+        discard(classes)
+        return postings
 
     def _frequent(self, rows: DataFrame) -> np.ndarray:
         times = F.sum("times") if "times" in rows.columns else F.count(F.lit(1))
-        most = rows.groupBy("run").agg(times.alias("count")).where(F.col("count") >= HOT).orderBy(F.desc("count"), "run").limit(MOST_HOT)
+        counted = stage(rows.groupBy("run").agg(times.alias("count")).where(F.col("count") >= HOT), "frequent")  # of a shuffle much larger than it
+        most = counted.orderBy(F.desc("count"), "run").limit(MOST_HOT)
         return np.sort(np.array([r.run for r in most.select("run").toLocalIterator()], dtype=np.int64).view(np.uint64))
 
     def _texts_of(self, reps: DataFrame) -> DataFrame:
@@ -210,7 +213,9 @@ class Join:
         ends = stage(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), "ends")
         sets = stage(self._texts_of(ends).mapInArrow(lambda batches: _set_bytes(batches, k), "rep long, runs binary"), "sets")
         a, b = (sets.select(F.col("rep").alias(side), F.col("runs").alias(f"runs_{side}")) for side in "ab")
-        return stage(pairs.join(b, "b").join(a, "a").mapInPandas(lambda frames: _verified(frames, percent), "a long, b long").distinct(), "linked")
+        found = stage(pairs.join(b, "b").join(a, "a").mapInPandas(lambda frames: _verified(frames, percent), "a long, b long").distinct(), "linked")
+        discard(sets)
+        return found
 
     def fits(self, x: str, y: str) -> Column:
         """Whether sets that meet in a run for the first time can reach the similarity: what is
@@ -231,6 +236,7 @@ def links(join: Join) -> DataFrame:
     lists = stage(rows.groupBy("run").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("rep", "n", "place")).alias("x"), F.max(F.struct("rep", "n", "place")).alias("y")).where("m > 1"), "lists")
     two = lists.where("m = 2").where(join.fits("x.", "y.")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     more = stage(rows.join(lists.where("m > 2").select("run", "m"), "run"), "long-lists")
+    discard(rows)
 
     few = more.where(F.col("m") <= SHORT).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("rep", "n", "place"))).alias("members"))
     few = few.select("members", F.posexplode("members").alias("i", "x")).select("x", F.explode(F.slice("members", F.col("i") + 2, SHORT)).alias("y"))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.llm import passages
+from tagloom.llm import jaccard, passages
 from tagloom.operators.staging import scratch, stage
+from tagloom.session import shared_dir
 
 
 def _shuffle_files(spark) -> int:
@@ -39,6 +41,20 @@ def test_staging_keeps_the_sessions_setting(spark):
     assert spark.conf.get(name, None) == before
 
 
+def _folders(spark) -> set[str]:
+    return {p.name.rsplit("-", 1)[0] for p in Path(shared_dir(spark).removeprefix("file:")).glob("*")}
+
+
+def test_tables_of_the_join_go_when_they_are_read_no_more(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = spark.createDataFrame([(i, f"{text} end{i}" if i < 20 else f"other words of text {i} alone") for i in range(30)], "doc_id long, text string")
+    with scratch(spark):
+        before = _folders(spark)
+        edges = jaccard.links(jaccard.Join(rows))
+        assert not (_folders(spark) - before) & {"classes", "postings", "sets"}
+        assert {x for row in edges.collect() for x in (row.a, row.b)} == set(range(20))
+
+
 def _rows(seed: int, n: int, keys: int, texts: int) -> list[tuple]:
     draw = np.random.default_rng(seed)
     found = {(int(k), int(d), int(d % 3 == 0), int(p)) for k, d, p in zip(draw.integers(0, keys, n), draw.integers(0, texts, n), draw.integers(0, 4, n))}

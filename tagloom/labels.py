@@ -230,7 +230,8 @@ PRODUCT_START, PRODUCT_END = "/product/", ".html"
 
 ALS_PAGE_VIEWS = {"rank": 5, "maxIter": 5, "regParam": 0.01, "alpha": 10.0}
 ALS_FAVOURITES = {"rank": 10, "maxIter": 10, "regParam": 1.0, "alpha": 10.0}
-ALS_USER_BLOCKS, ALS_ITEM_BLOCKS = 16, 8  # raise with the cluster; their product is what a task buffers
+ALS_USER_BLOCKS, ALS_ITEM_BLOCKS = 16, 8  # at least; raise with the cluster, their product is what a task buffers
+ALS_BLOCK_ROWS = 1 << 21  # ratings of a block, about: a task holds them with the factors of the other side
 MOST_NUMBER = 2**31 - 1  # ALS numbers users and items by ints
 TOP_PRODUCTS, TOP_TYPES, TOP_BRANDS = 10, 5, 4
 RFM_KMEANS = {"k": 7, "seed": 100, "maxIter": 2}

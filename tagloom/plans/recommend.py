@@ -144,14 +144,23 @@ def dense_numbers(ratings: DataFrame, column: str) -> DataFrame:
 def fit_als(ratings: DataFrame, item: str, settings: dict, seed: int = 42,
             user_blocks: int = L.ALS_USER_BLOCKS, item_blocks: int = L.ALS_ITEM_BLOCKS) -> Favourites:
     """Implicit ALS over ids of any width. Every rating task keeps user blocks times item blocks
-    buffers, so neither follows the shuffle width; long lineage is checkpointed."""
+    buffers, so neither follows the shuffle width. A task solves a whole block, so there are as many
+    blocks as the ratings need; where that is more than asked for, a rating task has no more rows than
+    a block, and the shuffle files of an iteration go with it. Long lineage is checkpointed."""
     use_checkpoints(ratings.sparkSession)
     rated = stage(ratings, "ratings")
     users, items = dense_numbers(rated, "userId"), dense_numbers(rated, item)
-    dense = rated.join(users.withColumnRenamed("number", "user"), "userId").join(items.withColumnRenamed("number", "item"), item)
-    solver = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop",
-                 seed=seed, numUserBlocks=user_blocks, numItemBlocks=item_blocks, **settings)
-    return Favourites(solver.fit(dense.select("user", "item", "rating")), item, users, items)
+    dense = rated.join(users.withColumnRenamed("number", "user"), "userId").join(items.withColumnRenamed("number", "item"), item).select("user", "item", "rating")
+    needed = needed_blocks(rated.count())
+    many = needed > min(user_blocks, item_blocks)
+    solver = ALS(userCol="user", itemCol="item", ratingCol="rating", implicitPrefs=True, coldStartStrategy="drop", seed=seed,
+                 numUserBlocks=max(user_blocks, needed), numItemBlocks=max(item_blocks, needed), checkpointInterval=1 if many else 10, **settings)
+    return Favourites(solver.fit(dense.repartition(needed, "user", "item") if many else dense), item, users, items)
+
+
+def needed_blocks(ratings: int) -> int:
+    """Blocks of at most about ``ALS_BLOCK_ROWS`` ratings each."""
+    return -(-ratings // L.ALS_BLOCK_ROWS)
 
 
 def fit_page_views(ratings: DataFrame, products: DataFrame, seed: int = 42, weigh=copies_as_confidence) -> Favourites:

@@ -109,6 +109,17 @@ def test_more_ids_than_ints_are_refused(spark, monkeypatch):
         R.dense_numbers(spark.range(3).withColumnRenamed("id", "userId"), "userId")
 
 
+def test_factor_blocks_follow_the_ratings(spark, monkeypatch):
+    monkeypatch.setattr(R.L, "ALS_BLOCK_ROWS", 100, raising=False)
+    ratings = spark.range(60 * 50).selectExpr("id % 60 AS userId", "id DIV 60 AS productId", "1 + id % 3 AS rating")
+    fitted = R.fit_als(ratings, "productId", {"rank": 3, "maxIter": 2, "regParam": 1.0, "alpha": 10.0})
+    assert [f.rdd.getNumPartitions() for f in (fitted.model.userFactors, fitted.model.itemFactors)] == [30, 30]
+    assert rows(R.top_items(fitted, 4).groupBy("id").count()) == rows(spark.range(60).selectExpr("id", "4L"))
+    monkeypatch.setattr(R.L, "ALS_BLOCK_ROWS", 1 << 21)
+    small = R.fit_als(ratings, "productId", {"rank": 3, "maxIter": 2, "regParam": 1.0, "alpha": 10.0})
+    assert [f.rdd.getNumPartitions() for f in (small.model.userFactors, small.model.itemFactors)] == [16, 8]
+
+
 def test_segments_go_with_their_book(spark, member_scores, tmp_path):
     fitted = segments(member_scores)
     fitted.save(spark, str(tmp_path))

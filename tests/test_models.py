@@ -120,6 +120,16 @@ def test_factor_blocks_follow_the_ratings(spark, monkeypatch):
     assert [f.rdd.getNumPartitions() for f in (small.model.userFactors, small.model.itemFactors)] == [16, 8]
 
 
+def test_a_few_brands_of_many_buyers_are_not_one_block(spark, monkeypatch):
+    monkeypatch.setattr(R.L, "ALS_BLOCK_ROWS", 100, raising=False)
+    fits = []
+    monkeypatch.setattr(R, "fit_als", lambda *a, fit=R.fit_als, **k: fits.append(fit(*a, **k)) or fits[-1])
+    items = spark.range(900).selectExpr("id % 200 AS id", "id % 6 AS brand")
+    assert R.favourite_brands(items).count() == 200
+    blocks = fits[0].model.itemFactors.rdd.glom().map(len).collect()
+    assert sum(blocks) == 6 and max(blocks) == 1
+
+
 def test_segments_go_with_their_book(spark, member_scores, tmp_path):
     fitted = segments(member_scores)
     fitted.save(spark, str(tmp_path))
